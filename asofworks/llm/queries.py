@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from asofworks.llm.minhash import op9_minhash_forest
+from asofworks.llm.token_files import op10_simple8b_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_forest": op9_minhash_forest,
+    "op10_simple8b_tokens": op10_simple8b_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {}
