@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from asofworks.llm.bloom_lm import op2_bloom_lm
 from asofworks.llm.minhash import op9_minhash_forest
+from asofworks.llm.pieces import op6_merge_dropout
 from asofworks.llm.token_files import op10_simple8b_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bloom_lm": op2_bloom_lm,
+    "op6_merge_dropout": op6_merge_dropout,
     "op9_minhash_forest": op9_minhash_forest,
     "op10_simple8b_tokens": op10_simple8b_tokens,
 }
