@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from asofworks.llm.bloom_lm import op2_bloom_lm
 from asofworks.llm.minhash import op9_minhash_forest
+from asofworks.llm.mixing import op8_pareto_mix
 from asofworks.llm.pieces import op6_merge_dropout
+from asofworks.llm.quality import op5_byte_cnn
+from asofworks.llm.sharding import op7_stratified_shards
 from asofworks.llm.token_files import op10_simple8b_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bloom_lm": op2_bloom_lm,
+    "op5_byte_cnn": op5_byte_cnn,
     "op6_merge_dropout": op6_merge_dropout,
+    "op7_stratified_shards": op7_stratified_shards,
+    "op8_pareto_mix": op8_pareto_mix,
     "op9_minhash_forest": op9_minhash_forest,
     "op10_simple8b_tokens": op10_simple8b_tokens,
 }
