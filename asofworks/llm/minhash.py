@@ -19,10 +19,12 @@ WIDTH, SIMILAR = 5, 75
 TREES, DEPTH = 16, 6
 #: Values that neighbours share at least.
 LEAST_DEPTH = 3
-#: Neighbours looked at after each entry of an order, and after an entry of a crowded region for each further value shared.
-NEAR = 24
-#: Share of equal signature values below which a pair is not confirmed; at similarity 0.75 and 96 values that is five deviations away.
-ESTIMATE = 0.53
+#: Successors that an entry of an order is held against; in a region of more entries than that, those beyond each number in CLOSE must share one value more.
+NEAR, CLOSE = 24, (4, 10)
+#: Share of equal signature values below which a pair is not confirmed; at similarity 0.75 and 96 values that is four deviations away.
+ESTIMATE = 0.57
+#: Ids that are broadcast at most to pick their texts; more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
 
 _MULTIPLY = np.random.default_rng(17).integers(0, 1 << 64, TREES * DEPTH, np.uint64) | np.uint64(1)
 
@@ -71,34 +73,39 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(sets)
 
 
-def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (tree, node, signature) in the order of the trees' keys to pairs of close neighbours.
+def neighbours(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
+    """Rows (tree, node, known component, entries of the region, signature) in the order of the trees' keys to pairs of neighbours up to steps apart.
 
     A pair is taken if its keys share their first LEAST_DEPTH values and the
-    whole signatures agree well enough.  Of a crowded region an entry sees its
-    NEAR successors in the full order, those that share the most values first.
+    whole signatures agree well enough.  The order puts those that share the
+    most values first; in a crowded region the depth asked for grows.  Nodes
+    known to be in one component need no pair.
     """
     size = TREES * DEPTH
     tail: tuple | None = None
     for batch in batches:
         tree = batch.column(0).to_numpy()
         node = batch.column(1).to_numpy()
-        sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, size)
+        known = batch.column(2).to_numpy()
+        crowd = batch.column(3).to_numpy()
+        sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, size)
         if tail:
-            tree, node, sig = (np.concatenate(x) for x in zip(tail, (tree, node, sig), strict=True))
+            tree, node, known, crowd, sig = (np.concatenate(x) for x in zip(tail, (tree, node, known, crowd, sig), strict=True))
         n, old = len(tree), len(tail[0]) if tail else 0
-        keys = sig[np.arange(n)[:, None], tree[:, None] * DEPTH + np.arange(LEAST_DEPTH)]
+        keys = sig[np.arange(n)[:, None], tree[:, None] * DEPTH + np.arange(LEAST_DEPTH + len(CLOSE))]
         found_a, found_b = [], []
-        for step in range(1, min(NEAR, n - 1) + 1):
+        for step in range(1, min(steps, n - 1) + 1):
             i = np.arange(max(0, old - step), n - step)
-            i = i[(tree[i] == tree[i + step]) & (keys[i] == keys[i + step]).all(1)]
+            i = i[(tree[i] == tree[i + step]) & (known[i] != known[i + step])]
+            same = np.minimum.accumulate(keys[i] == keys[i + step], axis=1).sum(1)
+            i = i[same >= LEAST_DEPTH + np.where(crowd[i] > NEAR, sum(step > c for c in CLOSE), 0)]
             i = i[(sig[i] == sig[i + step]).mean(1) >= ESTIMATE] if len(i) else i
             found_a.append(np.minimum(node[i], node[i + step]))
             found_b.append(np.maximum(node[i], node[i + step]))
         if found_a:
             pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)]), axis=1)
             yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-        tail = (tree[-NEAR:], node[-NEAR:], sig[-NEAR:])
+        tail = tuple(x[-steps:] for x in (tree, node, known, crowd, sig))
 
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,7 +115,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc_id; only one of a class takes part in the search.  Every tree orders
     the classes by its part of the signature; entries whose first LEAST_DEPTH
     values are equal form a region, and only regions of two or more go on.
-    Links are confirmed on the full sets.
+    Links are confirmed on the full sets, in two rounds: what the first brings
+    together is not held against each other again, so a large group of near
+    copies never makes all its pairs.
     """
     texts = docs.select("doc_id", "text")
     signed = kept(texts.mapInArrow(sign, SIGNED), "signed")
@@ -123,34 +132,41 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = heads.select("node", "signature", F.explode(F.array(*[F.lit(k) for k in range(TREES)])).alias("tree"))
     entries = entries.select("tree", "node", F.expr(f"substring(signature, 1 + 4 * tree * {DEPTH}, {4 * LEAST_DEPTH})").alias("region"))
     crowded = entries.groupBy("tree", "region").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
-    entries = kept(entries.join(crowded, ["tree", "region"]).select("tree", "node", "head"), "regions")
-    keyed = entries.select("tree", "node").join(heads.select("node", "signature"), "node")
+    entries = kept(entries.join(crowded, ["tree", "region"]).select("tree", "node", "head", "n"), "regions")
+    keyed = entries.select("tree", "node", "n").join(heads.select("node", "signature"), "node")
     keyed = keyed.withColumn("key", F.expr(f"substring(signature, 1 + 4 * tree * {DEPTH}, {4 * DEPTH})"))
-    ordered = keyed.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node").select("tree", "node", "signature")
-    pairs = ordered.mapInArrow(neighbours, "a long, b long")
-    to_head = entries.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    pairs = kept(pairs.unionAll(to_head).distinct(), "pairs")
 
-    active = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    def candidates(known: DataFrame, steps: int) -> DataFrame:
+        ordered = known.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node").select("tree", "node", "known", "n", "signature")
+        return ordered.mapInArrow(lambda b: neighbours(b, steps), "a long, b long")
+
+    active = entries.select(F.col("node").alias("doc_id")).distinct()
+    active = kept(active, "active")
+    if active.count() <= BROADCAST_IDS:
+        active = F.broadcast(active)
     sets = kept(texts.join(active, "doc_id", "left_semi").mapInArrow(shingle_sets, "node long, shingles array<long>"), "sets")
-    both = (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        .withColumn("common", F.size(F.array_intersect("x", "y")))
-        .where(100 * F.col("common") >= SIMILAR * (F.size("x") + F.size("y") - F.col("common")))
-        .select("a", "b")
-    )
-    return signed.join(classes, ["set_a", "set_b", "n_shingles"], "left"), kept(both, "links")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+        both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+        return kept(both.where(100 * F.col("common") >= SIMILAR * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b"), "links")
+
+    # first the nearest neighbours and each region's head; then all neighbours that these have not brought together
+    to_head = entries.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    first = confirmed(candidates(keyed.withColumn("known", F.col("node")), 1).unionAll(to_head).distinct())
+    known = components(first).withColumnRenamed("component", "known")
+    keyed = keyed.join(known, "node", "left").withColumn("known", F.coalesce("known", "node"))
+    links = first.unionAll(confirmed(candidates(keyed, NEAR).distinct()))
+    return signed.join(classes, ["set_a", "set_b", "n_shingles"], "left"), links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * common >= 75 * united distinct 5-word
     shingles of their lower-cased (A-Z) whole texts; a text of fewer words is
     one shingle.  component_id is the smallest doc_id reachable; kept says
-    whether it is the document's own.  n_links counts confirmed links of the
-    document's class to other classes.
+    whether it is the document's own.
 
     A null or empty text, or one without words, is linked with nothing and
     kept.  A null doc_id takes no part in the search and gets a null
@@ -160,14 +176,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     signed, links = near_links(docs)
     found = components(links)
-    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    out = signed.join(found, "node", "left").join(degree, "node", "left")
+    out = signed.join(found, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return out.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         (F.col("doc_id") == component).alias("kept"),
     )
 
