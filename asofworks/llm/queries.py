@@ -7,15 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from asofworks.llm.bloom_lm import op2_bloom_lm
+from asofworks.llm.lines import op1_line_dedup
 from asofworks.llm.minhash import op9_minhash_forest
 from asofworks.llm.mixing import op8_pareto_mix
 from asofworks.llm.pieces import op6_merge_dropout
 from asofworks.llm.quality import op5_byte_cnn
 from asofworks.llm.sharding import op7_stratified_shards
 from asofworks.llm.token_files import op10_simple8b_tokens
+from asofworks.llm.vectors import op3_adaptive_scan, op4_segment_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_bloom_lm": op2_bloom_lm,
+    "op3_adaptive_scan": op3_adaptive_scan,
+    "op4_segment_topk": op4_segment_topk,
     "op5_byte_cnn": op5_byte_cnn,
     "op6_merge_dropout": op6_merge_dropout,
     "op7_stratified_shards": op7_stratified_shards,
