@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from asofworks.plans import period_queries, quarter_queries, selection_queries
+from asofworks.plans import period_queries, price_queries, quarter_queries, screening_queries, selection_queries, setop_queries
 from asofworks.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "period_queries", "quarter_queries", "selection_queries"]
+__all__ = ["QUERIES", "SQL", "period_queries", "price_queries", "quarter_queries", "screening_queries", "selection_queries", "setop_queries"]
