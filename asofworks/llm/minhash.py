@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed, links = near_links(docs)
     found = components(links)
     out = signed.join(found, "node", "left")
-    component = F.coalesce("component", "node", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return out.select(
         "doc_id",
         "n_shingles",
