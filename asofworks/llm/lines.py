@@ -1,17 +1,26 @@
-"""Operator 1: line dedup by an exact set-similarity join with prefix, positional and length filters, in DataFrames only."""
+"""Operator 1: line dedup by an exact set-similarity join with prefix, positional and length filters.
+
+Counting tokens and ordering each line's by rarity is done on arrays inside the
+tasks: in DataFrame functions alone it took twice the CPU budget (README).  All
+joins, groupings and the verification are DataFrame operations.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from asofworks.llm.store import kept, read_table
+from asofworks.llm.textbytes import blocks, shingles, words
 
 #: Words in a token (a shingle), and the share (in hundredths) of common tokens at which two lines match.
 WIDTH, SIMILAR = 5, 75
 #: Counters of the table of token frequencies; a token's rarity is its counter's.
-COUNTERS = 1 << 15
+COUNTERS = 1 << 16
 #: Rows that are broadcast at most; a larger table is joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 
@@ -34,26 +43,61 @@ def _place() -> Column:
     return (document * F.lit(1 << 31).cast("decimal(11,0)") + F.col("at")).cast("decimal(38,0)")
 
 
-def _words(line: Column) -> Column:
-    """The lower-cased words of a line; the plain space alone takes Spark's fast way."""
-    low = F.lower(line)
-    others = ["\t", "\x0b", "\f", "\r"]
-    odd = F.contains(low, F.lit(others[0]))
-    for c in others[1:]:
-        odd |= F.contains(low, F.lit(c))
-    return F.array_remove(F.when(odd, F.split(low, "[ \t\x0b\f\r]+")).otherwise(F.split(low, " ")), "")
+def _words(line: str) -> Column:
+    """The lower-cased (A-Z) words of a line."""
+    upper = "".join(chr(c) for c in range(65, 91))
+    return F.array_remove(F.split(F.translate(line, upper, upper.lower()), "[ \t\x0b\f\r]+"), "")
 
 
 _RUN = "xxhash64(" + ", ".join(f"w[i + {k}]" for k in range(WIDTH)) + ")"
 _TOKENS = f"transform(sequence(0, size(w) - {WIDTH}), i -> {_RUN})"
 
 
-def _rarity(lines: DataFrame) -> bytes:
-    """A byte for each of COUNTERS counters: 4 log2(1 + n) for the n tokens of all lines that fall on it."""
-    runs = lines.select(_words(F.col("line")).alias("w")).where(F.size("w") >= WIDTH).select("w", F.explode(F.expr(f"sequence(0, size(w) - {WIDTH})")).alias("i"))
-    counted = runs.groupBy(F.expr(f"pmod({_RUN}, {COUNTERS})").cast("int").alias("counter")).agg(F.count("*").alias("n"))
-    level = {row["counter"]: row["level"] for row in counted.select("counter", F.floor(4 * F.log2(F.col("n") + 1)).cast("int").alias("level")).collect()}
-    return bytes(min(level.get(k, 0), 127) for k in range(COUNTERS))
+def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first line, tokens, line of each) for blocks of lines; lines of fewer words than WIDTH have none."""
+    for at, end, data, offsets in blocks(column):
+        hashes, begin = words(data, offsets)
+        enough = np.diff(begin) >= WIDTH
+        tokens, to = shingles(hashes, begin, WIDTH)
+        line = np.repeat(np.arange(end - at), np.diff(to))
+        yield at, tokens[enough[line]], line[enough[line]]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines to the tokens of this task on each counter."""
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for _, tokens, _ in _tokens(batch.column(0)):
+            total += np.bincount((tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    some = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], ["counter", "n"])
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], rarity: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, line) to (key, token, n, i): the tokens that come first by rarity, then by hash, of n distinct ones, each at place i."""
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        for at, tokens, line in _tokens(batch.column(1)):
+            order = np.lexsort((tokens, rarity[(tokens % np.uint64(COUNTERS)).astype(np.int64)], line))
+            tokens, line = tokens[order], line[order]
+            new = np.ones(len(tokens), bool)
+            new[1:] = (tokens[1:] != tokens[:-1]) | (line[1:] != line[:-1])
+            tokens, line = tokens[new], line[new]
+            n = np.bincount(line)[line] if len(line) else line
+            i = np.arange(len(line)) - np.searchsorted(line, line)
+            first = i < n + (-n * SIMILAR // 100) + 1
+            yield pa.record_batch(
+                [pa.array(keys[at + line[first]]), pa.array(tokens[first].view(np.int64)), pa.array(n[first].astype(np.int32)), pa.array(i[first].astype(np.int32))],
+                ["key", "token", "n", "i"],
+            )
+
+
+def _rarity(lines: DataFrame) -> np.ndarray:
+    """How many tokens of all lines fall on each of COUNTERS counters: a table of fixed size."""
+    counted = lines.select("line").mapInArrow(_count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTERS, np.int64)
+    out[counted["counter"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    return out
 
 
 def matched_lines(docs: DataFrame) -> DataFrame:
@@ -71,21 +115,15 @@ def matched_lines(docs: DataFrame) -> DataFrame:
     repeats = lines.groupBy("key", "other_key").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
     repeats = kept(repeats.select("key", "other_key", "first"), "repeats")
     firsts = lines.join(_small(repeats), ["key", "other_key"], "left").where("first is null or place = first")
-    rarity = _rarity(lines)
-    # a token as one number: its rarity above, its hash below
-    ranked = firsts.select("key", "place", _words(F.col("line")).alias("w")).where(F.size("w") >= WIDTH)
-    ranked = ranked.select("key", "place", F.expr(_TOKENS).alias("t"))
-    level = lambda t: F.ascii(F.substring(F.lit(rarity), F.pmod(t, F.lit(COUNTERS)).cast("int") + 1, F.lit(1)).cast("string")).cast("long")
-    weigh = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    ranked = ranked.select("key", "place", F.array_sort(F.array_distinct(F.transform("t", weigh))).alias("t")).withColumn("n", F.size("t"))
-    prefix = F.slice("t", F.lit(1), (F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1).cast("int"))
-    entries = ranked.select("key", "place", "n", F.posexplode(prefix).alias("i", "token"))
-    shared = F.count("*").over(Window.partitionBy("token"))
-    entries = kept(entries.withColumn("shared", shared).where("shared > 1").drop("shared"), "entries")
+    shared = docs.sparkSession.sparkContext.broadcast(_rarity(lines))
+    entries = firsts.select("key", "line").mapInArrow(lambda b: _prefixes(b, shared.value), "key long, token long, n int, i int")
+    entries = entries.withColumn("shared", F.count("*").over(Window.partitionBy("token"))).where("shared > 1").drop("shared")
+    entries = kept(entries, "entries")
 
     keys = kept(entries.select("key").distinct(), "keys")
-    whole = firsts.join(_small(keys), "key", "left_semi").select("key", "place", _words(F.col("line")).alias("w"))
+    whole = firsts.join(_small(keys), "key", "left_semi").select("key", "place", _words("line").alias("w"))
     sets = kept(whole.where(F.size("w") >= WIDTH).select("key", "place", F.array_distinct(F.expr(_TOKENS)).alias("t")), "sets")
+    entries = kept(entries.join(sets.select("key", "place"), "key"), "placed")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(key, place) of the later lines of pairs (a, b) that do match."""
@@ -116,7 +154,7 @@ def matched_lines(docs: DataFrame) -> DataFrame:
     long_repeats = repeats.join(first_gone.select("key", "other_key"), ["key", "other_key"], "left_anti").select("key", "other_key", F.col("first").alias("spare"))
     gone = kept(first_gone.unionAll(long_repeats), "gone")
     found = lines.join(_small(gone), ["key", "other_key"]).where("spare is null or place <> spare")
-    return found.where(F.size(_words(F.col("line"))) >= WIDTH).select("doc_id", "text_hash", "at")
+    return found.where(F.size(_words("line")) >= WIDTH).select("doc_id", "text_hash", "at")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
