@@ -71,20 +71,20 @@ def effective_decisions(events: DataFrame, issue: str, as_of: Column, at: str, a
     return out.select(issue, f"_d.{decision}", f"_d.{action}", f"_d.{at}", "n_events", F.when(F.col("_tie"), "TIE").when(F.col("_first"), "RELEASE_FIRST").alias("chain_error"))
 
 
-def disclosure_states(flags: DataFrame, keys: list[str], order: str, reported: str, content: str) -> DataFrame:
-    """BASELINE, NEW, CHANGED, REPORTED_UNCHANGED, NOT_REPORTED_THIS_QUARTER or RESOLVED, from the row before.
+def disclosure_states(flags: DataFrame, keys: list[str], order: str, reported: str, changed: str, resolved: str) -> DataFrame:
+    """RESOLVED on explicit evidence only, NOT_REPORTED_THIS_QUARTER, BASELINE at first, NEW after either, CHANGED or REPORTED_UNCHANGED.
 
-    A topic not reported for a second time in a row is RESOLVED.
+    A state depends on the flags of its row and of the row before.
     """
     w = Window.partitionBy(*keys).orderBy(order)
-    before, text = F.lag(reported).over(w), F.lag(content).over(w)
+    before = F.lag(F.col(reported) & ~F.col(resolved)).over(w)
     state = (
-        F.when(before.isNull(), F.when(F.col(reported), "BASELINE").otherwise("NOT_REPORTED_THIS_QUARTER"))
-        .when(F.col(reported) & ~before, "NEW")
-        .when(F.col(reported) & ~F.col(content).eqNullSafe(text), "CHANGED")
-        .when(F.col(reported), "REPORTED_UNCHANGED")
-        .when(before, "NOT_REPORTED_THIS_QUARTER")
-        .otherwise("RESOLVED")
+        F.when(F.col(resolved), "RESOLVED")
+        .when(~F.col(reported), "NOT_REPORTED_THIS_QUARTER")
+        .when(before.isNull(), "BASELINE")
+        .when(~before, "NEW")
+        .when(F.col(changed), "CHANGED")
+        .otherwise("REPORTED_UNCHANGED")
     )
     return flags.withColumn("state", state)
 

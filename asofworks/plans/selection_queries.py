@@ -89,12 +89,12 @@ def w9(t: Tables) -> DataFrame:
 
 @query(
     "w14_disclosure_states",
-    """with f as (select cik, coordinate, value > 200000 as reported, cast(n_sources as varchar) as content, lag(value > 200000) over w as b, lag(cast(n_sources as varchar)) over w as c from cells window w as (partition by cik order by coordinate))
-    select cik, coordinate, case when b is null then case when reported then 'BASELINE' else 'NOT_REPORTED_THIS_QUARTER' end when reported and not b then 'NEW' when reported and content is distinct from c then 'CHANGED' when reported then 'REPORTED_UNCHANGED' when b then 'NOT_REPORTED_THIS_QUARTER' else 'RESOLVED' end as state from f""",
+    """with f as (select cik, coordinate, value > 200000 as reported, n_sources % 2 = 0 as changed, n_sources = 3 as resolved, lag(value > 200000 and n_sources <> 3) over (partition by cik order by coordinate) as b from cells)
+    select cik, coordinate, case when resolved then 'RESOLVED' when not reported then 'NOT_REPORTED_THIS_QUARTER' when b is null then 'BASELINE' when not b then 'NEW' when changed then 'CHANGED' else 'REPORTED_UNCHANGED' end as state from f""",
 )
 def w14(t: Tables) -> DataFrame:
-    flags = t.cells.withColumn("reported", F.col("value") > 200000).withColumn("content", F.col("n_sources").cast("string"))
-    return S.disclosure_states(flags, ["cik"], "coordinate", "reported", "content").select("cik", "coordinate", "state")
+    flags = t.cells.withColumn("reported", F.col("value") > 200000).withColumn("changed", F.col("n_sources") % 2 == 0).withColumn("resolved", F.col("n_sources") == 3)
+    return S.disclosure_states(flags, ["cik"], "coordinate", "reported", "changed", "resolved").select("cik", "coordinate", "state")
 
 
 @query(
