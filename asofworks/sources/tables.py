@@ -67,9 +67,9 @@ def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """Companies of a JSONL list, padded, with DUPLICATE and INVALID marked."""
     raw = spark.read.schema("cik string, ticker string, name string").json(path)
     rows = raw.withColumn("canonical", canonical_cik("cik"))
-    n = rows.groupBy("canonical").agg(F.count("*").alias("_n"))
+    n = rows.groupBy(F.col("canonical").alias("_c")).agg(F.count("*").alias("_n"))
     status = F.when(F.col("canonical").isNull(), "INVALID").when(F.col("_n") > 1, "DUPLICATE").otherwise("OK")
-    return rows.join(n, rows["canonical"].eqNullSafe(n["canonical"])).select(rows["canonical"].alias("cik"), "ticker", "name", status.alias("status"))
+    return rows.join(n, F.col("canonical").eqNullSafe(F.col("_c"))).select(F.col("canonical").alias("cik"), "ticker", "name", status.alias("status"))
 
 
 def company_metadata(observations: DataFrame, inventory: DataFrame, industries: DataFrame, cutoff: str) -> DataFrame:
