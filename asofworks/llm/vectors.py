@@ -16,6 +16,10 @@ from asofworks.llm.store import kept, read_table
 NEAREST, SAMPLE, LISTS, PROBED = 5, 20000, 4096, 0.6
 #: Dimensions in a column block; how many deviations of a partial distance make a candidate hopeless.
 COLUMNS, DEVIATIONS = 16, 2.1
+#: Rows of a list at least, on average, so that the lists looked into hold more than are asked for.
+LIST_ROWS = 64
+#: Candidates of a group that get their whole distance first.
+HEAD_ROWS = 64
 #: Candidates and queries that meet in one group, about, at most.
 GROUP_ROWS, GROUP_QUERIES = 2048, 512
 #: Operator 4: best kept; the numbers of segments from coarse to fine; queries that are broadcast at once.
@@ -56,62 +60,59 @@ def centroids(sample: np.ndarray, count: int) -> np.ndarray:
     return at
 
 
-def _cosine(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosines of rows with query in double precision; equal rows give equal values."""
+def _cosines(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Cosines of rows with others, pair by pair, in double precision; equal pairs give equal values."""
     a = rows / np.abs(rows).max(1, keepdims=True)
-    b = query / np.abs(query).max()
-    return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum()))
+    b = others / np.abs(others).max(1, keepdims=True)
+    return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def _scan(rotated: np.ndarray, target: np.ndarray, k: int) -> np.ndarray:
-    """Candidates that may be among the k nearest to target.
+def _scan(rotated: np.ndarray, targets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (target, candidate) that may be among the k nearest of each target.
 
-    Partial distances over column blocks are scaled to all dimensions; under a
-    random rotation a candidate whose scaled distance is over the k-th best by
-    more than DEVIATIONS allows is given up (hypothesis test of ADSampling).
+    The first candidates get their whole distance, the k-th of which is a
+    target's limit.  For the others partial distances over column blocks are
+    scaled to all dimensions; under a random rotation a candidate whose scaled
+    distance is over the limit by more than DEVIATIONS allows is given up
+    (hypothesis test of ADSampling).
     """
     n, dim = rotated.shape
-    limit, found, lengths = np.inf, [], []
-    for low, high in ((0, 64), (64, 512), (512, n)):
-        alive = np.arange(low, min(high, n))
-        partial = np.zeros(len(alive))
-        for first in range(0, dim, COLUMNS):
-            if not len(alive):
-                break
-            last = min(first + COLUMNS, dim)
-            step = rotated[alive, first:last] - target[first:last]
-            partial = partial + (step * step).sum(1)
-            if last < dim and np.isfinite(limit):
-                ok = partial * (dim / last) <= limit * (1 + DEVIATIONS / np.sqrt(last)) ** 2
-                alive, partial = alive[ok], partial[ok]
-        found.append(alive)
-        lengths.append(partial)
-        done = np.concatenate(lengths)
-        if len(done) > k:
-            limit = np.partition(done, k - 1)[k - 1]
+    first = min(n, HEAD_ROWS)
+    square = lambda x: (x * x).sum(1)
+    apart = lambda x, y: np.maximum(square(y)[:, None] + square(x)[None] - 2 * (y @ x.T), 0)
+    whole = apart(rotated[:first], targets)
+    limit = np.partition(whole, k - 1, axis=1)[:, k - 1] if first > k else np.full(len(targets), np.inf)
     # all that tie with the k-th, but for rounding
-    every = np.concatenate(found)
-    return every[done <= limit + 1e-9] if len(done) > k else every
+    near = [np.nonzero(whole <= limit[:, None] + 1e-9)]
+    if n > first:
+        last = min(COLUMNS, dim)
+        part = apart(rotated[first:, :last], targets[:, :last])
+        allowed = lambda q, last: limit[q] * (last / dim) * (1 + DEVIATIONS / np.sqrt(last)) ** 2 + 1e-9
+        q, c = np.nonzero(part <= allowed(np.arange(len(targets)), last)[:, None])
+        partial = part[q, c]
+        for start in range(last, dim, COLUMNS):
+            last = min(start + COLUMNS, dim)
+            step = rotated[first + c, start:last] - targets[q, start:last]
+            partial = partial + square(step)
+            ok = partial <= (allowed(q, last) if last < dim else limit[q] + 1e-9)
+            q, c, partial = q[ok], c[ok], partial[ok]
+        near.append((q, first + c))
+    return np.concatenate([x[0] for x in near]), np.concatenate([x[1] for x in near])
 
 
 def _meet(rotation: np.ndarray, k: int):  # noqa: ANN202
     """The function for a group of candidates and queries of one list."""
 
     def search(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(candidates) and len(queries):
-            rows = np.array(candidates["x"].tolist())
-            turned = (unit(rows) @ rotation).astype(np.float32)
-            ids, own = candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
-            asked = np.array(queries["x"].tolist())
-            turned_queries = (unit(asked) @ rotation).astype(np.float32)
-            for q, (number, row) in enumerate(zip(queries["vec_id"], queries["row"], strict=True)):
-                may = _scan(turned, turned_queries[q], k + 1)
-                may = may[own[may] != row]
-                score = _cosine(rows[may], asked[q])
-                best = np.lexsort((ids[may], -score))[:k]
-                out.append(pd.DataFrame({"query_row": row, "query_id": number, "vec_id": ids[may][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
+        if not len(candidates) or not len(queries):
+            return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
+        rows, asked = np.array(candidates["x"].tolist()), np.array(queries["x"].tolist())
+        q, c = _scan(unit(rows) @ rotation, unit(asked) @ rotation, k + 1)
+        other = candidates["row"].to_numpy()[c] != queries["row"].to_numpy()[q]
+        q, c = q[other], c[other]
+        found = pd.DataFrame({"query_row": queries["row"].to_numpy()[q], "query_id": queries["vec_id"].to_numpy()[q], "vec_id": candidates["vec_id"].to_numpy()[c], "score": _cosines(rows[c], asked[q])})
+        found = found.sort_values(["query_row", "score", "vec_id"], ascending=[True, False, True], kind="stable")
+        return found.groupby("query_row").head(k)
 
     return search
 
@@ -120,7 +121,7 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, probed: float) -> Dat
     spark = rows.sparkSession
     total = rows.count()
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "row").limit(SAMPLE).select("x").toArrow()["x"].combine_chunks()
-    count = int(min(LISTS, max(1, round(total**0.5))))
+    count = int(min(LISTS, max(1, round(total**0.5)), max(1, total // LIST_ROWS)))
     lists = centroids(unit(matrix(sample, dim)), count)
     count = len(lists)
     probes = max(1, int(np.ceil(probed * count)))
