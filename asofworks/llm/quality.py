@@ -151,8 +151,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     those whose id has the smallest hash.  Only text and label are learnt from.
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("y"))
-    rows = docs.select("doc_id", "text").where(~held_out() & (F.octet_length("text") <= SAMPLE_BYTES)).join(known, "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_ROWS).select("text", "y").toArrow()
+    able = docs.where(~held_out() & (F.octet_length("text") <= SAMPLE_BYTES))
+    # ids first, so that only the sample's texts move
+    chosen = able.select("doc_id").join(known, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    rows = able.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_ROWS).select("text", "y").toArrow()
     return fit([t.encode() for t in rows["text"].to_pylist()], rows["y"].to_numpy())
 
 
