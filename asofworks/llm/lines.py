@@ -1,8 +1,9 @@
 """Operator 1: line dedup by an exact set-similarity join with prefix, positional and length filters.
 
-Counting tokens and ordering each line's by rarity is done on arrays inside the
-tasks: in DataFrame functions alone it took twice the CPU budget (README).  All
-joins, groupings and the verification are DataFrame operations.
+Joins, groupings and the verification are DataFrame operations.  Counting tokens
+and ordering each line's by rarity has two forms with the same result: in
+DataFrame functions (native), and on arrays inside the tasks, which takes far
+less CPU time.  README says which is used where, and why.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def _words(line: str) -> Column:
 
 
 _RUN = "xxhash64(" + ", ".join(f"w[i + {k}]" for k in range(WIDTH)) + ")"
-_TOKENS = f"transform(sequence(0, size(w) - {WIDTH}), i -> {_RUN})"
+_TOKENS = f"if(size(w) < {WIDTH}, array(), transform(sequence(0, size(w) - {WIDTH}), i -> {_RUN}))"
 
 
 def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -92,15 +93,37 @@ def _prefixes(batches: Iterator[pa.RecordBatch], rarity: np.ndarray) -> Iterator
             )
 
 
-def _rarity(lines: DataFrame) -> np.ndarray:
+def _table(counted: DataFrame) -> np.ndarray:
     """How many tokens of all lines fall on each of COUNTERS counters: a table of fixed size."""
-    counted = lines.select("line").mapInArrow(_count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    rows = counted.toPandas()
     out = np.zeros(COUNTERS, np.int64)
-    out[counted["counter"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    out[rows["counter"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out
 
 
-def matched_lines(docs: DataFrame) -> DataFrame:
+def _entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(key, token, n, i) for the first tokens of each line of firsts, by arrays inside the tasks."""
+    rarity = _table(lines.select("line").mapInArrow(_count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")))
+    shared = lines.sparkSession.sparkContext.broadcast(rarity)
+    return firsts.select("key", "line").mapInArrow(lambda b: _prefixes(b, shared.value), "key long, token long, n int, i int")
+
+
+def _native_entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The same in DataFrame functions: a token as one number, its counter's level (4 log2 of 1 + n) above and its hash below."""
+    # no filters on the words: one would be moved below and split every line twice
+    places = F.expr(f"if(size(w) < {WIDTH}, array(), sequence(0, size(w) - {WIDTH}))")
+    runs = lines.select(_words("line").alias("w")).select("w", F.explode(places).alias("i"))
+    counted = runs.groupBy(F.expr(f"pmod({_RUN}, {COUNTERS})").cast("int").alias("counter")).agg(F.count("*").alias("n"))
+    levels = np.minimum(np.floor(4 * np.log2(_table(counted) + 1.0)), 127).astype(np.uint8).tobytes()
+    ranked = firsts.select("key", _words("line").alias("w")).select("key", F.expr(_TOKENS).alias("t"))
+    level = lambda t: F.ascii(F.substring(F.lit(levels), F.pmod(t, F.lit(COUNTERS)).cast("int") + 1, F.lit(1)).cast("string")).cast("long")
+    weigh = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+    ranked = ranked.select("key", F.array_sort(F.array_distinct(F.transform("t", weigh))).alias("t")).withColumn("n", F.size("t"))
+    prefix = F.slice("t", F.lit(1), (F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1).cast("int"))
+    return ranked.select("key", "n", F.posexplode(prefix).alias("i", "token")).select("key", "token", "n", "i")
+
+
+def matched_lines(docs: DataFrame, native: bool = True) -> DataFrame:
     """(doc_id, text_hash, at): the lines of WIDTH words or more that match an earlier line.
 
     Lines stand in the order of doc_id (null last) and place.  Equal lines are
@@ -115,14 +138,14 @@ def matched_lines(docs: DataFrame) -> DataFrame:
     repeats = lines.groupBy("key", "other_key").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
     repeats = kept(repeats.select("key", "other_key", "first"), "repeats")
     firsts = lines.join(_small(repeats), ["key", "other_key"], "left").where("first is null or place = first")
-    shared = docs.sparkSession.sparkContext.broadcast(_rarity(lines))
-    entries = firsts.select("key", "line").mapInArrow(lambda b: _prefixes(b, shared.value), "key long, token long, n int, i int")
+    entries = (_native_entries if native else _entries)(lines, firsts)
     entries = entries.withColumn("shared", F.count("*").over(Window.partitionBy("token"))).where("shared > 1").drop("shared")
     entries = kept(entries, "entries")
 
     keys = kept(entries.select("key").distinct(), "keys")
+    # no filter on the words here: it would move below the join and look at every line
     whole = firsts.join(_small(keys), "key", "left_semi").select("key", "place", _words("line").alias("w"))
-    sets = kept(whole.where(F.size("w") >= WIDTH).select("key", "place", F.array_distinct(F.expr(_TOKENS)).alias("t")), "sets")
+    sets = kept(whole.select("key", "place", F.array_distinct(F.expr(_TOKENS)).alias("t")), "sets")
     entries = kept(entries.join(sets.select("key", "place"), "key"), "placed")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -153,17 +176,20 @@ def matched_lines(docs: DataFrame) -> DataFrame:
     first_gone = firsts.join(_small(whole), ["key", "place"], "left_semi").select("key", "other_key", F.lit(None).cast("decimal(38,0)").alias("spare"))
     long_repeats = repeats.join(first_gone.select("key", "other_key"), ["key", "other_key"], "left_anti").select("key", "other_key", F.col("first").alias("spare"))
     gone = kept(first_gone.unionAll(long_repeats), "gone")
-    found = lines.join(_small(gone), ["key", "other_key"]).where("spare is null or place <> spare")
-    return found.where(F.size(_words("line")) >= WIDTH).select("doc_id", "text_hash", "at")
+    found = lines.join(_small(gone), ["key", "other_key"])
+    # one condition on both sides, so that the words of joined lines only are counted
+    spared = F.coalesce(F.col("place") == F.col("spare"), F.lit(False))
+    return found.where(F.when(spared, False).otherwise(F.size(_words("line")) >= WIDTH)).select("doc_id", "text_hash", "at")
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, native: bool = True) -> DataFrame:
     """docs with lines removed, and (lines, removed): how many lines each text had and lost.
 
     A line is removed if an earlier line of the corpus has 75 % of their united
     distinct 5-word shingles (lower-cased words between white space) in common;
     earlier means a smaller doc_id (null last), then a smaller place in the
-    text.  Every earlier line counts, whether it is itself removed or not.
+    text.  Every earlier line counts, whether it is itself removed or not.  native
+    chooses the form of the token work, not the result.
     Lines of fewer than five words have no shingle and stay: they repeat by
     chance.
 
@@ -172,7 +198,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     other.  All columns of docs are kept; n_chars, if there, counts the new
     text.  An empty table gives an empty result.
     """
-    removed = matched_lines(docs).distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("at")).alias("_gone"))
+    removed = matched_lines(docs, native).distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("at")).alias("_gone"))
     removed = kept(removed, "removed").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "_gone")
     rows = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
     rows = rows.join(_small(removed), rows["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash")), "left")
@@ -186,12 +212,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return rows.select(*docs.columns, "lines", "removed")
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, native: bool = True) -> DataFrame:
     """docs less their repeated lines; a document that loses all its lines goes."""
-    return dedup_lines(docs).where("removed = 0 or removed < lines").drop("lines", "removed")
+    return dedup_lines(docs, native).where("removed = 0 or removed < lines").drop("lines", "removed")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup_lines(read_table(spark, sf_dir, "documents"))
+    rows = dedup_lines(read_table(spark, sf_dir, "documents"), native=False)
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return rows.select("doc_id", F.col("lines").cast("long").alias("n_lines"), F.col("removed").cast("long").alias("n_removed"), F.octet_length(text).cast("long").alias("bytes_left"), F.crc32(text).alias("text_crc32"))

@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter
 
+import pytest
 from asofworks.llm import lines, minhash
 
 from tests.llm.conftest import edited, prose, rows
@@ -82,10 +83,11 @@ def removed_lines(items):
     return gone
 
 
-def test_line_dedup_equals_brute_force(docs):
+@pytest.mark.parametrize("native", [True, False])
+def test_line_dedup_equals_brute_force(docs, native):
     items = [(r[0], r[1]) for r in rows() if r[0] != 80]
     gone = removed_lines(items)
-    got = lines.dedup_lines(docs.where("doc_id is null or doc_id <> 80"))
+    got = lines.dedup_lines(docs.where("doc_id is null or doc_id <> 80"), native)
     assert got.columns == [*docs.columns, "lines", "removed"]
     want = Counter()
     for i, text in items:
