@@ -12,15 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofworks.llm.store import kept, read_table
-from asofworks.llm.textbytes import blocks, mix, words
+from asofworks.llm.textbytes import blocks, mix, span_hashes, words
 
 #: Words as frequent as one in HEAD tokens are looked up in a broadcast table, of HEAD rows at most; rarer ones are joined.
 HEAD = 1 << 21
-#: Bigrams as frequent as one in BIGRAMS tokens are in the filter: BIGRAMS of them at most.
+#: Bigrams as frequent as one in BIGRAMS tokens are in a broadcast filter: BIGRAMS of them at most; all others are in parts.
 BIGRAMS = 1 << 19
+#: Training tokens for each part of the filter of all other bigrams, and its bits for each (key, level).
+PART, EACH = 1 << 19, 15
 #: A count is kept as the power of BASE (times the least count) that it reaches.
 BASE = 1.3
-#: Bits of the filter and hashes of a key; at most BIGRAMS * BASE / (BASE - 1) keys go in, some 15 bits each.
+#: Bits of the broadcast filter and hashes of a key; at most BIGRAMS * BASE / (BASE - 1) keys go in, some 15 bits each.
 BITS, HASHES = 1 << 25, 8
 #: Share of a bigram's relative frequency that is trusted; the rest goes to the unigram.
 TRUST = 0.9
@@ -58,24 +60,34 @@ def _counted(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.nd
     return found.groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _levels(counts: np.ndarray, least: float) -> np.ndarray:
+    return np.floor(np.log(np.maximum(counts / least, 1.0)) / np.log(BASE) + 1e-9).astype(np.int64) + 1
+
+
 class LogFrequencyBloom:
     """A Bloom filter of (key, level) for every level that a key's count reaches."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float) -> None:
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float, bits: int | None = BITS) -> None:
         self.least = least
-        self.bits = np.zeros(BITS // 8, np.uint8)
-        level = np.floor(np.log(np.maximum(counts / least, 1.0)) / np.log(BASE) + 1e-9).astype(np.int64) + 1
+        level = _levels(counts, least)
+        # without a number of bits, it is sized by what goes in
+        self.bits = np.zeros((bits or max(64, EACH * int(level.sum()))) // 8, np.uint8)
         for j in range(1, int(level.max(initial=0)) + 1):
             for place in self._places(keys[level >= j], j):
                 np.bitwise_or.at(self.bits, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
 
-    @staticmethod
-    def _places(keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
+    @classmethod
+    def of_bits(cls, bits: bytes, least: float) -> LogFrequencyBloom:
+        out = cls.__new__(cls)
+        out.least, out.bits = least, np.frombuffer(bits, np.uint8)
+        return out
+
+    def _places(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
         with np.errstate(over="ignore"):
             a = mix(keys.astype(np.uint64) ^ mix(np.array([level], np.uint64)))
             step = (a >> np.uint64(32)) | np.uint64(1)
             for k in range(HASHES):
-                yield (a + np.uint64(k) * step) % np.uint64(BITS)
+                yield (a + np.uint64(k) * step) % np.uint64(8 * len(self.bits))
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """What the filter has as each key's count (0: not in it), by probes for level 1, 2, ... until one misses."""
@@ -102,6 +114,7 @@ class Model:
     distinct: int
     bigrams: LogFrequencyBloom
     mass: np.ndarray
+    parts: int
 
     def index(self, hashes: np.ndarray) -> np.ndarray:
         """Each token's row in head, or -1."""
@@ -123,11 +136,87 @@ def _history(index: np.ndarray, begin: np.ndarray, end_index: int) -> np.ndarray
     return before
 
 
+#: In a bigram's key: set if its first word is no head word; set if its second is one; bits of the second.
+_RARE, _OFTEN, _SECOND = np.uint64(1 << 63), np.uint64(1 << 41), np.uint64(42)
+
+
+def _keys(before: np.ndarray, tokens: np.ndarray, prior: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """A key for each bigram, from the hashes of its words and their rows in head (or -1): a head word's row, or a hash."""
+    with np.errstate(over="ignore"):
+        second = np.where(index >= 0, index.astype(np.uint64) | _OFTEN, tokens >> np.uint64(23))
+        own = (prior.astype(np.uint64) << _SECOND) | second
+        return np.where(prior >= 0, own, mix(before * np.uint64(0xD6E8FEB86659FD93) + tokens) | _RARE)
+
+
+def _firsts(codes: np.ndarray, n: int) -> np.ndarray:
+    first = np.empty(n, np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    return first
+
+
+def _count_bigrams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """(part, key, prev, n) of each batch, summed within the batch; prev is the first word's hash if it is no head word."""
+    end_index = int(model.index(np.array([END]))[0])
+    for batch in batches:
+        found = []
+        for _, _, data, offsets in blocks(batch.column(0)):
+            tokens, begin = _with_ends(*words(data, offsets))
+            index = model.index(tokens)
+            before, prior = _history(tokens, begin, END), _history(index, begin, end_index)
+            keys = _keys(before, tokens, prior, index)
+            codes, unique = pd.factorize(keys)
+            first = _firsts(codes, len(unique))
+            found.append((unique, before[first], np.bincount(codes, minlength=len(unique))))
+        if found:
+            keys, before, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            codes, unique = pd.factorize(keys)
+            first = _firsts(codes, len(unique))
+            prev = pa.array(before[first].view(np.int64), mask=unique < _RARE)
+            part = (mix(unique) % np.uint64(model.parts)).astype(np.int32)
+            total = np.bincount(codes, n, len(unique)).astype(np.int64)
+            yield pa.record_batch([pa.array(part), pa.array(unique.view(np.int64)), prev, pa.array(total)], ["part", "key", "prev", "n"])
+
+
+#: What a part gives: its filter (id: part), the mass of its histories (id: row in head, or hash), its frequent bigrams (id: key).
+FILTER, HEAD_MASS, RARE_MASS, FREQUENT = range(4)
+PARTS = "kind int, id long, value double, bits binary"
+
+
+def _part(table: pa.Table, least: float) -> pa.Table:
+    key = table["key"].to_numpy().astype(np.int64).view(np.uint64)
+    n = table["n"].to_numpy().astype(np.float64)
+    prev = table["prev"].fill_null(0).to_numpy().astype(np.int64)
+    often = (n >= least) & (key < _RARE) & ((key & _OFTEN) > 0)
+    made = LogFrequencyBloom(key[~often], n[~often], 1.0, None)
+    value = BASE ** (_levels(n, 1.0) - 1.0)
+    out = [(FILTER, np.array([table["part"][0].as_py()], np.int64), np.zeros(1), [made.bits.tobytes()])]
+    for kind, rows, of in ((HEAD_MASS, ~often & (key < _RARE), (key >> _SECOND).astype(np.int64)), (RARE_MASS, key >= _RARE, prev)):
+        codes, unique = pd.factorize(of[rows])
+        out.append((kind, unique, np.bincount(codes, value[rows], len(unique)), [None] * len(unique)))
+    out.append((FREQUENT, key[often].view(np.int64), n[often], [None] * int(often.sum())))
+    return pa.table(
+        [
+            pa.array(np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in out])),
+            pa.array(np.concatenate([x[1] for x in out])),
+            pa.array(np.concatenate([x[2] for x in out])),
+            pa.array([b for x in out for b in x[3]], pa.binary()),
+        ],
+        ["kind", "id", "value", "bits"],
+    )
+
+
 def fit(train: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the table (key, n) of all words' counts, from the column text of train.
+    """The model, and the table (key, n) of all words' counts, from the column text of train."""
+    return _fit(train)[:2]
+
 
-    Every token of train is counted.  Words and bigrams above a relative
-    frequency, of which there can only be a fixed number, come to the driver.
+def _fit(train: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the table (key, n) of all words' counts, and the table of all parts, from the column text of train.
+
+    Every token and every bigram of train is counted.  Words and bigrams above a
+    relative frequency, of which there can only be a fixed number, come to the
+    driver.  All other bigrams are in parts by a hash of the key, as many as
+    the tokens ask for; each has a filter of its own.
     """
     texts = train.select("text")
     counts = kept(_counted(texts, lambda tokens, begin: tokens), "words")
@@ -136,30 +225,119 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     key, n = head["key"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64)
     order = np.argsort(key)
     empty = LogFrequencyBloom(np.zeros(0, np.uint64), np.zeros(0), 1.0)
-    model = Model(key[order], n[order], total["n"], total["v"], empty, np.zeros(len(key)))
+    model = Model(key[order], n[order], total["n"], total["v"], empty, np.zeros(len(key)), 1 + total["n"] // PART)
     least = max(1.0, total["n"] / BIGRAMS)
-    # both words of a bigram are at least as frequent as it is
-    word_least = model.count >= least
-    shared = texts.sparkSession.sparkContext.broadcast((model, word_least))
-
-    def pairs(tokens: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        model, often = shared.value
-        index = model.index(tokens)
-        before = _history(index, begin, int(model.index(np.array([END]))[0]))
-        ok = (index >= 0) & (before >= 0)
-        index, before = index[ok], before[ok]
-        ok = often[index] & often[before]
-        return _pair(before[ok], index[ok])
-
-    found = _counted(texts, pairs).where(F.col("n") >= least).toPandas()
-    key, n = found["key"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.float64)
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    found = texts.mapInArrow(lambda b: _count_bigrams(b, shared.value), "part int, key long, prev long, n long")
+    found = found.repartition("part").groupBy("part", "key").agg(F.first("prev").alias("prev"), F.sum("n").alias("n"))
+    parts = kept(found.groupBy("part").applyInArrow(lambda t: _part(t, least), PARTS), "bigrams")
+    often = parts.where(F.col("kind") == FREQUENT).select("id", "value").toPandas()
+    key, n = often["id"].to_numpy(np.int64).view(np.uint64), often["value"].to_numpy(np.float64)
+    key = _pair(key >> _SECOND, key & (_OFTEN - np.uint64(1)))
     model.bigrams = LogFrequencyBloom(key, n, least)
-    kept_count = model.bigrams.counts(key)
-    model.mass = np.bincount((key >> np.uint64(32)).astype(np.int64), kept_count, len(model.head))
-    return model, counts
+    model.mass = np.bincount((key >> np.uint64(32)).astype(np.int64), model.bigrams.counts(key), len(model.head)).astype(np.float64)
+    mass = parts.where(F.col("kind") == HEAD_MASS).groupBy("id").agg(F.sum("value").alias("value")).toPandas()
+    model.mass[mass["id"].to_numpy(np.int64)] += mass["value"].to_numpy(np.float64)
+    return model, counts, parts
+
 
+PROBES = "part int, twin long, key long, k int, rate float, prev long, token long"
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, gain double, tail array<long>"
+
+def _twins(doc_ids: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A hash of each row's doc_id and text."""
+    ids = doc_ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return mix(span_hashes(data, offsets[:-1], offsets[1:]) ^ mix(ids))
+
+
+def _probes(batches: Iterator[pa.RecordBatch], model: Model, rare: bool) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to the bigrams, each once a text, that the parts have to tell: of two head words, or those with a rare one.
+
+    A bigram seen c times has gain log10(1 + c * rate) over its history's own;
+    what a rare word adds to rate comes later.
+    """
+    one = (model.count + 1.0) / (model.tokens + model.distinct + 1.0)
+    end_index = int(model.index(np.array([END]))[0])
+    left = 1.0 - TRUST * np.minimum(model.mass / np.maximum(model.count, 1), 1.0)
+    first_rate, second_rate = np.append(TRUST / np.maximum(model.count, 1) / left, 1.0), np.append(1.0 / one, 1.0)
+    for batch in batches:
+        for at, end, data, offsets in blocks(batch.column(1)):
+            twin = _twins(batch.column(0).slice(at, end - at), data, offsets)
+            tokens, begin = _with_ends(*words(data, offsets))
+            text = np.repeat(np.arange(end - at), np.diff(begin))
+            index = model.index(tokens)
+            before, prior = _history(tokens, begin, END), _history(index, begin, end_index)
+            both = (prior >= 0) & (index >= 0)
+            some = np.flatnonzero(~both if rare else both)
+            if not rare:
+                codes, unique = pd.factorize(_pair(prior[some], index[some]))
+                some = some[model.bigrams.counts(unique)[codes] == 0]
+            keys = _keys(before[some], tokens[some], prior[some], index[some])
+            codes, unique = pd.factorize(mix(keys ^ mix(text[some].astype(np.uint64))))
+            first = _firsts(codes, len(unique))
+            keys, some = keys[first], some[first]
+            yield pa.record_batch(
+                [
+                    pa.array((mix(keys) % np.uint64(model.parts)).astype(np.int32)),
+                    pa.array(twin[text[some]].view(np.int64)),
+                    pa.array(keys.view(np.int64)),
+                    pa.array(np.bincount(codes, minlength=len(unique)).astype(np.int32)),
+                    pa.array((first_rate[prior[some]] * second_rate[index[some]]).astype(np.float32)),
+                    pa.array(before[some].view(np.int64), mask=prior[some] >= 0),
+                    pa.array(tokens[some].view(np.int64), mask=index[some] >= 0),
+                ],
+                ["part", "twin", "key", "k", "rate", "prev", "token"],
+            )
+
+
+def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of part, each part's filter first, to (twin, gain)."""
+    at, filter_ = -1, None
+    for batch in batches:
+        part = batch.column(0).to_numpy()
+        twin, key, k, rate, off = (batch.column(c).to_numpy() for c in range(1, 6))
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+        gain = np.zeros(len(part))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if a == b:
+                continue
+            if part[a] != at:
+                at, filter_ = part[a], None
+            if batch.column(6)[a].is_valid:
+                filter_ = LogFrequencyBloom.of_bits(batch.column(6)[a].as_py(), 1.0)
+            seen = filter_.counts(key[a:b].view(np.uint64)) if filter_ else np.zeros(b - a)
+            gain[a:b] = k[a:b] * (off[a:b] + np.log10(1.0 + seen * rate[a:b]))
+        some = np.flatnonzero(gain)
+        yield pa.record_batch([pa.array(twin[some]), pa.array(gain[some].astype(np.float32))], ["twin", "gain"])
+
+
+def _part_gains(rows: DataFrame, model: Model, counts: DataFrame, parts: DataFrame) -> DataFrame:
+    """(twin, part_gain): what the parts add to the gain of the rows of each twin, summed."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    texts = rows.select("doc_id", "text")
+    often, rare = (texts.mapInArrow(lambda b, r=r: _probes(b, shared.value, r), PROBES) for r in (False, True))
+    mass = parts.where(F.col("kind") == RARE_MASS).groupBy(F.col("id").alias("key")).agg(F.sum("value").alias("mass"))
+    known = counts.where(F.col("n") * HEAD < model.tokens).join(mass, "key", "left")
+    left = 1 - TRUST * F.least(F.coalesce("mass", F.lit(0.0)) / F.col("n"), F.lit(1.0))
+    size = float(model.tokens + model.distinct + 1)
+    known = known.select("key", F.log10(left).alias("off"), (TRUST / F.col("n") / left).alias("first_rate"), (F.lit(size) / (F.col("n") + 1)).alias("second_rate"))
+    # a head word joins by the bigram's key, which is no word's, so that no task gets all of them
+    first = known.select(F.col("key").alias("_prev"), "off", "first_rate")
+    second = known.select(F.col("key").alias("_token"), "second_rate")
+    rare = rare.join(first, F.coalesce("prev", "key") == F.col("_prev"), "left").join(second, F.coalesce("token", "key") == F.col("_token"), "left")
+    mine = lambda word, rate: F.when(F.col(word).isNull(), 1.0).otherwise(F.coalesce(rate, F.lit(0.0)))
+    rate = (F.col("rate") * mine("prev", "first_rate") * mine("token", "second_rate")).cast("float")
+    rare = rare.select("part", "twin", "key", "k", rate.alias("rate"), F.coalesce("off", F.lit(0.0)).cast("float").alias("off"))
+    often = often.select("part", "twin", "key", "k", "rate", F.lit(0.0).cast("float").alias("off"))
+    zero = lambda kind, name: F.lit(0).cast(kind).alias(name)
+    filters = parts.where(F.col("kind") == FILTER)
+    filters = filters.select(F.col("id").cast("int").alias("part"), zero("long", "twin"), zero("long", "key"), zero("int", "k"), zero("float", "rate"), zero("float", "off"), "bits")
+    every = often.unionAll(rare).withColumn("bits", F.lit(None).cast("binary")).unionAll(filters)
+    every = every.repartition("part").sortWithinPartitions("part", F.col("bits").isNull())
+    return every.mapInArrow(_probe, "twin long, gain float").groupBy("twin").agg(F.sum("gain").alias("part_gain"))
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, gain double, twin long, tail array<long>"
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -198,9 +376,10 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
                     pa.array(known),
                     pa.array(head_score),
                     pa.array(np.bincount(text, gain, n)),
+                    pa.array(_twins(batch.column(0).slice(at, n), data, offsets).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(tail.view(np.int64))),
                 ],
-                ["doc_id", "held_out", "n_tokens", "head_known", "head_score", "gain", "tail"],
+                ["doc_id", "held_out", "n_tokens", "head_known", "head_score", "gain", "twin", "tail"],
             )
             at += n
 
@@ -211,9 +390,9 @@ def score(docs: DataFrame) -> DataFrame:
     Tokens are the lower-cased (A-Z) words of the whole text and one end.  The
     model learns from rows that held_out() doesn't name.  base_score sums the
     add-one unigram log10 probabilities.  score is the model's: TRUST of a
-    bigram's relative frequency as the filter has it, and what the bigrams of
-    that history leave over for the unigram; after a rare word the unigram
-    alone.
+    bigram's relative frequency as the filters have it, and what the bigrams of
+    that history leave over for the unigram.  Every bigram of the training rows
+    counts, however rare it or its words are.
 
     A null or empty text has the end as its only token.  A null doc_id counts
     as empty text for the split and is scored.  Repeated rows are scored each.
@@ -221,7 +400,7 @@ def score(docs: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    model, counts = fit(rows.where(~F.col("held_out")))
+    model, counts, parts = _fit(rows.where(~F.col("held_out")))
     shared = rows.sparkSession.sparkContext.broadcast(model)
     scored = rows.mapInArrow(lambda b: _score(b, shared.value), SCORED).withColumn("row", F.monotonically_increasing_id())
     scored = kept(scored, "scored")
@@ -232,14 +411,16 @@ def score(docs: DataFrame) -> DataFrame:
     tail = tail.join(rare, "key", "left").groupBy("row").agg(F.sum(F.col("k") * log).alias("tail_score"), F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("tail_known"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     base = F.col("head_score") + zero("tail_score")
-    return scored.drop("tail").join(tail, "row", "left").select(
+    copies = scored.groupBy("twin").agg(F.count("*").alias("copies"))
+    more = _part_gains(rows, model, counts, parts).join(copies, "twin").select("twin", (F.col("part_gain") / F.col("copies")).alias("part_gain"))
+    return scored.drop("tail").join(tail, "row", "left").join(more, "twin", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("head_known") + zero("tail_known")).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("gain")).alias("score"),
+        (base + F.col("gain") + zero("part_gain")).alias("score"),
     )
 
 

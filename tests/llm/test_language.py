@@ -47,6 +47,17 @@ def test_rare_words_take_the_join(docs, monkeypatch):
         assert r.n_known == known and r.base_score == pytest.approx(base)
 
 
+def test_every_bigram_counts_whatever_the_heads_hold(docs, monkeypatch):
+    want = Counter((r.doc_id, r.n_tokens, r.score > r.base_score) for r in bloom_lm.score(docs).collect())
+    whole = {(r.doc_id, r.n_tokens): r.score for r in bloom_lm.score(docs).collect()}
+    for name, value in (("BIGRAMS", 64), ("HEAD", 64), ("PART", 500)):
+        monkeypatch.setattr(bloom_lm, name, value)
+        got = bloom_lm.score(docs).collect()
+        assert Counter((r.doc_id, r.n_tokens, r.score > r.base_score) for r in got) == want
+        for r in got:
+            assert r.score == pytest.approx(whole[(r.doc_id, r.n_tokens)], rel=0.05, abs=1)
+
+
 def test_probabilities_of_a_history_sum_to_one(spark):
     data = spark.createDataFrame([(k, prose(k, 200)) for k in range(20)], "doc_id long, text string")
     model, counts = bloom_lm.fit(data)
