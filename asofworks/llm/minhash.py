@@ -19,10 +19,10 @@ WIDTH, SIMILAR = 5, 75
 TREES, DEPTH = 16, 6
 #: Values that neighbours share at least.
 LEAST_DEPTH = 3
-#: Successors that an entry of an order is held against; in a region of more entries than that, those beyond each number in CLOSE must share one value more.
-NEAR, CLOSE = 24, (4, 10)
-#: Share of equal signature values below which a pair is not confirmed; at similarity 0.75 and 96 values that is four deviations away.
-ESTIMATE = 0.57
+#: Entries of a region up to which each is held against all in one pass over the order; a larger region is cut into blocks of about BLOCK entries, and pairs of blocks are held against each other.
+NEAR, BLOCK = 24, 1024
+#: Share of equal signature values below which a pair is not confirmed; at similarity 0.75 and 96 values that is five deviations away.
+ESTIMATE = 0.53
 #: Ids that are broadcast at most to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
 
@@ -74,38 +74,64 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def neighbours(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
-    """Rows (tree, node, known component, entries of the region, signature) in the order of the trees' keys to pairs of neighbours up to steps apart.
+    """Rows (tree, region's head, node, known component, signature) in order to pairs of a region up to steps apart whose signatures agree well enough.
 
-    A pair is taken if its keys share their first LEAST_DEPTH values and the
-    whole signatures agree well enough.  The order puts those that share the
-    most values first; in a crowded region the depth asked for grows.  Nodes
-    known to be in one component need no pair.
+    Nodes known to be in one component need no pair.
     """
     size = TREES * DEPTH
     tail: tuple | None = None
     for batch in batches:
-        tree = batch.column(0).to_numpy()
-        node = batch.column(1).to_numpy()
-        known = batch.column(2).to_numpy()
-        crowd = batch.column(3).to_numpy()
+        tree, head, node, known = (batch.column(c).to_numpy() for c in range(4))
         sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, size)
         if tail:
-            tree, node, known, crowd, sig = (np.concatenate(x) for x in zip(tail, (tree, node, known, crowd, sig), strict=True))
+            tree, head, node, known, sig = (np.concatenate(x) for x in zip(tail, (tree, head, node, known, sig), strict=True))
         n, old = len(tree), len(tail[0]) if tail else 0
-        keys = sig[np.arange(n)[:, None], tree[:, None] * DEPTH + np.arange(LEAST_DEPTH + len(CLOSE))]
         found_a, found_b = [], []
         for step in range(1, min(steps, n - 1) + 1):
             i = np.arange(max(0, old - step), n - step)
-            i = i[(tree[i] == tree[i + step]) & (known[i] != known[i + step])]
-            same = np.minimum.accumulate(keys[i] == keys[i + step], axis=1).sum(1)
-            i = i[same >= LEAST_DEPTH + np.where(crowd[i] > NEAR, sum(step > c for c in CLOSE), 0)]
+            i = i[(tree[i] == tree[i + step]) & (head[i] == head[i + step]) & (known[i] != known[i + step])]
             i = i[(sig[i] == sig[i + step]).mean(1) >= ESTIMATE] if len(i) else i
             found_a.append(np.minimum(node[i], node[i + step]))
             found_b.append(np.maximum(node[i], node[i + step]))
         if found_a:
             pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)]), axis=1)
             yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-        tail = tuple(x[-steps:] for x in (tree, node, known, crowd, sig))
+        tail = tuple(x[-steps:] for x in (tree, head, node, known, sig))
+
+
+def across(table: pa.Table) -> pa.Table:
+    """Two blocks of a region, or one, to all pairs of different components and blocks (of one: all) whose signatures agree well enough."""
+    node, known, block = (table[c].to_numpy() for c in ("node", "known", "block"))
+    one, two = table["one"][0].as_py(), table["two"][0].as_py()
+    sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, TREES * DEPTH)
+    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    others = np.ascontiguousarray(sig[right])
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in left.tolist():
+        j = right[((others == sig[i]).mean(1) >= ESTIMATE) & (known[right] != known[i])]
+        found_a.append(np.minimum(node[i], node[j]))
+        found_b.append(np.maximum(node[i], node[j]))
+    pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)]), axis=1)
+    return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def block_pairs(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """(a, b) of all pairs of a region that lie in different known components, from members (tree, head, node, known, n).
+
+    A component of over BLOCK entries has blocks of its own, which are not held
+    against each other; all others share blocks by the component's hash.
+    """
+    share = members.groupBy("tree", "head", "known").agg(F.count("*").alias("s"))
+    members = members.join(share, ["tree", "head", "known"])
+    own = F.when(F.col("s") > BLOCK, F.col("known"))
+    salt = F.when(F.col("s") > BLOCK, F.pmod(F.xxhash64("node"), F.ceil(F.col("s") / BLOCK))).otherwise(F.pmod(F.xxhash64("known"), F.ceil(F.col("n") / BLOCK)))
+    members = kept(members.withColumn("own", own).withColumn("block", F.xxhash64(F.col("own").isNull(), "own", salt)).select("tree", "head", "own", "block", "node", "known"), "members")
+    blocks = members.select("tree", "head", "own", "block").distinct()
+    two = blocks.select("tree", "head", F.col("own").alias("its"), F.col("block").alias("two"))
+    tiles = blocks.withColumnRenamed("block", "one").join(two, ["tree", "head"]).where((F.col("one") <= F.col("two")) & F.coalesce(F.col("own") != F.col("its"), F.lit(True)))
+    tiles = tiles.select("tree", "head", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    rows = tiles.join(members.drop("own"), ["tree", "head", "block"]).join(heads.select("node", "signature"), "node")
+    return rows.groupBy("tree", "head", "one", "two").applyInArrow(across, "a long, b long")
 
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -115,9 +141,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc_id; only one of a class takes part in the search.  Every tree orders
     the classes by its part of the signature; entries whose first LEAST_DEPTH
     values are equal form a region, and only regions of two or more go on.
-    Links are confirmed on the full sets, in two rounds: what the first brings
-    together is not held against each other again, so a large group of near
-    copies never makes all its pairs.
+    Links are confirmed on the full sets, in two rounds: the first takes the
+    nearest neighbours and each region's first entry, the second all pairs of a
+    region, however large it is.  What the first brings together is not held
+    against each other again, so a large group of near copies never makes all
+    its pairs.
     """
     texts = docs.select("doc_id", "text")
     signed = kept(texts.mapInArrow(sign, SIGNED), "signed")
@@ -133,12 +161,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = entries.select("tree", "node", F.expr(f"substring(signature, 1 + 4 * tree * {DEPTH}, {4 * LEAST_DEPTH})").alias("region"))
     crowded = entries.groupBy("tree", "region").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
     entries = kept(entries.join(crowded, ["tree", "region"]).select("tree", "node", "head", "n"), "regions")
-    keyed = entries.select("tree", "node", "n").join(heads.select("node", "signature"), "node")
+    keyed = entries.select("tree", "head", "node").join(heads.select("node", "signature"), "node")
     keyed = keyed.withColumn("key", F.expr(f"substring(signature, 1 + 4 * tree * {DEPTH}, {4 * DEPTH})"))
 
-    def candidates(known: DataFrame, steps: int) -> DataFrame:
-        ordered = known.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node").select("tree", "node", "known", "n", "signature")
-        return ordered.mapInArrow(lambda b: neighbours(b, steps), "a long, b long")
+    def candidates(ordered: DataFrame, steps: int) -> DataFrame:
+        return ordered.select("tree", "head", "node", "known", "signature").mapInArrow(lambda b: neighbours(b, steps), "a long, b long")
 
     active = entries.select(F.col("node").alias("doc_id")).distinct()
     active = kept(active, "active")
@@ -151,12 +178,17 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").withColumn("common", F.size(F.array_intersect("x", "y")))
         return kept(both.where(100 * F.col("common") >= SIMILAR * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b"), "links")
 
-    # first the nearest neighbours and each region's head; then all neighbours that these have not brought together
+    # first the nearest neighbours and each region's head; then all pairs of a region that these have not brought together
     to_head = entries.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    first = confirmed(candidates(keyed.withColumn("known", F.col("node")), 1).unionAll(to_head).distinct())
+    nearest = keyed.withColumn("known", F.col("node")).repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
+    first = confirmed(candidates(nearest, 1).unionAll(to_head).distinct())
     known = components(first).withColumnRenamed("component", "known")
-    keyed = keyed.join(known, "node", "left").withColumn("known", F.coalesce("known", "node"))
-    links = first.unionAll(confirmed(candidates(keyed, NEAR).distinct()))
+    members = kept(entries.join(known, "node", "left").withColumn("known", F.coalesce("known", "node")), "members")
+    apart = members.groupBy("tree", "head").agg(F.min("known").alias("x"), F.max("known").alias("y")).where("x <> y").select("tree", "head")
+    members = kept(members.join(apart, ["tree", "head"]), "members")
+    small = members.where(F.col("n") <= NEAR).join(heads.select("node", "signature"), "node").repartition("tree", "head").sortWithinPartitions("tree", "head", "node")
+    rest = candidates(small, NEAR).unionAll(block_pairs(members.where(F.col("n") > NEAR), heads))
+    links = first.unionAll(confirmed(rest.distinct()))
     return signed.join(classes, ["set_a", "set_b", "n_shingles"], "left"), links
 
 

@@ -56,6 +56,18 @@ def test_near_duplicates_of_a_large_group(spark):
     assert sum(got[k] != want[k] for k in want) <= 2
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_crowded_regions_lose_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block, raising=False)
+    base = prose(6, 300)
+    family = [edited(base, k, 6) for k in range(250)]
+    items = [(2 * k, t) for k, t in enumerate(family)] + [(2 * k + 1, edited(t, 1000 + k, 7)) for k, t in enumerate(family)]
+    want, _ = expected_components(items)
+    got = dict(minhash.near_duplicates(spark.createDataFrame(items, "doc_id long, text string")).select("doc_id", "component_id").collect())
+    assert sum(got[k] != want[k] for k in want) == 0
+    assert len(set(want.values())) > 1
+
+
 def test_dropping_keeps_columns_and_one_of_each_group(docs):
     kept = minhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
