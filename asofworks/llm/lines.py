@@ -50,18 +50,18 @@ def _words(line: str) -> Column:
     return F.array_remove(F.split(F.translate(line, upper, upper.lower()), "[ \t\x0b\f\r]+"), "")
 
 
-_RUN = "xxhash64(" + ", ".join(f"w[i + {k}]" for k in range(WIDTH)) + ")"
-_TOKENS = f"if(size(w) < {WIDTH}, array(), transform(sequence(0, size(w) - {WIDTH}), i -> {_RUN}))"
+# words beyond the end are null and leave the hash as it is: a line of fewer words is one token
+_RUN = "xxhash64(" + ", ".join(f"get(w, i + {k})" for k in range(WIDTH)) + ")"
+_PLACES = f"if(size(w) = 0, array(), sequence(0, greatest(size(w) - {WIDTH}, 0)))"
+_TOKENS = f"transform({_PLACES}, i -> {_RUN})"
 
 
 def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first line, tokens, line of each) for blocks of lines; lines of fewer words than WIDTH have none."""
+    """(first line, tokens, line of each) for blocks of lines; all words of a line of fewer than WIDTH are one token."""
     for at, end, data, offsets in blocks(column):
         hashes, begin = words(data, offsets)
-        enough = np.diff(begin) >= WIDTH
         tokens, to = shingles(hashes, begin, WIDTH)
-        line = np.repeat(np.arange(end - at), np.diff(to))
-        yield at, tokens[enough[line]], line[enough[line]]
+        yield at, tokens, np.repeat(np.arange(end - at), np.diff(to))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +111,7 @@ def _entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
 def _native_entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """The same in DataFrame functions: a token as one number, its counter's level (4 log2 of 1 + n) above and its hash below."""
     # no filters on the words: one would be moved below and split every line twice
-    places = F.expr(f"if(size(w) < {WIDTH}, array(), sequence(0, size(w) - {WIDTH}))")
-    runs = lines.select(_words("line").alias("w")).select("w", F.explode(places).alias("i"))
+    runs = lines.select(_words("line").alias("w")).select("w", F.explode(F.expr(_PLACES)).alias("i"))
     counted = runs.groupBy(F.expr(f"pmod({_RUN}, {COUNTERS})").cast("int").alias("counter")).agg(F.count("*").alias("n"))
     levels = np.minimum(np.floor(4 * np.log2(_table(counted) + 1.0)), 127).astype(np.uint8).tobytes()
     ranked = firsts.select("key", _words("line").alias("w")).select("key", F.expr(_TOKENS).alias("t"))
@@ -124,7 +123,7 @@ def _native_entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 def matched_lines(docs: DataFrame, native: bool = True) -> DataFrame:
-    """(doc_id, text_hash, at): the lines of WIDTH words or more that match an earlier line.
+    """(doc_id, text_hash, at): the lines that match an earlier line.
 
     Lines stand in the order of doc_id (null last) and place.  Equal lines are
     a class, placed where its first is.  A class's tokens are ordered by rarity;
@@ -179,7 +178,7 @@ def matched_lines(docs: DataFrame, native: bool = True) -> DataFrame:
     found = lines.join(_small(gone), ["key", "other_key"])
     # one condition on both sides, so that the words of joined lines only are counted
     spared = F.coalesce(F.col("place") == F.col("spare"), F.lit(False))
-    return found.where(F.when(spared, False).otherwise(F.size(_words("line")) >= WIDTH)).select("doc_id", "text_hash", "at")
+    return found.where(F.when(spared, False).otherwise(F.size(_words("line")) > 0)).select("doc_id", "text_hash", "at")
 
 
 def dedup_lines(docs: DataFrame, native: bool = True) -> DataFrame:
@@ -190,8 +189,8 @@ def dedup_lines(docs: DataFrame, native: bool = True) -> DataFrame:
     earlier means a smaller doc_id (null last), then a smaller place in the
     text.  Every earlier line counts, whether it is itself removed or not.  native
     chooses the form of the token work, not the result.
-    Lines of fewer than five words have no shingle and stay: they repeat by
-    chance.
+    All words of a line of fewer than five are its one shingle; a line without
+    words stays.
 
     A null text has 0 lines and stays null; an empty one has one line.  Rows
     that repeat a doc_id have lines at equal places, which don't precede each

@@ -109,6 +109,13 @@ def test_line_dedup_equals_brute_force(docs, native):
     assert len(gone) > 20
 
 
+@pytest.mark.parametrize("native", [True, False])
+def test_short_lines_that_repeat_are_removed(spark, native):
+    items = [(1, "Share this\none two three four five\n \nshare that"), (2, "Share this\nx\n "), (3, "SHARE  this\none two three four"), (4, "x\nshare")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string"), native).collect()}
+    assert got == {1: items[0][1], 2: "x\n ", 3: "one two three four", 4: "share"}
+
+
 def test_line_dedup_drops_emptied_documents_only(docs):
     kept = lines.drop_repeated_lines(docs)
     assert kept.columns == docs.columns
