@@ -57,8 +57,8 @@ def _units(docs: DataFrame, seed: int, weights: tuple[int, ...], share: float, m
     rows = rows.withColumn("p", F.greatest(ratio - F.col("whole"), F.lit(0.0)))
     odds = F.col("draw") / (1 - F.col("draw"))
     pareto = F.when(F.col("p") > 0, odds * (1 - F.col("p")) / F.col("p"))
-    # q / (1 + q) grows as the rank q does, and lies between 0 and 1
-    rows = rows.withColumn("place", F.coalesce(pareto / (1 + pareto), F.lit(1.0)))
+    # q / (1 + q) grows as the rank q does, and lies between 0 and 1; where no rank counts, draw spreads the rows
+    rows = rows.withColumn("place", F.coalesce(pareto / (1 + pareto), F.col("draw")))
     ranked = running(rows, ["source"], "place", [F.col("doc_id"), F.col("size"), F.col("text_hash")], words, "before")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     extra = (F.col("p") > 0) & (F.col("before") + words / 2 <= rest)

@@ -150,6 +150,16 @@ def test_mix_meets_its_targets(docs):
     assert Counter(r.doc_id for r in out.collect()) == Counter({k: v for k, v in sum((Counter({r.doc_id: r.copies}) for r in got), Counter()).items() if v})
 
 
+def test_a_source_at_its_cap_is_spread(spark, monkeypatch):
+    rows = [(k, "a b c", "capped" if k < 400 else f"other{k % 2}") for k in range(1200)]
+    places = []
+    real = mixing.running
+    monkeypatch.setattr(mixing, "running", lambda df, *a: places.append(df) or real(df, *a))
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.copies for r in got if r.source == "capped"} == {2}
+    assert places[0].where("source = 'capped' and p = 0").select("place").distinct().count() == 400
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.mix(no_docs).count() == 0
     assert mixing.mixed(no_docs).count() == 0
