@@ -1,31 +1,42 @@
-"""Operator 2: language-model scores from a log-frequency Bloom filter of bigram counts."""
+"""Operator 2: language-model scores from log-frequency Bloom filters of quantised bigram counts.
+
+A filter holds (key, level) for every level that a key's count reaches; a count
+is read back by probing level after level until one misses.  The model is
+
+    P(w | h) = (c(h, w) + MU * U(w)) / (c(h) + MU),   U(w) = (c(w) + 1) / (N + V + 1)
+
+so a history seen once gives its one follower 1 / (1 + MU), not all it has.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofworks.llm.store import kept, read_table
-from asofworks.llm.textbytes import blocks, mix, span_hashes, words
+from asofworks.llm.textbytes import blocks, mix, words
 
-#: Words as frequent as one in HEAD tokens are looked up in a broadcast table, of HEAD rows at most; rarer ones are joined.
+#: Words as frequent as one in HEAD tokens are in a broadcast table, of HEAD rows (32 MB) at most; rarer ones meet in the parts.
 HEAD = 1 << 21
-#: Bigrams as frequent as one in BIGRAMS tokens are in a broadcast filter: BIGRAMS of them at most; all others are in parts.
-BIGRAMS = 1 << 19
-#: Training tokens for each part of the filter of all other bigrams, and its bits for each (key, level).
-PART, EACH = 1 << 19, 15
+#: Bigrams as frequent as one in OFTEN tokens are in a broadcast filter, OFTEN of them (1 MB) at most; all others are in the filters of the parts.
+OFTEN = 1 << 16
+#: Counters by which the search for frequent bigrams is narrowed down; every bigram is counted.
+COUNTERS = 1 << 18
+#: Training tokens for each part; tokens that a task gathers before it deals them out.
+PART, BATCH = 1 << 21, 1 << 21
 #: A count is kept as the power of BASE (times the least count) that it reaches.
 BASE = 1.3
-#: Bits of the broadcast filter and hashes of a key; at most BIGRAMS * BASE / (BASE - 1) keys go in, some 15 bits each.
-BITS, HASHES = 1 << 25, 8
-#: Share of a bigram's relative frequency that is trusted; the rest goes to the unigram.
-TRUST = 0.9
+#: Bits for each (key, level) and hashes of it: 0.4 % of the keys that were never put in are found.
+EACH, HASHES = 12, 6
+#: Weight of the unigram, in occurrences of a history: of 16, 64, 256 and 1024 the best for the held-out documents of sf0.1 (-3.73 a token; unigrams alone -4.19).
+MU = 256.0
 
 #: Stands for the end of a text, and for what is before its first word.
 END = np.uint64(0x5EED0FE4D0C0FFEE)
@@ -41,53 +52,66 @@ def _with_ends(hashes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.insert(hashes, begin[1:], END), begin + np.arange(len(begin))
 
 
+def _history(tokens: np.ndarray, begin: np.ndarray, end: object) -> np.ndarray:
+    """What stands before each token; before a text's first, the end."""
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[begin[:-1]] = end
+    return before
+
+
 def _tally(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     codes, unique = pd.factorize(keys)
     return unique, np.bincount(codes, counts, len(unique)).astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch], keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(key, n) of each batch, summed within the batch."""
+def _counter(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (mix(before * np.uint64(0xD6E8FEB86659FD93) + tokens) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to (of, key, n): words (of 1), summed within the batch, and the counters of bigrams (of 2), summed within the task."""
+    total = np.zeros(COUNTERS, np.int64)
     for batch in batches:
-        parts = [_tally(keys_of(*_with_ends(*words(data, offsets)))) for _, _, data, offsets in blocks(batch.column(0))]
+        parts = []
+        for _, _, data, offsets in blocks(batch.column(0)):
+            tokens, begin = _with_ends(*words(data, offsets))
+            parts.append(_tally(tokens))
+            total += np.bincount(_counter(_history(tokens, begin, END), tokens), minlength=COUNTERS)
         if parts:
             key, n = _tally(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+            yield pa.record_batch([pa.array(np.ones(len(key), np.int32)), pa.array(key.view(np.int64)), pa.array(n)], ["of", "key", "n"])
+    some = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(np.full(len(some), 2, np.int32)), pa.array(some), pa.array(total[some])], ["of", "key", "n"])
 
 
-def _counted(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    found = texts.mapInArrow(lambda b: _count(b, keys_of), "key long, n long")
-    return found.groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _levels(counts: np.ndarray, least: float) -> np.ndarray:
+def levels(counts: np.ndarray, least: float) -> np.ndarray:
+    """The level that each count reaches: 1 at least, then at BASE times least, at its square, and so on."""
     return np.floor(np.log(np.maximum(counts / least, 1.0)) / np.log(BASE) + 1e-9).astype(np.int64) + 1
 
 
 class LogFrequencyBloom:
-    """A Bloom filter of (key, level) for every level that a key's count reaches."""
+    """A Bloom filter of (key, level) for every level that a key's count reaches, sized by what goes in."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float, bits: int | None = BITS) -> None:
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float) -> None:
         self.least = least
-        level = _levels(counts, least)
-        # without a number of bits, it is sized by what goes in
-        self.bits = np.zeros((bits or max(64, EACH * int(level.sum()))) // 8, np.uint8)
+        level = levels(counts, least)
+        self.size = np.uint64(max(64, EACH * int(level.sum())))
+        marks = np.zeros(int(self.size), bool)
         for j in range(1, int(level.max(initial=0)) + 1):
-            for place in self._places(keys[level >= j], j):
-                np.bitwise_or.at(self.bits, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
-
-    @classmethod
-    def of_bits(cls, bits: bytes, least: float) -> LogFrequencyBloom:
-        out = cls.__new__(cls)
-        out.least, out.bits = least, np.frombuffer(bits, np.uint8)
-        return out
+            some = keys[level >= j] if j > 1 else keys
+            for place in self._places(some, j):
+                marks[place] = True
+        self.bits = np.packbits(marks, bitorder="little")
 
     def _places(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
+        a = mix(keys.astype(np.uint64) ^ mix(np.array([level], np.uint64)))
         with np.errstate(over="ignore"):
-            a = mix(keys.astype(np.uint64) ^ mix(np.array([level], np.uint64)))
-            step = (a >> np.uint64(32)) | np.uint64(1)
-            for k in range(HASHES):
-                yield (a + np.uint64(k) * step) % np.uint64(8 * len(self.bits))
+            step = mix(a) | np.uint64(1)
+            for _ in range(HASHES):
+                yield ((a >> np.uint64(32)) * self.size >> np.uint64(32)).astype(np.int64)
+                a = a + step
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """What the filter has as each key's count (0: not in it), by probes for level 1, 2, ... until one misses."""
@@ -98,7 +122,7 @@ class LogFrequencyBloom:
             at += 1
             ok = np.ones(len(left), bool)
             for place in self._places(keys[left], at):
-                ok &= ((self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                ok &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
             left = left[ok]
             level[left] = at
         return np.where(level > 0, self.least * BASE ** (level - 1.0), 0.0)
@@ -106,15 +130,21 @@ class LogFrequencyBloom:
 
 @dataclass
 class Model:
-    """What goes to the workers: frequent words with counts, the filter, and the mass each history gives to bigrams."""
+    """What goes to the workers: frequent words with counts, the filter of frequent bigrams, and the number of parts."""
 
     head: np.ndarray
     count: np.ndarray
     tokens: int
     distinct: int
-    bigrams: LogFrequencyBloom
-    mass: np.ndarray
+    often: LogFrequencyBloom
     parts: int
+    mu: float
+    batch: int
+    heavy: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+
+    @property
+    def size(self) -> float:
+        return float(self.tokens + self.distinct + 1)
 
     def index(self, hashes: np.ndarray) -> np.ndarray:
         """Each token's row in head, or -1."""
@@ -128,300 +158,242 @@ def _pair(previous: np.ndarray, token: np.ndarray) -> np.ndarray:
     return (previous.astype(np.uint64) << np.uint64(32)) | token.astype(np.uint64)
 
 
-def _history(index: np.ndarray, begin: np.ndarray, end_index: int) -> np.ndarray:
-    """The row of the token before each; before a text's first, the end's."""
-    before = np.empty_like(index)
-    before[1:] = index[:-1]
-    before[begin[:-1]] = end_index
-    return before
-
-
-#: In a bigram's key: set if its first word is no head word; set if its second is one; bits of the second.
-_RARE, _OFTEN, _SECOND = np.uint64(1 << 63), np.uint64(1 << 41), np.uint64(42)
-
-
-def _keys(before: np.ndarray, tokens: np.ndarray, prior: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """A key for each bigram, from the hashes of its words and their rows in head (or -1): a head word's row, or a hash."""
-    with np.errstate(over="ignore"):
-        second = np.where(index >= 0, index.astype(np.uint64) | _OFTEN, tokens >> np.uint64(23))
-        own = (prior.astype(np.uint64) << _SECOND) | second
-        return np.where(prior >= 0, own, mix(before * np.uint64(0xD6E8FEB86659FD93) + tokens) | _RARE)
-
-
-def _firsts(codes: np.ndarray, n: int) -> np.ndarray:
-    first = np.empty(n, np.int64)
-    first[codes[::-1]] = np.arange(len(codes))[::-1]
-    return first
-
-
-def _count_bigrams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """(part, key, prev, n) of each batch, summed within the batch; prev is the first word's hash if it is no head word."""
-    end_index = int(model.index(np.array([END]))[0])
+def _count_heavy(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """(key, n) of bigrams of head words on heavy counters, summed within the batch."""
     for batch in batches:
-        found = []
+        parts = []
         for _, _, data, offsets in blocks(batch.column(0)):
             tokens, begin = _with_ends(*words(data, offsets))
-            index = model.index(tokens)
-            before, prior = _history(tokens, begin, END), _history(index, begin, end_index)
-            keys = _keys(before, tokens, prior, index)
-            codes, unique = pd.factorize(keys)
-            first = _firsts(codes, len(unique))
-            found.append((unique, before[first], np.bincount(codes, minlength=len(unique))))
-        if found:
-            keys, before, n = (np.concatenate(x) for x in zip(*found, strict=True))
-            codes, unique = pd.factorize(keys)
-            first = _firsts(codes, len(unique))
-            prev = pa.array(before[first].view(np.int64), mask=unique < _RARE)
-            part = (mix(unique) % np.uint64(model.parts)).astype(np.int32)
-            total = np.bincount(codes, n, len(unique)).astype(np.int64)
-            yield pa.record_batch([pa.array(part), pa.array(unique.view(np.int64)), prev, pa.array(total)], ["part", "key", "prev", "n"])
-
-
-#: What a part gives: its filter (id: part), the mass of its histories (id: row in head, or hash), its frequent bigrams (id: key).
-FILTER, HEAD_MASS, RARE_MASS, FREQUENT = range(4)
-PARTS = "kind int, id long, value double, bits binary"
-
-
-def _part(table: pa.Table, least: float) -> pa.Table:
-    key = table["key"].to_numpy().astype(np.int64).view(np.uint64)
-    n = table["n"].to_numpy().astype(np.float64)
-    prev = table["prev"].fill_null(0).to_numpy().astype(np.int64)
-    often = (n >= least) & (key < _RARE) & ((key & _OFTEN) > 0)
-    made = LogFrequencyBloom(key[~often], n[~often], 1.0, None)
-    value = BASE ** (_levels(n, 1.0) - 1.0)
-    out = [(FILTER, np.array([table["part"][0].as_py()], np.int64), np.zeros(1), [made.bits.tobytes()])]
-    for kind, rows, of in ((HEAD_MASS, ~often & (key < _RARE), (key >> _SECOND).astype(np.int64)), (RARE_MASS, key >= _RARE, prev)):
-        codes, unique = pd.factorize(of[rows])
-        out.append((kind, unique, np.bincount(codes, value[rows], len(unique)), [None] * len(unique)))
-    out.append((FREQUENT, key[often].view(np.int64), n[often], [None] * int(often.sum())))
-    return pa.table(
-        [
-            pa.array(np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in out])),
-            pa.array(np.concatenate([x[1] for x in out])),
-            pa.array(np.concatenate([x[2] for x in out])),
-            pa.array([b for x in out for b in x[3]], pa.binary()),
-        ],
-        ["kind", "id", "value", "bits"],
-    )
-
-
-def fit(train: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the table (key, n) of all words' counts, from the column text of train."""
-    return _fit(train)[:2]
+            before = _history(tokens, begin, END)
+            some = model.heavy[_counter(before, tokens)]
+            prior, index = model.index(before[some]), model.index(tokens[some])
+            both = (prior >= 0) & (index >= 0)
+            parts.append(_tally(_pair(prior[both], index[both])))
+        if parts:
+            key, n = _tally(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
 
-def _fit(train: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
-    """The model, the table (key, n) of all words' counts, and the table of all parts, from the column text of train.
+def fit(train: DataFrame, mu: float = MU) -> Model:
+    """The broadcast part of the model, from the column text of train.
 
-    Every token and every bigram of train is counted.  Words and bigrams above a
-    relative frequency, of which there can only be a fixed number, come to the
-    driver.  All other bigrams are in parts by a hash of the key, as many as
-    the tokens ask for; each has a filter of its own.
+    Every word and every bigram of train is counted.  What comes to the driver
+    is of a bounded number of rows: the words and bigrams above a relative
+    frequency, and COUNTERS counters.
     """
     texts = train.select("text")
-    counts = kept(_counted(texts, lambda tokens, begin: tokens), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.where(F.col("n") * HEAD >= total["n"]).toPandas()
+    counted = texts.mapInArrow(_count, "of int, key long, n long").groupBy("of", "key").agg(F.sum("n").alias("n"))
+    counted = kept(counted, "counts")
+    total = counted.where("of = 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    head = counted.where((F.col("of") == 1) & (F.col("n") * HEAD >= total["n"])).toPandas()
     key, n = head["key"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64)
     order = np.argsort(key)
-    empty = LogFrequencyBloom(np.zeros(0, np.uint64), np.zeros(0), 1.0)
-    model = Model(key[order], n[order], total["n"], total["v"], empty, np.zeros(len(key)), 1 + total["n"] // PART)
-    least = max(1.0, total["n"] / BIGRAMS)
+    least = max(1.0, total["n"] / OFTEN)
+    model = Model(key[order], n[order], total["n"], total["v"], LogFrequencyBloom(np.zeros(0, np.uint64), np.zeros(0), least), 1 + total["n"] // PART, mu, BATCH)
+    heavy = counted.where((F.col("of") == 2) & (F.col("n") >= least)).select("key").toPandas()
+    model.heavy = np.zeros(COUNTERS, bool)
+    model.heavy[heavy["key"].to_numpy(np.int64)] = True
     shared = texts.sparkSession.sparkContext.broadcast(model)
-    found = texts.mapInArrow(lambda b: _count_bigrams(b, shared.value), "part int, key long, prev long, n long")
-    found = found.repartition("part").groupBy("part", "key").agg(F.first("prev").alias("prev"), F.sum("n").alias("n"))
-    parts = kept(found.groupBy("part").applyInArrow(lambda t: _part(t, least), PARTS), "bigrams")
-    often = parts.where(F.col("kind") == FREQUENT).select("id", "value").toPandas()
-    key, n = often["id"].to_numpy(np.int64).view(np.uint64), often["value"].to_numpy(np.float64)
-    key = _pair(key >> _SECOND, key & (_OFTEN - np.uint64(1)))
-    model.bigrams = LogFrequencyBloom(key, n, least)
-    model.mass = np.bincount((key >> np.uint64(32)).astype(np.int64), model.bigrams.counts(key), len(model.head)).astype(np.float64)
-    mass = parts.where(F.col("kind") == HEAD_MASS).groupBy("id").agg(F.sum("value").alias("value")).toPandas()
-    model.mass[mass["id"].to_numpy(np.int64)] += mass["value"].to_numpy(np.float64)
-    return model, counts, parts
-
-
-PROBES = "part int, twin long, key long, k int, rate float, prev long, token long"
-
-
-def _twins(doc_ids: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A hash of each row's doc_id and text."""
-    ids = doc_ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return mix(span_hashes(data, offsets[:-1], offsets[1:]) ^ mix(ids))
-
-
-def _probes(batches: Iterator[pa.RecordBatch], model: Model, rare: bool) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to the bigrams, each once a text, that the parts have to tell: of two head words, or those with a rare one.
-
-    A bigram seen c times has gain log10(1 + c * rate) over its history's own;
-    what a rare word adds to rate comes later.
-    """
-    one = (model.count + 1.0) / (model.tokens + model.distinct + 1.0)
+    often = texts.mapInArrow(lambda b: _count_heavy(b, shared.value), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    model.often = LogFrequencyBloom(often["key"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64), least)
+    model.heavy = np.zeros(0, bool)
+    return model
+
+
+#: Kinds of packed rows: a batch's documents; its bigrams that end in a head word, or in another word; what a part has found about a batch.
+DOCS, OF_HEAD, OF_RARE, FOUND = range(4)
+PACKED = "part long, batch long, kind int, bits binary"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+#: Bits of a history's hash in the key of a bigram that ends in a head word.
+_OWN = np.uint64(42)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of equal length as bytes, the first bytes of all values first: sorted values then compress."""
+    n = np.array([len(columns[0])], np.uint32).tobytes()
+    return n + b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns)
+
+
+def _unpack(bits: bytes, *kinds: type) -> list[np.ndarray]:
+    n, at, out = int(np.frombuffer(bits, np.uint32, 1)[0]), 4, []
+    for kind in kinds:
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(bits, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * width
+    return out
+
+
+def _rows(part: object, batch: object, kind: int, bits: list[bytes]) -> pa.RecordBatch:
+    n = len(bits)
+    full = lambda x: pa.array(np.broadcast_to(np.asarray(x, np.int64), (n,)).copy())
+    return pa.record_batch([full(part), full(batch), pa.array(np.full(n, kind, np.int32)), pa.array(bits, pa.binary())], ["part", "batch", "kind", "bits"])
+
+
+def _dealt(part: np.ndarray, batch: int, kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One packed row for each part, sorted by the first column."""
+    if not len(part):
+        return
+    order = np.lexsort((columns[0], part))
+    part = part[order]
+    columns = tuple(c[order] for c in columns)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+    ends = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+    yield _rows(part[cut[:-1]], batch, kind, [_pack(*(c[a:b] for c in columns)) for a, b in ends])
+
+
+def _deal_batch(ids: list[pa.Array], held: list[np.ndarray], texts: list[tuple[np.ndarray, np.ndarray]], batch: int, model: Model) -> Iterator[pa.RecordBatch]:
+    held_flags = np.concatenate(held)
+    n = len(held_flags)
+    length = np.concatenate([np.diff(begin) for _, begin in texts])
+    tokens = np.concatenate([t for t, _ in texts])
+    begin = np.concatenate([[0], np.cumsum(length)])
+    doc = np.repeat(np.arange(n, dtype=np.uint32), length)
+    before = _history(tokens, begin, END)
+    index = model.index(tokens)
     end_index = int(model.index(np.array([END]))[0])
-    left = 1.0 - TRUST * np.minimum(model.mass / np.maximum(model.count, 1), 1.0)
-    first_rate, second_rate = np.append(TRUST / np.maximum(model.count, 1) / left, 1.0), np.append(1.0 / one, 1.0)
-    for batch in batches:
-        for at, end, data, offsets in blocks(batch.column(1)):
-            twin = _twins(batch.column(0).slice(at, end - at), data, offsets)
-            tokens, begin = _with_ends(*words(data, offsets))
-            text = np.repeat(np.arange(end - at), np.diff(begin))
-            index = model.index(tokens)
-            before, prior = _history(tokens, begin, END), _history(index, begin, end_index)
-            both = (prior >= 0) & (index >= 0)
-            some = np.flatnonzero(~both if rare else both)
-            if not rare:
-                codes, unique = pd.factorize(_pair(prior[some], index[some]))
-                some = some[model.bigrams.counts(unique)[codes] == 0]
-            keys = _keys(before[some], tokens[some], prior[some], index[some])
-            codes, unique = pd.factorize(mix(keys ^ mix(text[some].astype(np.uint64))))
-            first = _firsts(codes, len(unique))
-            keys, some = keys[first], some[first]
-            yield pa.record_batch(
-                [
-                    pa.array((mix(keys) % np.uint64(model.parts)).astype(np.int32)),
-                    pa.array(twin[text[some]].view(np.int64)),
-                    pa.array(keys.view(np.int64)),
-                    pa.array(np.bincount(codes, minlength=len(unique)).astype(np.int32)),
-                    pa.array((first_rate[prior[some]] * second_rate[index[some]]).astype(np.float32)),
-                    pa.array(before[some].view(np.int64), mask=prior[some] >= 0),
-                    pa.array(tokens[some].view(np.int64), mask=index[some] >= 0),
-                ],
-                ["part", "twin", "key", "k", "rate", "prev", "token"],
-            )
-
-
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of part, each part's filter first, to (twin, gain)."""
-    at, filter_ = -1, None
-    for batch in batches:
-        part = batch.column(0).to_numpy()
-        twin, key, k, rate, off = (batch.column(c).to_numpy() for c in range(1, 6))
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
-        gain = np.zeros(len(part))
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            if a == b:
-                continue
-            if part[a] != at:
-                at, filter_ = part[a], None
-            if batch.column(6)[a].is_valid:
-                filter_ = LogFrequencyBloom.of_bits(batch.column(6)[a].as_py(), 1.0)
-            seen = filter_.counts(key[a:b].view(np.uint64)) if filter_ else np.zeros(b - a)
-            gain[a:b] = k[a:b] * (off[a:b] + np.log10(1.0 + seen * rate[a:b]))
-        some = np.flatnonzero(gain)
-        yield pa.record_batch([pa.array(twin[some]), pa.array(gain[some].astype(np.float32))], ["twin", "gain"])
-
-
-def _part_gains(rows: DataFrame, model: Model, counts: DataFrame, parts: DataFrame) -> DataFrame:
-    """(twin, part_gain): what the parts add to the gain of the rows of each twin, summed."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    texts = rows.select("doc_id", "text")
-    often, rare = (texts.mapInArrow(lambda b, r=r: _probes(b, shared.value, r), PROBES) for r in (False, True))
-    mass = parts.where(F.col("kind") == RARE_MASS).groupBy(F.col("id").alias("key")).agg(F.sum("value").alias("mass"))
-    known = counts.where(F.col("n") * HEAD < model.tokens).join(mass, "key", "left")
-    left = 1 - TRUST * F.least(F.coalesce("mass", F.lit(0.0)) / F.col("n"), F.lit(1.0))
-    size = float(model.tokens + model.distinct + 1)
-    known = known.select("key", F.log10(left).alias("off"), (TRUST / F.col("n") / left).alias("first_rate"), (F.lit(size) / (F.col("n") + 1)).alias("second_rate"))
-    # a head word joins by the bigram's key, which is no word's, so that no task gets all of them
-    first = known.select(F.col("key").alias("_prev"), "off", "first_rate")
-    second = known.select(F.col("key").alias("_token"), "second_rate")
-    rare = rare.join(first, F.coalesce("prev", "key") == F.col("_prev"), "left").join(second, F.coalesce("token", "key") == F.col("_token"), "left")
-    mine = lambda word, rate: F.when(F.col(word).isNull(), 1.0).otherwise(F.coalesce(rate, F.lit(0.0)))
-    rate = (F.col("rate") * mine("prev", "first_rate") * mine("token", "second_rate")).cast("float")
-    rare = rare.select("part", "twin", "key", "k", rate.alias("rate"), F.coalesce("off", F.lit(0.0)).cast("float").alias("off"))
-    often = often.select("part", "twin", "key", "k", "rate", F.lit(0.0).cast("float").alias("off"))
-    zero = lambda kind, name: F.lit(0).cast(kind).alias(name)
-    filters = parts.where(F.col("kind") == FILTER)
-    filters = filters.select(F.col("id").cast("int").alias("part"), zero("long", "twin"), zero("long", "key"), zero("int", "k"), zero("float", "rate"), zero("float", "off"), "bits")
-    every = often.unionAll(rare).withColumn("bits", F.lit(None).cast("binary")).unionAll(filters)
-    every = every.repartition("part").sortWithinPartitions("part", F.col("bits").isNull())
-    return every.mapInArrow(_probe, "twin long, gain float").groupBy("twin").agg(F.sum("gain").alias("part_gain"))
-
-
-SCORED = "doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, gain double, twin long, tail array<long>"
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    one = np.log10((model.count + 1.0) / (model.tokens + model.distinct + 1.0))
-    end_index = int(model.index(np.array([END]))[0])
-    left = 1.0 - TRUST * np.minimum(model.mass / np.maximum(model.count, 1), 1.0)
+    prior = _history(index, begin, end_index)
+    marked = doc * np.uint32(2) + held_flags.astype(np.uint32)[doc]
+
+    # what head words and frequent bigrams tell
+    inside = np.flatnonzero(index >= 0)
+    one = (model.count + 1.0) / model.size
+    own = index[inside]
+    base = np.bincount(doc[inside], np.log10(one)[own], n)
+    gain = np.bincount(doc[inside], -np.log10(1.0 + model.count / model.mu)[own], n)
+    known = np.bincount(doc[inside], minlength=n)
+    rest = np.ones(len(inside), bool)
+    asked = np.flatnonzero(prior[inside] >= 0)
+    codes, unique = pd.factorize(_pair(prior[inside][asked], own[asked]))
+    seen = model.often.counts(unique)[codes]
+    got = asked[seen > 0]
+    rest[got] = False
+    gain += np.bincount(doc[inside[got]], np.log10(1.0 + seen[seen > 0] / (model.mu * one[own[got]])), n)
+    table = pa.record_batch(
+        [pa.concat_arrays(ids), pa.array(held_flags), pa.array(length.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(gain)],
+        ["doc_id", "held_out", "n_tokens", "n_known", "base", "gain"],
+    )
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_batch(table)
+    yield _rows(-1 - batch, batch, DOCS, [sink.getvalue().to_pybytes()])
+
+    inside = inside[rest]
+    key = (index[inside].astype(np.uint64) << _OWN) | (before[inside] >> (np.uint64(64) - _OWN))
+    yield from _dealt((mix(key) % np.uint64(model.parts)).astype(np.int64), batch, OF_HEAD, key, marked[inside])
+    rare = np.flatnonzero(index < 0)
+    key = tokens[rare]
+    yield from _dealt((mix(key) % np.uint64(model.parts)).astype(np.int64), batch, OF_RARE, key, (before[rare] >> np.uint64(32)).astype(np.uint32), marked[rare])
+
+
+def _deal(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """(doc_id, held_out, text) to packed rows; a batch of some BATCH tokens at a time."""
+    number = TaskContext.get().partitionId() << 32
+    ids, held, texts, have = [], [], [], 0
     for batch in batches:
-        at = 0
-        for _, _, data, offsets in blocks(batch.column(2)):
+        for at, end, data, offsets in blocks(batch.column(2)):
             tokens, begin = _with_ends(*words(data, offsets))
-            n = len(begin) - 1
-            text = np.repeat(np.arange(n), np.diff(begin))
-            index = model.index(tokens)
-            before = _history(index, begin, end_index)
-            in_head = index >= 0
-            head_score = np.bincount(text[in_head], one[index[in_head]], n)
-            known = np.bincount(text[in_head], minlength=n).astype(np.int64)
-            # gain: log10 of the model's probability over the unigram's
-            gain = np.zeros(len(tokens))
-            has = before >= 0
-            gain[has] = np.log10(left[before[has]])
-            both = np.flatnonzero(has & in_head)
-            codes, unique = pd.factorize(_pair(before[both], index[both]))
-            seen = model.bigrams.counts(unique)[codes]
-            some = both[seen > 0]
-            uni = 10.0 ** one[index[some]]
-            ratio = np.minimum(seen[seen > 0] / model.count[before[some]], 1.0)
-            gain[some] = np.log10(TRUST * ratio + left[before[some]] * uni) - one[index[some]]
-            tail = tokens[~in_head]
-            bounds = np.concatenate([[0], np.cumsum(np.bincount(text[~in_head], minlength=n))]).astype(np.int32)
-            yield pa.record_batch(
-                [
-                    batch.column(0).slice(at, n),
-                    batch.column(1).slice(at, n),
-                    pa.array(np.diff(begin)),
-                    pa.array(known),
-                    pa.array(head_score),
-                    pa.array(np.bincount(text, gain, n)),
-                    pa.array(_twins(batch.column(0).slice(at, n), data, offsets).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(tail.view(np.int64))),
-                ],
-                ["doc_id", "held_out", "n_tokens", "head_known", "head_score", "gain", "twin", "tail"],
-            )
-            at += n
-
-
-def score(docs: DataFrame) -> DataFrame:
+            ids.append(batch.column(0).slice(at, end - at))
+            held.append(batch.column(1).slice(at, end - at).to_numpy(zero_copy_only=False).astype(bool))
+            texts.append((tokens, begin))
+            have += len(tokens)
+            if have >= model.batch:
+                yield from _deal_batch(ids, held, texts, number, model)
+                number, ids, held, texts, have = number + 1, [], [], [], 0
+    if ids:
+        yield from _deal_batch(ids, held, texts, number, model)
+
+
+def _found(row: np.ndarray, marked: np.ndarray, batch: list[int], known: np.ndarray | None, base: np.ndarray | None, gain: np.ndarray) -> list[tuple[int, bytes]]:
+    """For each row that asked: its batch, and the sums of each of its documents that has any."""
+    code, place = np.unique(row.astype(np.int64) << 32 | (marked >> np.uint32(1)).astype(np.int64), return_inverse=True)
+    sums = [np.zeros(len(code), np.uint32) if known is None else np.bincount(place, known, len(code)).astype(np.uint32)]
+    sums += [np.zeros(len(code)) if base is None else np.bincount(place, base, len(code)), np.bincount(place, gain, len(code)).astype(np.float32)]
+    some = (sums[2] != 0) | (sums[1] != 0)
+    code, sums = code[some], [s[some] for s in sums]
+    cut = np.searchsorted(code, np.arange(len(batch) + 1, dtype=np.int64) << 32)
+    doc = (code & 0xFFFFFFFF).astype(np.uint32)
+    return [(number, _pack(doc[a:b], *(s[a:b] for s in sums))) for number, a, b in zip(batch, cut[:-1].tolist(), cut[1:].tolist(), strict=True) if b > a]
+
+
+def _part(table: pa.Table, model: Model) -> pa.Table:
+    """All rows of a part: its training bigrams make its filter, which every bigram of the part then probes."""
+    if table["part"][0].as_py() < 0:
+        return table.select(["batch", "kind", "bits"])
+    kinds, batch = table["kind"].to_numpy(), table["batch"].to_numpy()
+    rows = {kind: np.flatnonzero(kinds == kind) for kind in (OF_HEAD, OF_RARE)}
+    got = {}
+    for kind, types in ((OF_HEAD, (np.uint64, np.uint32)), (OF_RARE, (np.uint64, np.uint32, np.uint32))):
+        each = [_unpack(table["bits"][int(k)].as_py(), *types) for k in rows[kind]]
+        columns = [np.concatenate(c) for c in zip(*each, strict=True)] if each else [np.zeros(0, t) for t in types]
+        got[kind] = (np.repeat(np.arange(len(each)), [len(e[0]) for e in each]), *columns)
+    row, key, marked = got[OF_HEAD]
+    rare_row, word, second, rare_marked = got[OF_RARE]
+    rare_key = mix(word ^ mix(second.astype(np.uint64) + np.uint64(1))) | np.uint64(1 << 63)
+    learnt = [k[m & np.uint32(1) == 0] for k, m in ((key, marked), (rare_key, rare_marked))]
+    filter_ = LogFrequencyBloom(*np.unique(np.concatenate(learnt), return_counts=True), 1.0)
+    del learnt
+    out: list[tuple[int, bytes]] = []
+    if len(key):
+        one = (model.count + 1.0) / model.size
+        gain = np.log10(1.0 + filter_.counts(key) / (model.mu * one[(key >> _OWN).astype(np.int64)]))
+        some = gain > 0
+        out += _found(row[some], marked[some], batch[rows[OF_HEAD]].tolist(), None, None, gain[some])
+    if len(word):
+        # a rare word's bigrams are all here, so its count is that of its training rows here
+        codes, unique = pd.factorize(word)
+        count = np.bincount(codes, rare_marked & np.uint32(1) == 0, len(unique))[codes]
+        one = (count + 1.0) / model.size
+        gain = np.log10(1.0 + filter_.counts(rare_key) / (model.mu * one)) - np.log10(1.0 + count / model.mu)
+        out += _found(rare_row, rare_marked, batch[rows[OF_RARE]].tolist(), count > 0, np.log10(one), gain)
+    return pa.table([pa.array([b for b, _ in out], pa.int64()), pa.array(np.full(len(out), FOUND, np.int32)), pa.array([x for _, x in out], pa.binary())], ["batch", "kind", "bits"])
+
+
+def _sum(table: pa.Table, tokens: int) -> pa.Table:
+    """A batch's documents with what the parts have found about them."""
+    kinds = table["kind"].to_numpy()
+    bits = table["bits"]
+    docs = pa.ipc.open_stream(bits[int(np.flatnonzero(kinds == DOCS)[0])].as_py()).read_all()
+    known, base, gain = (docs[c].to_numpy().copy() for c in ("n_known", "base", "gain"))
+    for k in np.flatnonzero(kinds == FOUND).tolist():
+        doc, more, sums, gains = _unpack(bits[k].as_py(), np.uint32, np.uint32, np.float64, np.float32)
+        known[doc] += more
+        base[doc] += sums
+        gain[doc] += gains
+    return pa.table(
+        [docs["doc_id"], docs["held_out"], docs["n_tokens"], pa.array(known), pa.array(np.full(len(known), tokens)), pa.array(base), pa.array(base + gain)],
+        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    )
+
+
+def score(docs: DataFrame, mu: float = MU) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the lower-cased (A-Z) words of the whole text and one end.  The
     model learns from rows that held_out() doesn't name.  base_score sums the
-    add-one unigram log10 probabilities.  score is the model's: TRUST of a
-    bigram's relative frequency as the filters have it, and what the bigrams of
-    that history leave over for the unigram.  Every bigram of the training rows
-    counts, however rare it or its words are.
+    add-one unigram log10 probabilities, score the model's (see the module).
+
+    Every word and bigram of the training rows counts, however rare.  Frequent
+    words, of which there can only be a fixed number, are broadcast with exact
+    counts, and frequent bigrams in a filter.  All other bigrams are dealt by
+    hash to parts of some PART tokens (those that end in a rare word by that
+    word, whose count is thus known there).  A part builds its filter from what
+    the training texts sent and answers every probe that came with it; answers
+    are summed for each batch of texts.  Bigrams travel packed, some 8 bytes
+    each, and once.
 
     A null or empty text has the end as its only token.  A null doc_id counts
     as empty text for the split and is scored.  Repeated rows are scored each.
     With no training rows N and V are 0.  Other columns are ignored.  An empty
     table gives an empty result.
     """
-    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    model, counts, parts = _fit(rows.where(~F.col("held_out")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
+    model = fit(rows.where(~F.col("held_out")), mu)
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    scored = rows.mapInArrow(lambda b: _score(b, shared.value), SCORED).withColumn("row", F.monotonically_increasing_id())
-    scored = kept(scored, "scored")
-    size = float(model.tokens + model.distinct + 1)
-    log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(size))
-    rare = counts.where(F.col("n") * HEAD < model.tokens)
-    tail = scored.select("row", F.explode("tail").alias("key")).groupBy("row", "key").agg(F.count("*").alias("k"))
-    tail = tail.join(rare, "key", "left").groupBy("row").agg(F.sum(F.col("k") * log).alias("tail_score"), F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("tail_known"))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    base = F.col("head_score") + zero("tail_score")
-    copies = scored.groupBy("twin").agg(F.count("*").alias("copies"))
-    more = _part_gains(rows, model, counts, parts).join(copies, "twin").select("twin", (F.col("part_gain") / F.col("copies")).alias("part_gain"))
-    return scored.drop("tail").join(tail, "row", "left").join(more, "twin", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("head_known") + zero("tail_known")).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (base + F.col("gain") + zero("part_gain")).alias("score"),
-    )
+    tokens = model.tokens
+    packed = rows.mapInArrow(lambda b: _deal(b, shared.value), PACKED)
+    found = packed.groupBy("part").applyInArrow(lambda t: _part(t, shared.value), "batch long, kind int, bits binary")
+    return found.groupBy("batch").applyInArrow(lambda t: _sum(t, tokens), SCORED)
 
 
 def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
