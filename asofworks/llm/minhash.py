@@ -19,8 +19,10 @@ WIDTH, SIMILAR = 5, 75
 TREES, DEPTH = 16, 6
 #: Values that neighbours share at least.
 LEAST_DEPTH = 3
-#: Entries of a region up to which each is held against all in one pass over the order; a larger region is cut into blocks of about BLOCK entries, and pairs of blocks are held against each other.
-NEAR, BLOCK = 24, 1024
+#: Entries of a region up to which its pairs are listed; a larger region is cut into blocks of about BLOCK entries or BLOCK_SHINGLES shingles, and pairs of blocks are held against each other.
+NEAR, BLOCK, BLOCK_SHINGLES = 24, 1024, 1 << 19
+#: Candidates of an entry that are confirmed at once within a pair of blocks.
+AT_ONCE = 16
 #: Share of equal signature values below which a pair is not confirmed; at similarity 0.75 and 96 values that is five deviations away.
 ESTIMATE = 0.53
 #: Ids that are broadcast at most to pick their texts; more are joined by a shuffle.
@@ -99,38 +101,68 @@ def neighbours(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.Rec
         tail = tuple(x[-steps:] for x in (tree, head, node, known, sig))
 
 
+def _earlier(one: np.ndarray, others: np.ndarray, tree: int) -> np.ndarray:
+    """Which of others share a region with one in a tree before tree, where the pair is looked at."""
+    of = lambda sig: sig.reshape(*sig.shape[:-1], TREES, DEPTH)[..., :tree, :LEAST_DEPTH]
+    return (of(others) == of(one)).all(-1).any(-1)
+
+
 def across(table: pa.Table) -> pa.Table:
-    """Two blocks of a region, or one, to all pairs of different components and blocks (of one: all) whose signatures agree well enough."""
+    """Two blocks of a region, or one, to links (a, b) that bring all their entries together that ought to be.
+
+    Pairs of entries of different components whose signatures agree well enough
+    are confirmed on the full sets, the most alike first; each link joins two
+    components, so no pair of these is confirmed again.
+    """
     node, known, block = (table[c].to_numpy() for c in ("node", "known", "block"))
-    one, two = table["one"][0].as_py(), table["two"][0].as_py()
+    tree, one, two = (table[c][0].as_py() for c in ("tree", "one", "two"))
     sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, TREES * DEPTH)
+    lists = table["shingles"].combine_chunks()
+    flat = lists.values.to_numpy().view(np.uint64)
+    begin = lists.offsets.to_numpy().astype(np.int64)
+    size = np.diff(begin)
+    label = np.unique(known, return_inverse=True)[1]
     left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
     others = np.ascontiguousarray(sig[right])
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found: list[tuple[int, int]] = []
     for i in left.tolist():
-        j = right[((others == sig[i]).mean(1) >= ESTIMATE) & (known[right] != known[i])]
-        found_a.append(np.minimum(node[i], node[j]))
-        found_b.append(np.maximum(node[i], node[j]))
-    pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)]), axis=1)
-    return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-
-def block_pairs(members: DataFrame, heads: DataFrame) -> DataFrame:
-    """(a, b) of all pairs of a region that lie in different known components, from members (tree, head, node, known, n).
-
-    A component of over BLOCK entries has blocks of its own, which are not held
+        alike = (others == sig[i]).mean(1)
+        some = np.flatnonzero((alike >= ESTIMATE) & (label[right] != label[i]) & ((right > i) if one == two else True))
+        some = some[~_earlier(sig[i], others[some], tree)]
+        todo = right[some[np.argsort(-alike[some], kind="stable")]]
+        mine = flat[begin[i] : begin[i + 1]]
+        while len(todo):
+            now, todo = todo[:AT_ONCE], todo[AT_ONCE:]
+            theirs = np.concatenate([flat[begin[j] : begin[j + 1]] for j in now.tolist()])
+            at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            common = np.add.reduceat((mine[at] == theirs).astype(np.int64), np.cumsum(size[now]) - size[now])
+            for j in now[100 * common >= SIMILAR * (size[i] + size[now] - common)].tolist():
+                if label[j] != label[i]:
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
+                    label[label == label[j]] = label[i]
+            todo = todo[label[todo] != label[i]]
+    return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+
+def block_links(members: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links that join those of a region's known components that ought to be, from members (tree, head, node, known, n).
+
+    A component that fills a block has blocks of its own, which are not held
     against each other; all others share blocks by the component's hash.
     """
-    share = members.groupBy("tree", "head", "known").agg(F.count("*").alias("s"))
-    members = members.join(share, ["tree", "head", "known"])
-    own = F.when(F.col("s") > BLOCK, F.col("known"))
-    salt = F.when(F.col("s") > BLOCK, F.pmod(F.xxhash64("node"), F.ceil(F.col("s") / BLOCK))).otherwise(F.pmod(F.xxhash64("known"), F.ceil(F.col("n") / BLOCK)))
+    members = members.join(heads.select("node", "n_shingles"), "node")
+    full = lambda n, shingles: F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))
+    share = members.groupBy("tree", "head", "known").agg(full(F.count("*"), F.sum("n_shingles")).alias("s"))
+    whole = members.groupBy("tree", "head").agg(full(F.count("*"), F.sum("n_shingles")).alias("w"))
+    members = members.join(share, ["tree", "head", "known"]).join(whole, ["tree", "head"])
+    own = F.when(F.col("s") > 1, F.col("known"))
+    salt = F.when(F.col("s") > 1, F.pmod(F.xxhash64("node"), F.col("s"))).otherwise(F.pmod(F.xxhash64("known"), F.col("w")))
     members = kept(members.withColumn("own", own).withColumn("block", F.xxhash64(F.col("own").isNull(), "own", salt)).select("tree", "head", "own", "block", "node", "known"), "members")
     blocks = members.select("tree", "head", "own", "block").distinct()
     two = blocks.select("tree", "head", F.col("own").alias("its"), F.col("block").alias("two"))
     tiles = blocks.withColumnRenamed("block", "one").join(two, ["tree", "head"]).where((F.col("one") <= F.col("two")) & F.coalesce(F.col("own") != F.col("its"), F.lit(True)))
     tiles = tiles.select("tree", "head", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    rows = tiles.join(members.drop("own"), ["tree", "head", "block"]).join(heads.select("node", "signature"), "node")
+    rows = tiles.join(members.drop("own"), ["tree", "head", "block"]).join(heads.select("node", "signature"), "node").join(sets, "node")
     return rows.groupBy("tree", "head", "one", "two").applyInArrow(across, "a long, b long")
 
 
@@ -143,9 +175,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     values are equal form a region, and only regions of two or more go on.
     Links are confirmed on the full sets, in two rounds: the first takes the
     nearest neighbours and each region's first entry, the second all pairs of a
-    region, however large it is.  What the first brings together is not held
-    against each other again, so a large group of near copies never makes all
-    its pairs.
+    region, however large it is, that the first has not brought together.  Large
+    regions are cut into pairs of blocks, which join components as they go, so a
+    large group of near copies never makes all its pairs.
     """
     texts = docs.select("doc_id", "text")
     signed = kept(texts.mapInArrow(sign, SIGNED), "signed")
@@ -187,8 +219,8 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     apart = members.groupBy("tree", "head").agg(F.min("known").alias("x"), F.max("known").alias("y")).where("x <> y").select("tree", "head")
     members = kept(members.join(apart, ["tree", "head"]), "members")
     small = members.where(F.col("n") <= NEAR).join(heads.select("node", "signature"), "node").repartition("tree", "head").sortWithinPartitions("tree", "head", "node")
-    rest = candidates(small, NEAR).unionAll(block_pairs(members.where(F.col("n") > NEAR), heads))
-    links = first.unionAll(confirmed(rest.distinct()))
+    crowded = kept(block_links(members.where(F.col("n") > NEAR), heads, sets).distinct(), "links")
+    links = first.unionAll(crowded).unionAll(confirmed(candidates(small, NEAR).distinct()))
     return signed.join(classes, ["set_a", "set_b", "n_shingles"], "left"), links
 
 
