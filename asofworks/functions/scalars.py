@@ -90,8 +90,8 @@ def split_label(qname: str | Column) -> Column:
 
 
 def gaap_namespace_year(uri: str | Column) -> Column:
-    """The year of an official yearly US-GAAP namespace, else null."""
-    pattern = r"^https?://(?:xbrl\.us|fasb\.org)/us-gaap/(\d{4})(?:-(\d{2})-(\d{2}))?$"
+    """The year of an official yearly US-GAAP namespace of fasb.org, in letters of any case, else null."""
+    pattern = r"(?i)\Ahttps?://fasb\.org/us-gaap/([0-9]{4})(?:-([0-9]{2})-([0-9]{2}))?\z"
     u = col(uri)
     year, month, day = (F.regexp_extract(u, pattern, k) for k in (1, 2, 3))
     dated = F.try_to_date(F.concat_ws("-", year, F.when(month == "", "01").otherwise(month), F.when(day == "", "01").otherwise(day)), "yyyy-MM-dd")
@@ -99,7 +99,7 @@ def gaap_namespace_year(uri: str | Column) -> Column:
 
 
 #: Statement types by the words of a role's title, the first that fits counts.
-STATEMENT_WORDS = (("CF", ("CASH FLOW",)), ("EQ", ("EQUITY", "STOCKHOLDERS")), ("BS", ("BALANCE SHEET", "FINANCIAL POSITION")), ("IS", ("INCOME", "OPERATIONS", "EARNINGS")))
+STATEMENT_WORDS = (("CF", ("CASH FLOW",)), ("EQ", ("EQUITY", "STOCKHOLDER", "SHAREHOLDER")), ("BS", ("BALANCE SHEET", "FINANCIAL POSITION")), ("IS", ("INCOME", "OPERATIONS", "EARNINGS")))
 
 
 def statement_type(title: str | Column) -> Column:

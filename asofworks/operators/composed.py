@@ -132,7 +132,7 @@ def total_liabilities(cells: DataFrame, keys: list[str], role: str) -> DataFrame
 
 def core_cells(candidates: DataFrame, profile: DataFrame, keys: list[str]) -> DataFrame:
     """Each line of the profile for each key: the one eligible candidate of its concepts, or a reason."""
-    lines = F.broadcast(profile.select("line_id", F.explode("concepts").alias("concept")))
+    lines = profile.select("line_id", F.explode("concepts").alias("concept"))
     n = candidates.join(lines, "concept").groupBy(*keys, "line_id").agg(F.count("*").alias("_n"), F.min("value").alias("value"))
     grid = candidates.select(*keys).distinct().crossJoin(F.broadcast(profile.select("line_id")))
     rows = grid.join(n, [*keys, "line_id"], "left")
@@ -170,7 +170,7 @@ def company_profile(companies: DataFrame, annual: DataFrame, one: object) -> Dat
 
 def overview(cells: DataFrame, periods: DataFrame, keys: list[str]) -> DataFrame:
     """Cells of exactly the given periods."""
-    return cells.join(F.broadcast(periods), keys, "left_semi")
+    return cells.join(periods, keys, "left_semi")
 
 
 def mechanical_q4(facts: DataFrame, scope: list[str], as_of: str) -> DataFrame:

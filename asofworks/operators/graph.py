@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from asofworks.sources.tables import scratch_path
+
 
 def build_graph(facts: DataFrame, arcs: DataFrame) -> DataFrame:
     """(kind, parent, child) edges without repeats: FACT_SCOPE concept to fact, DIMENSION_LENS fact to member, STATEMENT_COMPONENT from arcs (G1)."""
@@ -14,17 +18,36 @@ def build_graph(facts: DataFrame, arcs: DataFrame) -> DataFrame:
     return scope.unionAll(lens).unionAll(statement).distinct()
 
 
+def walk(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_depth: int) -> DataFrame:
+    """start and all that max_depth steps make of it.
+
+    Each level is a join of the one before, written to the shared folder, so a
+    walk has no limit on its rows and recomputes no level.  It ends early where
+    a level is empty.
+    """
+    spark = start.sparkSession
+    folder = scratch_path(spark, "walk")
+    paths, level = [], start
+    for depth in range(max_depth + 1):
+        paths.append(f"{folder}/{depth}")
+        level.write.parquet(paths[-1])
+        level = spark.read.schema(start.schema).parquet(paths[-1])
+        if level.isEmpty():
+            break
+        level = step(level)
+    return spark.read.schema(start.schema).parquet(*paths)
+
+
 def simple_paths(edges: DataFrame, roots: list[str], max_depth: int) -> DataFrame:
-    """(root, node, depth, path) of all outbound paths without repeats, by a recursive query with a cycle check on each path."""
-    spark = edges.sparkSession
-    start = spark.createDataFrame([(r,) for r in roots], "root string")
-    text = """with recursive walk(root, node, depth, path) as (
-        select root, root, 0, array(root) from {start}
-        union all
-        select w.root, e.child, w.depth + 1, concat(w.path, array(e.child)) from walk w join {edges} e on e.parent = w.node
-        where w.depth < {depth} and not array_contains(w.path, e.child))
-    select root, node, depth, path from walk"""
-    return spark.sql(text.replace("{depth}", str(int(max_depth))), start=start, edges=edges.select("parent", "child"))
+    """(root, node, depth, path) of all outbound paths without repeats."""
+    start = edges.sparkSession.createDataFrame([(r, r, 0, [r]) for r in roots], "root string, node string, depth int, path array<string>")
+    arcs = edges.select("parent", "child")
+
+    def step(level: DataFrame) -> DataFrame:
+        on = level.join(arcs, F.col("node") == F.col("parent")).where(~F.array_contains("path", F.col("child")))
+        return on.select("root", F.col("child").alias("node"), (F.col("depth") + 1).alias("depth"), F.array_append("path", F.col("child")).alias("path"))
+
+    return walk(start, step, max_depth)
 
 
 def edges_for(edges: DataFrame, node: str, direction: str) -> DataFrame:
@@ -34,17 +57,15 @@ def edges_for(edges: DataFrame, node: str, direction: str) -> DataFrame:
 
 
 def statement_order(edges: DataFrame, roots: list[str], max_depth: int) -> DataFrame:
-    """Nodes depth first: sorted by the path of ordinals from the root (T5); position is the place in that order."""
-    keyed = edges.select("parent", F.concat(F.lpad(F.col("ordinal").cast("string"), 10, "0"), F.lit("|"), "child").alias("child"))
-    spark = edges.sparkSession
-    start = spark.createDataFrame([(r,) for r in roots], "root string")
-    text = """with recursive walk(node, depth, path) as (
-        select root, 0, array(root) from {start}
-        union all
-        select e.child, w.depth + 1, concat(w.path, array(e.child)) from walk w join {keyed} e on e.parent = substring_index(w.node, '|', -1)
-        where w.depth < {depth} and not array_contains(w.path, e.child))
-    select substring_index(node, '|', -1) as node, depth, path from walk"""
-    return spark.sql(text.replace("{depth}", str(int(max_depth))), start=start, keyed=keyed)
+    """(node, depth, path): nodes depth first, sorted by the path of ordinals from the root (T5)."""
+    keyed = edges.select("parent", F.col("child").alias("_child"), F.concat(F.lpad(F.col("ordinal").cast("string"), 10, "0"), F.lit("|"), "child").alias("_step"))
+    start = edges.sparkSession.createDataFrame([(r, 0, [r]) for r in roots], "node string, depth int, path array<string>")
+
+    def step(level: DataFrame) -> DataFrame:
+        on = level.join(keyed, F.col("node") == F.col("parent")).where(~F.array_contains("path", F.col("_step")))
+        return on.select(F.col("_child").alias("node"), (F.col("depth") + 1).alias("depth"), F.array_append("path", F.col("_step")).alias("path"))
+
+    return walk(start, step, max_depth)
 
 
 def unlinked_nodes(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
@@ -61,22 +82,26 @@ def anchors(arcs: DataFrame, keys: list[str], order: str, node: str) -> DataFram
 def calculation_checks(facts: DataFrame, arcs: DataFrame, scope: list[str], node: str, value: str, tolerance: float = 0.0) -> DataFrame:
     """Signed sums of children against the parent in each scope.
 
-    In order: MISSING_PARENT, AMBIGUOUS_PARENT, MISSING_INPUT, then MATCH or MISMATCH.
+    In order: MISSING_PARENT, AMBIGUOUS_PARENT, AMBIGUOUS_INPUT (a child has
+    several facts), MISSING_INPUT (a child has no fact, or no value), then MATCH
+    or MISMATCH.
     """
-    cells = facts.groupBy(*scope, node).agg(F.count("*").alias("_n"), F.sum(value).alias("_v"))
+    cells = facts.groupBy(*scope, node).agg(F.count("*").alias("_n"), F.when(F.count(value) == F.count("*"), F.sum(value)).alias("_v"))
     needed = arcs.groupBy("parent").agg(F.count("*").alias("_arcs"))
-    child = cells.select(*scope, F.col(node).alias("child"), F.col("_v").alias("_c"))
-    sums = child.join(arcs.select("parent", "child", "weight"), "child").groupBy(*scope, "parent").agg(F.sum(F.col("weight") * F.col("_c")).alias("calculated"), F.count("*").alias("_inputs"))
+    child = cells.select(*scope, F.col(node).alias("child"), F.col("_n").alias("_cn"), F.col("_v").alias("_c"))
+    sums = child.join(arcs.select("parent", "child", "weight"), "child").groupBy(*scope, "parent").agg(F.sum(F.col("weight") * F.col("_c")).alias("calculated"), F.count("_c").alias("_inputs"), F.max("_cn").alias("_most"))
     parent = cells.select(*scope, F.col(node).alias("parent"), F.col("_n").alias("_pn"), F.col("_v").alias("reported"))
     rows = sums.join(parent, [*scope, "parent"], "left").join(needed, "parent")
     status = (
         F.when(F.col("_pn").isNull(), "MISSING_PARENT")
         .when(F.col("_pn") > 1, "AMBIGUOUS_PARENT")
-        .when(F.col("_inputs") < F.col("_arcs"), "MISSING_INPUT")
+        .when(F.col("_most") > 1, "AMBIGUOUS_INPUT")
+        .when((F.col("_inputs") < F.col("_arcs")) | F.col("reported").isNull(), "MISSING_INPUT")
         .when(F.abs(F.col("calculated") - F.col("reported")) <= tolerance, "MATCH")
         .otherwise("MISMATCH")
     )
-    return rows.withColumn("status", status).drop("_pn", "_arcs", "_inputs")
+    out = rows.withColumn("status", status).drop("_pn", "_arcs", "_inputs", "_most")
+    return out.withColumn("calculated", F.when(F.col("status").isin("MATCH", "MISMATCH"), F.col("calculated")))
 
 
 def interval_checks(facts: DataFrame, arcs: DataFrame, scope: list[str], node: str) -> DataFrame:

@@ -2,37 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asofworks.functions.scalars import first_reason, percentage, reasons
 
-#: Derived annual metrics as numerator and denominator roles, with the reason for a denominator that isn't positive.
-RATIOS = {
-    "gross_margin": ("GROSS_PROFIT", "REVENUE", "NON_POSITIVE_DENOMINATOR"),
-    "operating_margin": ("OPERATING_INCOME", "REVENUE", "NON_POSITIVE_DENOMINATOR"),
-    "liabilities_to_equity": ("OPERATING_INCOME", "GROSS_PROFIT", "NEGATIVE_EQUITY"),
-}
-
-
-def annual_metrics(cells: DataFrame, keys: list[str], role: str, value: str = "value", ratios: dict[str, tuple[str, str, str]] = RATIOS) -> DataFrame:
-    """Long rows (keys, metric, value, reason) of ratios by role, one pass with conditional aggregation.
-
-    Reasons in order: MISSING_INPUT, MULTIPLE_CANDIDATES, NEGATIVE_NUMERATOR, the denominator's own.
+#: Reported annual metrics, and derived ones as kind, two inputs and the signs that the inputs must have.
+REPORTED = (
+    "revenue", "cost", "gross_profit", "research", "operating_income", "net_income", "cfo", "capex", "cfi", "cff", "repurchases", "stock_compensation",
+    "cash", "assets", "current_assets", "receivables", "inventory", "liabilities", "current_liabilities", "debt", "equity",
+)
+DERIVED = (
+    ("revenue_yoy", "GROWTH", "revenue", "prior_revenue"),
+    ("gross_margin", "PERCENT", "gross_profit", "revenue"),
+    ("operating_margin", "PERCENT", "operating_income", "revenue"),
+    ("net_margin", "PERCENT", "net_income", "revenue"),
+    ("standardized_fcf", "SUBTRACT", "cfo", "capex"),
+    ("fcf_margin", "PERCENT", "standardized_fcf", "revenue"),
+    ("current_ratio", "STOCK_PERCENT", "current_assets", "current_liabilities"),
+    ("liabilities_to_equity", "STOCK_PERCENT", "liabilities", "equity"),
+    ("liabilities_to_assets", "STOCK_PERCENT", "liabilities", "assets"),
+    ("net_debt", "NET_DEBT", "debt", "cash"),
+)
+
+
+def _derived(name: str, kind: str, a: Column, b: Column) -> tuple[Column, Column]:
+    """(value, reason) of a derived metric from two values that are there."""
+    below, rate = F.when(b < 0, "NEGATIVE_EQUITY") if name == "liabilities_to_equity" else F.lit(None), percentage(a, b)
+    below = F.coalesce(below, F.when(b <= 0, "NON_POSITIVE_DENOMINATOR"))
+    negative = F.when(a < 0, "NEGATIVE_NUMERATOR")
+    if kind == "GROWTH":
+        return percentage(a - b, b), F.coalesce(negative, below)
+    if kind == "PERCENT":
+        return rate, below
+    if kind == "STOCK_PERCENT":
+        return rate, F.coalesce(negative, below)
+    if kind == "SUBTRACT":
+        return (a - b).cast("double"), F.when(b < 0, "CAPEX_SIGN_UNCERTAIN")
+    return (a - b).cast("double"), F.when((a < 0) | (b < 0), "NEGATIVE_BALANCE_COMPONENT")
+
+
+def annual_metrics(cells: DataFrame, company: str, year: str, role: str, value: str = "value", filing: str | None = None) -> DataFrame:
+    """Long rows (company, year, metric, source_kind, value, reason) of all 21 reported and 10 derived annual metrics.
+
+    cells has a row for each candidate of a role.  A role without one is
+    MISSING_INPUT, with several MULTIPLE_CANDIDATES, with one that has no value
+    MISSING_INPUT.  A derived metric takes its first input's reason, else its
+    second's, else SOURCE_FILING_MISMATCH where both stand in different filings
+    (column filing), else that of its signs: margins may be negative, but their
+    denominators must be positive; stocks and growth need a numerator of zero at
+    least; equity below zero is NEGATIVE_EQUITY.  One aggregation by company
+    and year, and the year before by a window over a company's years.
     """
-    roles = sorted({r for a, b, _ in ratios.values() for r in (a, b)})
-    wide = cells.groupBy(*keys).agg(*[F.max(F.when(F.col(role) == r, F.col(value))).alias(f"v_{r}") for r in roles], *[F.count_if(F.col(role) == r).alias(f"n_{r}") for r in roles])
-    rows = []
-    for name, (a, b, why) in ratios.items():
-        va, vb = F.col(f"v_{a}"), F.col(f"v_{b}")
-        reason = (
-            F.when(va.isNull() | vb.isNull(), "MISSING_INPUT")
-            .when((F.col(f"n_{a}") > 1) | (F.col(f"n_{b}") > 1), "MULTIPLE_CANDIDATES")
-            .when(va < 0, "NEGATIVE_NUMERATOR")
-            .when(vb <= 0, why)
-        )
-        rows.append(F.struct(F.lit(name).alias("metric"), F.when(reason.isNull(), percentage(va, vb)).alias("value"), reason.alias("reason")))
-    return wide.select(*keys, F.explode(F.array(*rows)).alias("_m")).select(*keys, "_m.metric", "_m.value", "_m.reason")
+    each = []
+    for r in REPORTED:
+        own = F.col(role) == r
+        each += [F.max(F.when(own, F.col(value))).alias(f"v_{r}"), F.count_if(own).alias(f"n_{r}"), F.max(F.when(own, F.col(filing) if filing else F.lit(0))).alias(f"f_{r}")]
+    wide = cells.groupBy(company, year).agg(*each)
+    known: dict[str, tuple[Column, Column, Column]] = {}
+    for r in REPORTED:
+        n = F.col(f"n_{r}")
+        why = F.when(n == 0, "MISSING_INPUT").when(n > 1, "MULTIPLE_CANDIDATES").when(F.col(f"v_{r}").isNull(), "MISSING_INPUT")
+        known[r] = (F.col(f"v_{r}"), why, F.col(f"f_{r}"))
+    before = Window.partitionBy(company).orderBy(year)
+    last = F.when(F.lag(year).over(before) == F.col(year) - 1, F.lag(F.struct(known["revenue"][0].alias("v"), known["revenue"][1].alias("why"), F.lit(True).alias("has"))).over(before))
+    wide = wide.withColumn("prior", last)
+    known["prior_revenue"] = (F.col("prior.v"), F.when(F.col("prior.has").isNull(), "MISSING_INPUT").otherwise(F.col("prior.why")), F.lit(None))
+    rows = [F.struct(F.lit(r).alias("metric"), F.lit("REPORTED").alias("source_kind"), F.when(known[r][1].isNull(), known[r][0].cast("double")).alias("value"), known[r][1].alias("reason")) for r in REPORTED]
+    for name, kind, first, second in DERIVED:
+        (a, why_a, file_a), (b, why_b, file_b) = known[first], known[second]
+        found, signs = _derived(name, kind, a, b)
+        why = F.coalesce(why_a, why_b, F.when(file_a != file_b, "SOURCE_FILING_MISMATCH"), signs)
+        known[name] = (F.when(why.isNull(), a - b), why, file_a)
+        rows.append(F.struct(F.lit(name).alias("metric"), F.lit("DERIVED_METRIC").alias("source_kind"), F.when(why.isNull(), found).alias("value"), why.alias("reason")))
+    return wide.select(company, year, F.explode(F.array(*rows)).alias("_m")).select(company, year, "_m.*")
 
 
 def metric_inputs(facts: DataFrame, scope: list[str], role: str, wanted: list[str]) -> DataFrame:
@@ -80,10 +123,17 @@ def source_equations(inputs: DataFrame, totals: DataFrame, key: str, tolerance:
 
 
 def bind_recast(facts: DataFrame, evidence: DataFrame, scope: list[str]) -> DataFrame:
-    """Facts with the earlier filings of equal scope that evidence cites; NO_PRIOR_FILING where none is earlier."""
-    e = evidence.select(*scope, F.col("accession").alias("_prior"), F.col("filed_date").alias("_date"))
-    rows = facts.join(e, scope, "left").groupBy("fact_id", "accession", *scope).agg(F.array_sort(F.collect_set(F.when(F.col("_date") < F.col("filed_date"), F.col("_prior")))).alias("priors"))
-    return rows.withColumn("basis", F.when(F.size("priors") > 0, "RECAST").otherwise("NO_PRIOR_FILING"))
+    """Facts with the number of earlier filings of equal scope in evidence, and the newest of them; NO_PRIOR_FILING where none is earlier.
+
+    Facts and filings of a scope stand in one order by date; they are never
+    paired.
+    """
+    e = evidence.groupBy(*scope, "accession").agg(F.min("filed_date").alias("_at")).select(*scope, "_at", F.lit(1).alias("_kind"), F.col("accession").alias("_prior"))
+    f = facts.select(*scope, F.col("filed_date").alias("_at"), F.lit(0).alias("_kind"), "fact_id", "accession")
+    # of one day facts stand before filings, so only earlier days count
+    before = Window.partitionBy(*scope).orderBy("_at", "_kind", "_prior").rowsBetween(Window.unboundedPreceding, -1)
+    rows = f.unionByName(e, allowMissingColumns=True).withColumn("priors", F.count("_prior").over(before)).withColumn("prior", F.last("_prior", ignorenulls=True).over(before))
+    return rows.where("_kind = 0").select("fact_id", "accession", *scope, "priors", "prior", F.when(F.col("priors") > 0, "RECAST").otherwise("NO_PRIOR_FILING").alias("basis"))
 
 
 def financial_anchor(filings: DataFrame, cutoff: str) -> DataFrame:
@@ -95,15 +145,13 @@ def financial_anchor(filings: DataFrame, cutoff: str) -> DataFrame:
 
 
 def four_quarters(cells: DataFrame, keys: list[str], coordinate: str, anchor: int) -> DataFrame:
-    """The four quarters up to an anchor: MISSING, QUARTER_GAP or the sum."""
+    """The four quarters up to an anchor: MISSING, QUARTER_GAP, INPUT_UNAVAILABLE (one has no value) or the sum."""
     near = cells.where(F.col(coordinate) <= anchor)
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(F.col(coordinate).desc())
     last = near.withColumn("_k", F.row_number().over(w)).where("_k <= 4")
-    out = last.groupBy(*keys).agg(F.count("*").alias("quarters"), (F.max(coordinate) - F.min(coordinate)).alias("_span"), F.sum("value").alias("_sum"), F.max(coordinate).alias("last_quarter"))
-    reason = F.when(F.col("quarters") < 4, "MISSING").when(F.col("_span") != 3, "QUARTER_GAP")
-    return out.withColumn("reason", reason).withColumn("total", F.when(F.col("reason").isNull(), F.col("_sum"))).drop("_span", "_sum")
+    out = last.groupBy(*keys).agg(F.count("*").alias("quarters"), (F.max(coordinate) - F.min(coordinate)).alias("_span"), F.sum("value").alias("_sum"), F.count("value").alias("_have"), F.max(coordinate).alias("last_quarter"))
+    reason = F.when(F.col("quarters") < 4, "MISSING").when(F.col("_span") != 3, "QUARTER_GAP").when(F.col("_have") < 4, "INPUT_UNAVAILABLE")
+    return out.withColumn("reason", reason).withColumn("total", F.when(F.col("reason").isNull(), F.col("_sum"))).drop("_span", "_sum", "_have")
 
 
 def comparison_panel(rows: DataFrame, companies: list, identity: list[str], company: str = "cik") -> DataFrame:

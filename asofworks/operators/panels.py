@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asofworks.functions.scalars import first_reason, reasons
+from asofworks.operators.graph import walk
 
 
 def fact_series(series: DataFrame, start: str | None = None, end: str | None = None, period: str = "end_date", **exact: object) -> DataFrame:
@@ -40,16 +41,16 @@ def state_walk(edges: DataFrame, transitions: DataFrame, roots: list[str], start
     becomes the role of what follows, else the role stays and must agree.
     Nodes are not met twice on a path.
     """
-    spark = edges.sparkSession
-    start = spark.createDataFrame([(r, start_state) for r in roots], "root string, state string")
-    text = """with recursive walk(root, node, state, role, depth, path) as (
-        select root, root, state, cast(null as string), 0, array(root) from {start}
-        union all
-        select w.root, e.child, t.next_state, coalesce(e.target_role, e.role), w.depth + 1, concat(w.path, array(e.child))
-        from walk w join {edges} e on e.parent = w.node join {transitions} t on t.state = w.state and t.kind = e.kind
-        where w.depth < {depth} and (w.role is null or w.role = e.role) and not array_contains(w.path, e.child))
-    select distinct root, node, state, role, depth from walk"""
-    return spark.sql(text.replace("{depth}", str(int(max_depth))), start=start, edges=edges, transitions=transitions)
+    start = edges.sparkSession.createDataFrame([(r, r, start_state, None, 0, [r]) for r in roots], "root string, node string, state string, role string, depth int, path array<string>")
+    arcs = edges.select("parent", "child", F.col("kind").alias("_kind"), F.col("role").alias("_role"), "target_role")
+    rules = transitions.select(F.col("state").alias("_from"), F.col("kind").alias("_on"), "next_state")
+
+    def step(level: DataFrame) -> DataFrame:
+        on = level.join(arcs, F.col("node") == F.col("parent")).join(rules, (F.col("state") == F.col("_from")) & (F.col("_kind") == F.col("_on")))
+        on = on.where((F.col("role").isNull() | (F.col("role") == F.col("_role"))) & ~F.array_contains("path", F.col("child")))
+        return on.select("root", F.col("child").alias("node"), F.col("next_state").alias("state"), F.coalesce("target_role", "_role").alias("role"), (F.col("depth") + 1).alias("depth"), F.array_append("path", F.col("child")).alias("path"))
+
+    return walk(start, step, max_depth).select("root", "node", "state", "role", "depth").distinct()
 
 
 def statement_discovery(edges: DataFrame, facts: DataFrame, anchors: DataFrame, node: str) -> DataFrame:
@@ -82,7 +83,7 @@ def fiscal_series(candidates: DataFrame, keys: list[str], column: str, expected:
 def project_inputs(cells: DataFrame, declarations: DataFrame, key: str) -> DataFrame:
     """Cells as typed market inputs by reviewed declarations; the first failing check is the reason."""
     d = declarations.select(F.col(key).alias("_k"), "role", "currency")
-    rows = cells.join(F.broadcast(d), F.col(key) == F.col("_k"), "left")
+    rows = cells.join(d, F.col(key) == F.col("_k"), "left")
     why = reasons((F.col("_k").isNull(), "ROLE_NOT_DECLARED"), (F.col("value").isNull(), "VALUE_MISSING"), (F.col("currency").isNull(), "CURRENCY_UNKNOWN"), (F.col("value") < 0, "NEGATIVE_INPUT"))
     return rows.withColumn("reason", first_reason(why)).drop("_k")
 
@@ -90,10 +91,10 @@ def project_inputs(cells: DataFrame, declarations: DataFrame, key: str) -> DataF
 def eps_ttm_reviewed(quarters: DataFrame, mapping: DataFrame, keys: list[str], coordinate: str, anchor: int) -> DataFrame:
     """Sum of four quarters up to an anchor whose scopes an approved mapping makes one."""
     m = mapping.select(F.col("scope").alias("_s"), F.col("canonical_scope").alias("_c"))
-    rows = quarters.join(F.broadcast(m), F.col("scope") == F.col("_s"), "left")
+    rows = quarters.join(m, F.col("scope") == F.col("_s"), "left")
     last = rows.where((F.col(coordinate) <= anchor) & (F.col(coordinate) > anchor - 4))
-    out = last.groupBy(*keys).agg(F.countDistinct(coordinate).alias("quarters"), F.count("*").alias("_rows"), F.countDistinct("_c").alias("_scopes"), F.count_if(F.col("_c").isNull()).alias("_open"), F.sum("value").alias("_sum"))
-    reason = F.when(F.col("quarters") < 4, "QUARTER_MISSING").when(F.col("_rows") > 4, "COMPETING_ROWS").when(F.col("_open") > 0, "SCOPE_NOT_APPROVED").when(F.col("_scopes") > 1, "SCOPES_DIFFER")
+    out = last.groupBy(*keys).agg(F.countDistinct(coordinate).alias("quarters"), F.count("*").alias("_rows"), F.countDistinct("_c").alias("_scopes"), F.count_if(F.col("_c").isNull()).alias("_open"), F.sum("value").alias("_sum"), F.count("value").alias("_have"))
+    reason = F.when(F.col("quarters") < 4, "QUARTER_MISSING").when(F.col("_rows") > 4, "COMPETING_ROWS").when(F.col("_open") > 0, "SCOPE_NOT_APPROVED").when(F.col("_scopes") > 1, "SCOPES_DIFFER").when(F.col("_have") < F.col("_rows"), "INPUT_UNAVAILABLE")
     return out.withColumn("reason", reason).withColumn("total", F.when(F.col("reason").isNull(), F.col("_sum"))).select(*keys, "quarters", "reason", "total")
 
 

@@ -73,14 +73,6 @@ def gate(df: DataFrame, *checks: tuple[Column, str]) -> DataFrame:
     return df.withColumn("reasons", reasons(*checks)).withColumn("unavailable_reason", first_reason("reasons"))
 
 
-def observations(facts: DataFrame, concepts: DataFrame, units: DataFrame, concept: str, unit: str) -> DataFrame:
-    """Facts with their concept and unit; a missing one is a reason, so every fact is an observation or an exclusion."""
-    c = concepts.select(F.col(concepts.columns[0]).alias("_c"), *concepts.columns[1:])
-    u = units.select(F.col(units.columns[0]).alias("_u"), *units.columns[1:])
-    rows = facts.join(c, F.col(concept) == F.col("_c"), "left").join(u, F.col(unit) == F.col("_u"), "left")
-    return gate(rows, (F.col(concept).isNull(), "MISSING_CONCEPT_ID"), (F.col("_c").isNull(), "CONCEPT_NOT_FOUND"), (F.col("_u").isNull(), "UNIT_NOT_FOUND")).drop("_c", "_u")
-
-
 def dimension_signature(dims: DataFrame, key: str, *parts: str) -> DataFrame:
     """One sorted array of (axis, member, ...) for each fact, and a hash of it as join key (A2)."""
     signature = F.array_sort(F.collect_list(F.struct(*parts)))
@@ -118,19 +110,28 @@ def has_match(rows: DataFrame, others: DataFrame, keys: list[str], name: str) ->
     return rows.join(others.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left").fillna({name: False})
 
 
-def filing_ledger(filings: DataFrame) -> DataFrame:
-    """One version row per filing: amendment flag, ordinal of its base form, and the filing it may amend.
+def filing_ledger(filings: DataFrame, amends: str | None = None) -> DataFrame:
+    """One version row per filing: base form, ordinal within it, and the filing that it amends.
 
-    The link of an amendment is the newest earlier filing of the same company,
-    base form and report date; none is NO_BASE_FILING, never an inferred chain.
+    An amendment that names the filing it amends (column amends) is LINKED.  Of
+    all others the original filings of the same company, base form and report
+    date, filed on an earlier day, are compatible: exactly one is a CANDIDATE
+    that needs review, none or several leave the link UNKNOWN.  No chain is
+    inferred.
     """
+    named = F.col(amends) if amends else F.lit(None)
     base = F.regexp_replace("form", "/A$", "")
     rows = filings.withColumn("base_form", base).withColumn("is_amendment", F.col("form").endswith("/A"))
-    w = Window.partitionBy("cik", "base_form").orderBy("filed_date", "accession")
-    rows = rows.withColumn("ordinal", F.row_number().over(w))
-    earlier = F.last(F.when(~F.col("is_amendment"), F.col("accession")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("amends", F.when(F.col("is_amendment"), earlier))
-    return rows.withColumn("link_state", F.when(~F.col("is_amendment"), "ORIGINAL").when(F.col("amends").isNull(), "NO_BASE_FILING").otherwise("LINKED"))
+    rows = rows.withColumn("ordinal", F.row_number().over(Window.partitionBy("cik", "base_form").orderBy("filed_date", "accession")))
+    earlier = Window.partitionBy("cik", "base_form", "report_date").orderBy(F.unix_date("filed_date")).rangeBetween(Window.unboundedPreceding, -1)
+    original = F.when(~F.col("is_amendment") & F.col("report_date").isNotNull(), F.col("accession"))
+    rows = rows.withColumn("_n", F.count(original).over(earlier)).withColumn("_one", F.min(original).over(earlier))
+    rows = rows.withColumn("link_state", F.when(~F.col("is_amendment"), "NOT_APPLICABLE").when(named.isNotNull(), "LINKED").when(F.col("_n") == 1, "CANDIDATE").otherwise("UNKNOWN"))
+    state = F.col("link_state")
+    method = F.when(state == "NOT_APPLICABLE", "NOT_AN_AMENDMENT").when(state == "LINKED", "RAW_FILING_AMENDS_ACCESSION").when(state == "CANDIDATE", "FORM_REPORT_DATE_COMPATIBLE_CANDIDATE").otherwise("UNKNOWN")
+    review = F.when(state == "CANDIDATE", "REVIEW_REQUIRED").when(state == "UNKNOWN", "UNKNOWN").otherwise("NOT_REQUIRED")
+    rows = rows.withColumn("amends", F.when(state == "LINKED", named).when(state == "CANDIDATE", F.col("_one")))
+    return rows.withColumn("link_method", method).withColumn("review_status", review).drop("_n", "_one")
 
 
 def trailing_filings(filings: DataFrame, years: int, annual: str = "10-K") -> DataFrame:

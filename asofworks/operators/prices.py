@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -15,38 +15,58 @@ def session_calendar(days: DataFrame, day: str = "trade_date") -> DataFrame:
 
 def price_grid(prices: DataFrame, sessions: DataFrame, security: str = "security_id", day: str = "trade_date") -> DataFrame:
     """Every security on every session between its first and last price, so that gaps are rows."""
-    placed = prices.join(F.broadcast(sessions), day)
+    placed = prices.join(sessions, day)
     span = placed.groupBy(security).agg(F.min("session").alias("_a"), F.max("session").alias("_b"))
     grid = span.select(security, F.explode(F.sequence("_a", "_b")).alias("session"))
     others = [c for c in prices.columns if c not in (security, day)]
     return grid.join(placed.select(security, "session", day, *others), [security, "session"], "left")
 
 
-def price_returns(grid: DataFrame, n: int, security: str = "security_id", close: str = "close") -> DataFrame:
-    """100 * (P[t] / P[t - n] - 1) where all n + 1 sessions have a positive close, else INSUFFICIENT_HISTORY."""
+def _window_reason(order: WindowSpec, n: int, bad: Column, why: str, day: str) -> Column:
+    """Why a window of n sessions and the one before them has no value: too few sessions, a session without a row, or a bad value."""
+    window = order.rowsBetween(-n, 0)
+    return (
+        F.when(F.col("session") <= n, "INSUFFICIENT_VERIFIED_SESSION_HISTORY")
+        .when(F.count(day).over(window) < n + 1, "PRICE_SESSION_GAP")
+        .when(F.count_if(bad).over(window) > 0, why)
+    )
+
+
+def price_returns(grid: DataFrame, n: int, security: str = "security_id", close: str = "close", day: str = "trade_date") -> DataFrame:
+    """100 * (P[t] / P[t - n] - 1) where all n + 1 sessions have a positive close, else the first reason.
+
+    day is null on a session without a row; sessions count from 1 over the
+    whole calendar.
+    """
     order = Window.partitionBy(security).orderBy("session")
-    full = F.count(F.when(F.col(close) > 0, 1)).over(order.rowsBetween(-n, 0)) == n + 1
-    before = F.lag(close, n).over(order)
-    rate = (F.col(close).cast("double") / before.cast("double") - 1) * 100
-    return grid.withColumn("return", F.when(full, rate)).withColumn("reason", F.when(~full, "INSUFFICIENT_HISTORY"))
+    reason = _window_reason(order, n, F.col(close).isNull() | (F.col(close) <= 0), "CLOSE_MISSING_OR_NONPOSITIVE", day)
+    rate = (F.col(close).cast("double") / F.lag(close, n).over(order).cast("double") - 1) * 100
+    return grid.withColumn("reason", reason).withColumn("return", F.when(F.col("reason").isNull(), rate))
 
 
-def volatility(grid: DataFrame, n: int, security: str = "security_id", close: str = "close") -> DataFrame:
-    """100 * sample deviation of n log returns * sqrt(252), on the same strict window."""
+def volatility(grid: DataFrame, n: int, security: str = "security_id", close: str = "close", day: str = "trade_date") -> DataFrame:
+    """100 * sample deviation of n log returns * sqrt(252), on the same strict window, or its reason."""
     order = Window.partitionBy(security).orderBy("session")
-    price = F.col(close).cast("double")
-    full = F.count(F.when(F.col(close) > 0, 1)).over(order.rowsBetween(-n, 0)) == n + 1
-    rows = grid.withColumn("_log", F.when((price > 0) & (F.lag(close).over(order) > 0), F.ln(price / F.lag(close).over(order).cast("double"))))
+    price, before = F.col(close).cast("double"), F.lag(close).over(order).cast("double")
+    reason = _window_reason(order, n, F.col(close).isNull() | (F.col(close) <= 0), "CLOSE_MISSING_OR_NONPOSITIVE", day)
+    rows = grid.withColumn("_log", F.when((price > 0) & (before > 0), F.ln(price) - F.ln(before))).withColumn("reason", reason)
     value = F.stddev_samp("_log").over(order.rowsBetween(-(n - 1), 0)) * F.sqrt(F.lit(252.0)) * 100
-    return rows.withColumn("volatility", F.when(full, value)).drop("_log")
+    return rows.withColumn("volatility", F.when(F.col("reason").isNull(), value)).drop("_log")
 
 
-def relative_volume(grid: DataFrame, n: int, volume: str, security: str = "security_id") -> DataFrame:
-    """Volume over the mean of the n sessions before, all of which must be there."""
-    order = Window.partitionBy(security).orderBy("session").rowsBetween(-n, -1)
-    full = F.count(volume).over(order) == n
-    mean = F.sum(volume).over(order).cast("double") / n
-    return grid.withColumn("relative_volume", F.when(full & (mean > 0), F.col(volume).cast("double") / mean))
+def relative_volume(grid: DataFrame, n: int, volume: str, basis_known: Column | None = None, security: str = "security_id", day: str = "trade_date") -> DataFrame:
+    """Volume over the mean of the n sessions before, or the first reason; basis_known says whether volumes are split compatible."""
+    order = Window.partitionBy(security).orderBy("session")
+    mean = F.sum(volume).over(order.rowsBetween(-n, -1)).cast("double") / n
+    window = order.rowsBetween(-n, 0)
+    bad = F.count_if(F.col(volume).isNull() | (F.col(volume) < 0)).over(window) > 0
+    reason = F.coalesce(
+        _window_reason(order, n, F.lit(False), "", day),
+        F.when(~(F.lit(True) if basis_known is None else basis_known), "VOLUME_SPLIT_BASIS_UNKNOWN"),
+        F.when(bad, "VOLUME_MISSING_OR_NEGATIVE"),
+        F.when(mean <= 0, "VOLUME_BASE_NONPOSITIVE"),
+    )
+    return grid.withColumn("reason", reason).withColumn("relative_volume", F.when(F.col("reason").isNull(), F.col(volume).cast("double") / mean))
 
 
 def rolling_distribution(grid: DataFrame, n: int, value: str, security: str = "security_id") -> DataFrame:
@@ -104,15 +124,24 @@ def query_prices(rows: DataFrame, mode: str, securities: list | None = None, sta
 
 
 def bind_inputs(days: DataFrame, inputs: DataFrame, key: str, scope: list[str], known: str, day: str) -> DataFrame:
-    """The one input of a day's scope that is known by that day, else INPUT_MISSING, INPUT_NOT_KNOWN or INPUT_AMBIGUOUS."""
+    """The one input of a day's scope that is known by that day, else INPUT_MISSING, INPUT_NOT_KNOWN or INPUT_AMBIGUOUS.
+
+    Days and inputs of a scope stand in one order by date, so a day sees the
+    inputs before it by a running count; they are never paired.
+    """
     names = [c for c in inputs.columns if c not in scope]
-    renamed = inputs.select(*scope, *[F.col(c).alias(f"input_{c}") for c in names])
-    rows = days.join(renamed, scope, "left")
-    ready = F.col(f"input_{known}") <= F.col(day)
-    out = rows.groupBy(*days.columns).agg(F.count(f"input_{key}").alias("_all"), F.count_if(ready).alias("_ready"), F.max(F.when(ready, F.struct(*[f"input_{c}" for c in names]))).alias("_row"))
+    a = days.select(*scope, F.col(day).alias("_at"), F.lit(1).alias("_kind"), F.struct(*days.columns).alias("_day"))
+    usable = F.col(key).isNotNull()
+    for c in scope:
+        usable = usable & F.col(c).isNotNull()
+    b = inputs.where(usable).select(*scope, F.col(known).alias("_at"), F.lit(0).alias("_kind"), F.struct(*names).alias("_input"))
+    order = Window.partitionBy(*scope).orderBy("_at", "_kind")
+    upto, whole = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), Window.partitionBy(*scope)
+    dated = F.when(F.col("_at").isNotNull(), F.col("_input"))
+    rows = a.unionByName(b, allowMissingColumns=True).withColumn("_all", F.count("_input").over(whole)).withColumn("_ready", F.count(dated).over(upto)).withColumn("_row", F.max(dated).over(upto))
     reason = F.when(F.col("_all") == 0, "INPUT_MISSING").when(F.col("_ready") == 0, "INPUT_NOT_KNOWN").when(F.col("_ready") > 1, "INPUT_AMBIGUOUS")
-    out = out.withColumn("reason", reason)
-    return out.select(*days.columns, *[F.when(F.col("reason").isNull(), F.col(f"_row.input_{c}")).alias(f"input_{c}") for c in names], "reason")
+    out = rows.where("_kind = 1").withColumn("reason", reason)
+    return out.select(*[F.col(f"_day.{c}").alias(c) for c in days.columns], *[F.when(F.col("reason").isNull(), F.col(f"_row.{c}")).alias(f"input_{c}") for c in names], "reason")
 
 
 def valuation(rows: DataFrame, price: str, shares: str, earnings: str, equity: str, revenue: str, debt: str, cash: str) -> DataFrame:

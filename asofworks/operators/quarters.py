@@ -49,14 +49,14 @@ def derive_quarter(facts: DataFrame, scope: list[str], later: str, earlier: str,
 
 
 def ttm(cells: DataFrame, keys: list[str], coordinate: str, value: str = "value", same: list[str] | None = None) -> DataFrame:
-    """Sum of four contiguous quarters ending at each; INPUTS_NOT_CONTIGUOUS or INPUTS_NOT_COMPATIBLE otherwise."""
+    """Sum of four contiguous quarters ending at each, else INPUTS_NOT_CONTIGUOUS, INPUT_UNAVAILABLE (one has no value) or INPUTS_NOT_COMPATIBLE."""
     order = Window.partitionBy(*keys).orderBy(coordinate)
     four = order.rowsBetween(-3, 0)
     n, first = F.count("*").over(four), F.min(coordinate).over(four)
     compatible = F.lit(True)
     for c in same or []:
         compatible = compatible & (F.size(F.collect_set(c).over(four)) == 1)
-    reason = F.when((n < 4) | (F.col(coordinate) - first != 3), "INPUTS_NOT_CONTIGUOUS").when(~compatible, "INPUTS_NOT_COMPATIBLE")
+    reason = F.when((n < 4) | (F.col(coordinate) - first != 3), "INPUTS_NOT_CONTIGUOUS").when(F.count(value).over(four) < 4, "INPUT_UNAVAILABLE").when(~compatible, "INPUTS_NOT_COMPATIBLE")
     rows = cells.withColumn("reason", reason).withColumn("_sum", F.sum(value).over(four))
     return rows.withColumn("ttm", F.when(F.col("reason").isNull(), F.col("_sum"))).drop("_sum")
 

@@ -27,10 +27,10 @@ def a6(t: Tables) -> DataFrame:
 
 @query(
     "a7_capability_inventory",
-    "select cik, concept, member, 'OBSERVED' as status from (select distinct cik, concept, member from facts where value > 100000) x union all select cik, null, null, 'COVERAGE_UNAVAILABLE' from companies where cik not in (select cik from facts where value > 100000)",
+    "select cik, concept, member, 'OBSERVED' as status from (select distinct cik, concept, member from facts) x union all select cik, null, null, 'COVERAGE_UNAVAILABLE' from companies where cik not in (select cik from facts)",
 )
 def a7(t: Tables) -> DataFrame:
-    return K.capability_inventory(t.facts.where("value > 100000"), t.companies, ["concept", "member"]).select("cik", "concept", "member", "status")
+    return K.capability_inventory(t.facts, t.companies, ["concept", "member"]).select("cik", "concept", "member", "status")
 
 
 @query(

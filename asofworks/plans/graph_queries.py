@@ -58,20 +58,27 @@ def g4(t: Tables) -> DataFrame:
 
 @query(
     "a16_calculation_checks",
-    """with f as (select 'C' || o_custkey as node, year(o_orderdate) as y, cast(o_totalprice as decimal(18,2)) as value from orders union all
+    """with o as (select o_custkey, year(o_orderdate) as y, case when o_custkey % 4 = 1 then 1 else min(o_orderkey) end as fact, case when o_custkey % 17 = 0 then null else sum(cast(o_totalprice as decimal(18,2))) end as value from orders group by o_custkey, year(o_orderdate), case when o_custkey % 4 = 1 then 1 else o_orderkey end),
+    f as (select 'C' || o_custkey as node, y, value from o union all
       select 'N' || c_nationkey, year(o_orderdate), sum(cast(o_totalprice as decimal(18,2))) + case when c_nationkey % 4 = 0 then 1 else 0 end from orders join customer on o_custkey = c_custkey where c_nationkey % 5 > 0 group by c_nationkey, year(o_orderdate)),
-    c as (select node, y, count(*) as n, sum(value) as v from f group by 1, 2), s as (select e.parent as parent, c.y as y, sum(e.weight * c.v) as calculated, count(*) as k from c join edges e on e.child = c.node group by 1, 2), a as (select parent, count(*) as arcs from edges group by parent)
-    select s.parent as parent, cast(s.y as bigint) as fiscal_year, cast(calculated as double) as calculated, case when c.n is null then 'MISSING_PARENT' when c.n > 1 then 'AMBIGUOUS_PARENT' when k < arcs then 'MISSING_INPUT' when abs(calculated - c.v) <= 0 then 'MATCH' else 'MISMATCH' end as status
-    from s left join c on s.parent = c.node and s.y = c.y join a on s.parent = a.parent""",
+    e2 as (select parent, child, weight from edges where not (parent like 'N%') or cast(substr(child, 2) as bigint) % 4 = 1),
+    c as (select node, y, count(*) as n, case when count(value) = count(*) then sum(value) end as v from f group by 1, 2),
+    s as (select e.parent as parent, c.y as y, sum(e.weight * c.v) as calculated, count(c.v) as k, max(c.n) as most from c join e2 e on e.child = c.node group by 1, 2), a as (select parent, count(*) as arcs from e2 group by parent),
+    r as (select s.parent as parent, cast(s.y as bigint) as fiscal_year, calculated, case when c.n is null then 'MISSING_PARENT' when c.n > 1 then 'AMBIGUOUS_PARENT' when most > 1 then 'AMBIGUOUS_INPUT' when k < arcs or c.v is null then 'MISSING_INPUT' when abs(calculated - c.v) <= 0 then 'MATCH' else 'MISMATCH' end as status
+    from s left join c on s.parent = c.node and s.y = c.y join a on s.parent = a.parent)
+    select parent, fiscal_year, status, case when status in ('MATCH', 'MISMATCH') then cast(calculated as double) end as calculated from r""",
 )
 def a16(t: Tables) -> DataFrame:
     price = F.col("o_totalprice").cast("decimal(18,2)")
     year = F.year("o_orderdate").cast("long").alias("fiscal_year")
-    own = t.orders.select(F.concat(F.lit("C"), "o_custkey").alias("node"), year, price.alias("value"))
+    one = F.when(F.col("o_custkey") % 4 == 1, 1).otherwise(F.col("o_orderkey"))
+    own = t.orders.groupBy("o_custkey", year, one.alias("fact")).agg(F.sum(price).alias("value"))
+    own = own.select(F.concat(F.lit("C"), "o_custkey").alias("node"), "fiscal_year", F.when(F.col("o_custkey") % 17 != 0, F.col("value")).alias("value"))
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).where("c_nationkey % 5 > 0")
     nation = joined.groupBy("c_nationkey", year).agg(F.sum(price).alias("_s")).select(F.concat(F.lit("N"), "c_nationkey").alias("node"), "fiscal_year", (F.col("_s") + F.when(F.col("c_nationkey") % 4 == 0, 1).otherwise(0)).alias("value"))
-    rows = G.calculation_checks(own.unionByName(nation), t.edges, ["fiscal_year"], "node", "value")
-    return rows.select("parent", "fiscal_year", F.col("calculated").cast("double"), "status")
+    arcs = t.edges.where(~F.col("parent").startswith("N") | (F.substring("child", 2, 20).cast("long") % 4 == 1))
+    rows = G.calculation_checks(own.unionByName(nation), arcs, ["fiscal_year"], "node", "value")
+    return rows.select("parent", "fiscal_year", "status", F.col("calculated").cast("double"))
 
 
 @query(

@@ -42,11 +42,11 @@ def g5(t: Tables) -> DataFrame:
 
 @query(
     "g8_statement_discovery",
-    "with f as (select 'C' || cik as child, count(*) as n from filings where amount > 300000 group by 1) select 'N' || n_nationkey as anchor, count(*) as children, count(f.n) as reported, cast(coalesce(sum(f.n), 0) as bigint) as facts from nation join edges on parent = 'N' || n_nationkey left join f on f.child = edges.child group by 1",
+    "with f as (select 'C' || cik as child, count(*) as n from filings group by 1) select 'N' || n_nationkey as anchor, count(*) as children, count(f.n) as reported, cast(coalesce(sum(f.n), 0) as bigint) as facts from nation join edges on parent = 'N' || n_nationkey left join f on f.child = edges.child group by 1",
 )
 def g8(t: Tables) -> DataFrame:
     anchors = t.nation.select(F.concat(F.lit("N"), "n_nationkey").alias("anchor"))
-    facts = t.filings.where("amount > 300000").select(F.concat(F.lit("C"), "cik").alias("node"))
+    facts = t.filings.select(F.concat(F.lit("C"), "cik").alias("node"))
     return N.statement_discovery(t.edges, facts, anchors, "node")
 
 
@@ -57,22 +57,22 @@ def g9(t: Tables) -> DataFrame:
 
 @query(
     "c25_company_panel",
-    "select s.accession as accession, case when m.c_nationkey is null then 'NOT_IN_GRAPH' else 'PLACED' end as panel_status from (select accession, cik from filings where form = '10-K') s left join (select c_custkey, c_nationkey from customer join nation on c_nationkey = n_nationkey where n_regionkey < 2) m on s.cik = m.c_custkey",
+    "select s.accession as accession, case when m.c_nationkey is null then 'NOT_IN_GRAPH' else 'PLACED' end as panel_status from (select accession, cik from filings) s left join (select c_custkey, c_nationkey from customer join nation on c_nationkey = n_nationkey where n_regionkey < 2) m on s.cik = m.c_custkey",
 )
 def c25(t: Tables) -> DataFrame:
     nodes = G.simple_paths(t.edges, ["R0", "R1"], 2)
-    selected = t.filings.where("form = '10-K'").select("accession", F.concat(F.lit("C"), "cik").alias("place"))
+    selected = t.filings.select("accession", F.concat(F.lit("C"), "cik").alias("place"))
     return N.company_panel(selected, nodes, "place").select("accession", "panel_status")
 
 
 @query(
     "c26_fiscal_series",
-    """with n as (select cik, concept, year(end_date) as y, count(distinct value) as k, min(value) as v from facts where member = 'O' and line = 4 group by 1, 2, 3), g as (select distinct cik, concept, e.y as y from facts cross join (values (1997), (1998), (1999)) e(y) where member = 'O' and line = 4)
-    select g.cik as cik, g.concept as concept, cast(g.y as bigint) as fiscal_year, case when k is null then 'PERIOD_MISSING' when k > 1 then 'CONFLICT' else 'AVAILABLE' end as cell_status, case when k = 1 then cast(v as double) end as value from g left join n on g.cik = n.cik and g.concept = n.concept and g.y = n.y""",
+    """with n as (select cik, concept, member, line, year(end_date) as y, count(distinct value) as k, min(value) as v from facts group by 1, 2, 3, 4, 5), g as (select distinct cik, concept, member, line, e.y as y from facts cross join (values (1997), (1998), (1999)) e(y))
+    select g.cik as cik, g.concept as concept, g.member as member, cast(g.line as bigint) as line, cast(g.y as bigint) as fiscal_year, case when k is null then 'PERIOD_MISSING' when k > 1 then 'CONFLICT' else 'AVAILABLE' end as cell_status, case when k = 1 then cast(v as double) end as value from g left join n on g.cik = n.cik and g.concept = n.concept and g.member = n.member and g.line = n.line and g.y = n.y""",
 )
 def c26(t: Tables) -> DataFrame:
-    rows = t.facts.where("member = 'O' and line = 4").withColumn("fiscal_year", F.year("end_date").cast("long"))
-    return N.fiscal_series(rows, ["cik", "concept"], "fiscal_year", [1997, 1998, 1999]).select("cik", "concept", F.col("fiscal_year").cast("long"), "cell_status", F.col("value").cast("double"))
+    rows = t.facts.withColumn("fiscal_year", F.year("end_date").cast("long"))
+    return N.fiscal_series(rows, ["cik", "concept", "member", "line"], "fiscal_year", [1997, 1998, 1999]).select("cik", "concept", "member", F.col("line").cast("long"), F.col("fiscal_year").cast("long"), "cell_status", F.col("value").cast("double"))
 
 
 @query(
@@ -88,20 +88,21 @@ def c18(t: Tables) -> DataFrame:
 
 @query(
     "c21_eps_ttm_reviewed",
-    """with q as (select cik, coordinate, value, case n_sources when 1 then 'x' when 2 then 'x' when 3 then 'y' end as c, n_sources > 3 as open from cells where coordinate between 7997 and 8000),
-    g as (select cik, count(distinct coordinate) as quarters, count(*) as k, count(distinct c) as s, count(*) filter (where open) as o, sum(value) as v from q group by cik)
-    select cik, quarters, case when quarters < 4 then 'QUARTER_MISSING' when k > 4 then 'COMPETING_ROWS' when o > 0 then 'SCOPE_NOT_APPROVED' when s > 1 then 'SCOPES_DIFFER' end as reason, case when quarters = 4 and k = 4 and o = 0 and s = 1 then cast(v as double) end as total from g""",
+    """with q as (select cik, coordinate, case when source_id % 7 > 0 then value end as value, case n_sources when 1 then 'x' when 2 then 'x' when 3 then 'y' end as c, n_sources > 3 as open from cells where coordinate between 7997 and 8000),
+    g as (select cik, count(distinct coordinate) as quarters, count(*) as k, count(distinct c) as s, count(*) filter (where open) as o, sum(value) as v, count(value) as h from q group by cik)
+    select cik, quarters, case when quarters < 4 then 'QUARTER_MISSING' when k > 4 then 'COMPETING_ROWS' when o > 0 then 'SCOPE_NOT_APPROVED' when s > 1 then 'SCOPES_DIFFER' when h < k then 'INPUT_UNAVAILABLE' end as reason, case when quarters = 4 and k = 4 and o = 0 and s = 1 and h = 4 then cast(v as double) end as total from g""",
 )
 def c21(t: Tables) -> DataFrame:
+    cells = t.cells.withColumn("scope", F.col("n_sources")).withColumn("value", F.when(F.col("source_id") % 7 > 0, F.col("value")))
     mapping = t.spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "scope long, canonical_scope string")
-    return N.eps_ttm_reviewed(t.cells.withColumn("scope", F.col("n_sources")), mapping, ["cik"], "coordinate", 8000).select("cik", "quarters", "reason", F.col("total").cast("double"))
+    return N.eps_ttm_reviewed(cells, mapping, ["cik"], "coordinate", 8000).select("cik", "quarters", "reason", F.col("total").cast("double"))
 
 
 @query(
     "c38_statement_occurrence",
-    """with n as (select cik, concept, count(*) as k, min(fact_id) as f from facts where line < 3 group by 1, 2) select s.fact_id as fact_id, cast(case when k = 1 then f end as varchar) as occurrence_id, case when k is null then 'OCCURRENCE_MISSING' when k > 1 then 'OCCURRENCE_AMBIGUOUS' end as reason
-    from (select * from facts where line = 5) s left join n on s.cik = n.cik and s.concept = n.concept""",
+    """with n as (select cik, concept, count(*) as k, min(fact_id) as f from facts group by 1, 2) select s.fact_id as fact_id, cast(case when k = 1 then f end as varchar) as occurrence_id, case when k is null then 'OCCURRENCE_MISSING' when k > 1 then 'OCCURRENCE_AMBIGUOUS' end as reason
+    from facts s left join n on s.cik = n.cik and s.concept = n.concept""",
 )
 def c38(t: Tables) -> DataFrame:
-    occurrences = t.facts.where("line < 3").select("cik", "concept", F.col("fact_id").alias("occurrence_id"))
-    return N.statement_occurrence(t.facts.where("line = 5"), occurrences, ["cik", "concept"]).select("fact_id", F.col("occurrence_id").cast("string"), "reason")
+    occurrences = t.facts.select("cik", "concept", F.col("fact_id").alias("occurrence_id"))
+    return N.statement_occurrence(t.facts, occurrences, ["cik", "concept"]).select("fact_id", F.col("occurrence_id").cast("string"), "reason")

@@ -22,14 +22,14 @@ def p1(t: Tables) -> DataFrame:
 @query(
     "p2_classify_annual",
     """with a as (select *, make_date(cast(year(end_date) - 1 as bigint), cast(month(end_date) as bigint), cast(case when month(end_date) = 2 then least(day(end_date), 28) else day(end_date) end as bigint)) as anniversary,
-          end_date - 1 as last, filed_date as focus from facts where line % 5 = 3),
+          end_date - 1 as last, filed_date as focus from facts),
     b as (select *, abs(datediff('day', last, make_date(year(last) - 1, 12, 31))) <= 7 or abs(datediff('day', last, make_date(year(last), 12, 31))) <= 7 or abs(datediff('day', last, make_date(year(last) + 1, 12, 31))) <= 7 as near from a),
     c as (select case when abs(datediff('day', anniversary, start_date)) > 7 then 'ANNUAL_START_BOUNDARY_MISMATCH' when concept = 'A' and end_date in (focus, focus + 1) then 'ANNUAL_FILING_CONTEXT_BOUNDARIES'
           when near then 'DEI_FISCAL_END_AND_ANNUAL_START_ALIGNMENT' when concept = 'N' and end_date in (focus, focus + 1) then 'ROLLING_ANNUAL_DURATION_AT_INTERIM_FOCUS' else 'ANNUAL_BOUNDARY_EVIDENCE_MISSING' end as reason from b)
     select reason, case when reason in ('ANNUAL_FILING_CONTEXT_BOUNDARIES', 'DEI_FISCAL_END_AND_ANNUAL_START_ALIGNMENT') then 'FY' when reason like 'ROLLING%' then 'TTM' else 'OTHER_DURATION' end as period_class, count(*) as n from c group by 1, 2""",
 )
 def p2(t: Tables) -> DataFrame:
-    rows = t.facts.where("line % 5 = 3").withColumn("form", F.when(F.col("concept") == "A", "10-K").when(F.col("concept") == "N", "10-Q").otherwise("8-K"))
+    rows = t.facts.withColumn("form", F.when(F.col("concept") == "A", "10-K").when(F.col("concept") == "N", "10-Q").otherwise("8-K"))
     rows = rows.withColumn("focus", F.lit("FY")).withColumn("m", F.lit(12)).withColumn("d", F.lit(31))
     got = rows.select(P.classify_annual("start_date", "end_date", "form", "focus", "filed_date", "m", "d").alias("a"))
     return got.groupBy("a.reason", "a.period_class").agg(F.count("*").alias("n"))
@@ -66,19 +66,6 @@ def p13(t: Tables) -> DataFrame:
     return t.facts.where(allowed).groupBy("cik").agg(F.count("*").alias("n"), F.sum("value").cast("double").alias("total"))
 
 
-@query(
-    "p14_j1_observations",
-    """with o as (select case when p.p_partkey is null then 'CONCEPT_NOT_FOUND' when s.s_suppkey is null then 'UNIT_NOT_FOUND' end as unavailable_reason, p.p_type as p_type, value
-      from facts f left join (select * from part where p_size > 5) p on f.part_key = p.p_partkey left join (select * from supplier where s_acctbal > 0) s on f.unit_key = s.s_suppkey)
-    select unavailable_reason, p_type, count(*) as n, cast(sum(value) as double) as total from o group by 1, 2""",
-)
-def j1(t: Tables) -> DataFrame:
-    concepts = t.part.where("p_size > 5").select("p_partkey", "p_type")
-    units = t.supplier.where("s_acctbal > 0").select("s_suppkey")
-    rows = P.observations(t.facts, concepts, units, "part_key", "unit_key")
-    return rows.groupBy("unavailable_reason", "p_type").agg(F.count("*").alias("n"), F.sum("value").cast("double").alias("total"))
-
-
 @query("p15_assign_roles", "select case concept when 'A' then 'REVENUE' when 'N' then 'GROSS_PROFIT' end as role, count(*) as n, cast(sum(value) as double) as total from facts group by 1")
 def p15(t: Tables) -> DataFrame:
     rows = P.assign_roles(t.facts, {"A": "REVENUE", "N": "GROSS_PROFIT"}, "concept")
@@ -129,14 +116,18 @@ def j12(t: Tables) -> DataFrame:
 
 @query(
     "w15_filing_ledger",
-    """with r as (select *, regexp_replace(form, '/A$', '') as base_form, form like '%/A' as is_amendment from filings),
-    l as (select *, row_number() over w as ordinal, last_value(case when not is_amendment then accession end ignore nulls) over (partition by cik, base_form order by filed_date, accession rows between unbounded preceding and 1 preceding) as earlier
-      from r window w as (partition by cik, base_form order by filed_date, accession))
-    select cik, accession, base_form, is_amendment, cast(ordinal as bigint) as ordinal, cast(case when is_amendment then earlier end as varchar) as amends,
-      case when not is_amendment then 'ORIGINAL' when earlier is null then 'NO_BASE_FILING' else 'LINKED' end as link_state from l""",
+    """with r as (select cik, accession, form, filed_date, cast(date_trunc('quarter', report_date) as date) as report_date, regexp_replace(form, '/A$', '') as base_form, form like '%/A' as is_amendment, case when accession % 9 = 0 then accession - 1 end as named from filings),
+    l as (select r.*, row_number() over (partition by cik, base_form order by filed_date, accession) as ordinal from r),
+    c as (select a.accession as accession, count(*) as n, min(o.accession) as one from l a join l o on a.cik = o.cik and a.base_form = o.form and a.report_date = o.report_date and o.filed_date < a.filed_date where a.is_amendment group by 1),
+    s as (select l.*, c.one as one, case when not is_amendment then 'NOT_APPLICABLE' when named is not null then 'LINKED' when n = 1 then 'CANDIDATE' else 'UNKNOWN' end as link_state from l left join c on l.accession = c.accession)
+    select cik, accession, base_form, is_amendment, cast(ordinal as bigint) as ordinal, link_state, cast(case link_state when 'LINKED' then named when 'CANDIDATE' then one end as varchar) as amends,
+      case link_state when 'NOT_APPLICABLE' then 'NOT_AN_AMENDMENT' when 'LINKED' then 'RAW_FILING_AMENDS_ACCESSION' when 'CANDIDATE' then 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' else 'UNKNOWN' end as link_method,
+      case link_state when 'CANDIDATE' then 'REVIEW_REQUIRED' when 'UNKNOWN' then 'UNKNOWN' else 'NOT_REQUIRED' end as review_status from s""",
 )
 def w15(t: Tables) -> DataFrame:
-    return P.filing_ledger(t.filings).select("cik", "accession", "base_form", "is_amendment", F.col("ordinal").cast("long"), F.col("amends").cast("string"), "link_state")
+    filings = t.filings.withColumn("report_date", F.trunc("report_date", "quarter")).withColumn("named", F.when(F.col("accession") % 9 == 0, F.col("accession") - 1))
+    rows = P.filing_ledger(filings, "named")
+    return rows.select("cik", "accession", "base_form", "is_amendment", F.col("ordinal").cast("long"), "link_state", F.col("amends").cast("string"), "link_method", "review_status")
 
 
 @query(
@@ -193,11 +184,14 @@ def parsing(t: Tables) -> DataFrame:
 
 @query(
     "f12_f10_labels",
-    "select regexp_replace(regexp_replace(c_name, '^.*:', ''), '#', ' ', 'g') as label, case when contains(c_mktsegment, 'HOUSE') then 'BS' when contains(c_mktsegment, 'MACH') then 'IS' end as kind from customer",
+    """select regexp_replace(regexp_replace(c_name, '^.*:', ''), '#', ' ', 'g') as label, case when contains(c_mktsegment, 'HOUSE') then 'BS' when contains(c_mktsegment, 'MACH') then 'IS' when contains(c_mktsegment, 'AUTO') then 'EQ' end as kind,
+    case when c_custkey % 3 = 0 then cast(2000 + c_custkey % 30 as varchar) end as namespace_year from customer""",
 )
 def labels(t: Tables) -> DataFrame:
-    title = F.when(F.contains("c_mktsegment", F.lit("HOUSE")), "Consolidated Balance Sheets").when(F.contains("c_mktsegment", F.lit("MACH")), "Statements of Operations").otherwise("Notes")
-    return t.customer.select(F.regexp_replace(S.split_label("c_name"), "#", " ").alias("label"), S.statement_type(title).alias("kind"))
+    title = F.when(F.contains("c_mktsegment", F.lit("HOUSE")), "Consolidated Balance Sheets").when(F.contains("c_mktsegment", F.lit("MACH")), "Statements of Operations").when(F.contains("c_mktsegment", F.lit("AUTO")), "Statement of Shareholder Investment").otherwise("Notes")
+    host = F.element_at(F.array(F.lit("HTTP://FASB.org"), F.lit("http://xbrl.us"), F.lit("http://example.com")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    uri = F.concat(host, F.lit("/us-gaap/"), (2000 + F.col("c_custkey") % 30).cast("string"), F.when(F.col("c_custkey") % 2 == 0, "-01-31").otherwise(""))
+    return t.customer.select(F.regexp_replace(S.split_label("c_name"), "#", " ").alias("label"), S.statement_type(title).alias("kind"), S.gaap_namespace_year(uri).cast("string").alias("namespace_year"))
 
 
 @query(

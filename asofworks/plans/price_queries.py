@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from asofworks.operators import prices as R
 from asofworks.plans.registry import Tables, query
 
-GRID_SQL = """placed as (select p.security_id as security_id, s.session as session, p.close as close from prices p join sessions s on p.trade_date = s.trade_date),
+GRID_SQL = """placed as (select p.security_id as security_id, s.session as session, p.trade_date as trade_date, p.close as close from prices p join sessions s on p.trade_date = s.trade_date),
     span as (select security_id, min(session) as a, max(session) as b from placed group by security_id), places as (select security_id, unnest(generate_series(a, b)) as session from span),
-    grid as (select g.security_id as security_id, g.session as session, p.close as close from places g left join placed p on g.security_id = p.security_id and g.session = p.session)"""
+    grid as (select g.security_id as security_id, g.session as session, p.trade_date as trade_date, p.close as close from places g left join placed p on g.security_id = p.security_id and g.session = p.session)"""
 
 
 def grid(t: Tables) -> DataFrame:
@@ -27,34 +27,52 @@ def j7(t: Tables) -> DataFrame:
     return grid(t).select("security_id", "session", F.col("close").cast("double"))
 
 
+#: The grid with some closes negative and some missing.
+QUOTED_SQL = f"""{GRID_SQL}, quoted as (select security_id, session, trade_date, case when (security_id + session) % 13 = 0 then null when (security_id + session) % 11 = 0 then -close else close end as close from grid)"""
+
+
+def quoted(t: Tables) -> DataFrame:
+    place = F.col("security_id") + F.col("session")
+    return grid(t).withColumn("close", F.when(place % 13 == 0, None).when(place % 11 == 0, -F.col("close")).otherwise(F.col("close")))
+
+
+def window_sql(n: int, bad: str, why: str) -> str:
+    return f"""case when session <= {n} then 'INSUFFICIENT_VERIFIED_SESSION_HISTORY' when count(trade_date) over z < {n + 1} then 'PRICE_SESSION_GAP' when count(*) filter (where {bad}) over z > 0 then '{why}' end"""
+
+
 for n in (1, 5, 10):
 
     @query(
         f"w1_price_returns_{n}",
-        f"""with {GRID_SQL}, r as (select *, count(case when close > 0 then 1 end) over (partition by security_id order by session rows between {n} preceding and current row) as k, lag(close, {n}) over (partition by security_id order by session) as p from grid)
-        select security_id, session, case when k = {n + 1} then (cast(close as double) / cast(p as double) - 1) * 100 end as "return", case when k <> {n + 1} then 'INSUFFICIENT_HISTORY' end as reason from r""",
+        f"""with {QUOTED_SQL}, r as (select *, {window_sql(n, "close is null or close <= 0", "CLOSE_MISSING_OR_NONPOSITIVE")} as reason, lag(close, {n}) over (partition by security_id order by session) as p from quoted window z as (partition by security_id order by session rows between {n} preceding and current row))
+        select security_id, session, case when reason is null then (cast(close as double) / cast(p as double) - 1) * 100 end as "return", reason from r""",
     )
     def w1(t: Tables, n: int = n) -> DataFrame:
-        return R.price_returns(grid(t), n).select("security_id", "session", "return", "reason")
+        return R.price_returns(quoted(t), n).select("security_id", "session", "return", "reason")
 
 
 @query(
     "w2_volatility",
-    f"""with {GRID_SQL}, l as (select *, lag(close) over w as p, count(case when close > 0 then 1 end) over (partition by security_id order by session rows between 5 preceding and current row) as k from grid window w as (partition by security_id order by session)),
-    r as (select *, case when close > 0 and p > 0 then ln(cast(close as double) / cast(p as double)) end as lr from l)
-    select security_id, session, case when k = 6 then round(stddev_samp(lr) over (partition by security_id order by session rows between 4 preceding and current row) * sqrt(252.0) * 100, 6) end as volatility from r""",
+    f"""with {QUOTED_SQL}, l as (select *, lag(close) over (partition by security_id order by session) as p, {window_sql(5, "close is null or close <= 0", "CLOSE_MISSING_OR_NONPOSITIVE")} as reason from quoted window z as (partition by security_id order by session rows between 5 preceding and current row)),
+    r as (select *, case when close > 0 and p > 0 then ln(cast(close as double)) - ln(cast(p as double)) end as lr from l)
+    select security_id, session, reason, case when reason is null then round(stddev_samp(lr) over (partition by security_id order by session rows between 4 preceding and current row) * sqrt(252.0) * 100, 6) end as volatility from r""",
 )
 def w2(t: Tables) -> DataFrame:
-    return R.volatility(grid(t), 5).select("security_id", "session", F.round("volatility", 6).alias("volatility"))
+    return R.volatility(quoted(t), 5).select("security_id", "session", "reason", F.round("volatility", 6).alias("volatility"))
 
 
 @query(
     "w3_relative_volume",
-    f"""with {GRID_SQL}, r as (select *, count(close) over w as k, cast(sum(close) over w as double) / 5 as m from grid window w as (partition by security_id order by session rows between 5 preceding and 1 preceding))
-    select security_id, session, case when k = 5 and m > 0 then cast(close as double) / m end as relative_volume from r""",
+    f"""with {QUOTED_SQL}, v as (select security_id, session, trade_date, case when (security_id + session) % 11 = 0 then close when (security_id + session) % 13 = 0 then null when security_id % 17 = 0 then 0 else close end as close from quoted),
+    r as (select *, {window_sql(5, "false", "")} as gap, count(*) filter (where close is null or close < 0) over z as bad, cast(sum(close) over (partition by security_id order by session rows between 5 preceding and 1 preceding) as double) / 5 as m from v window z as (partition by security_id order by session rows between 5 preceding and current row)),
+    s as (select *, coalesce(gap, case when security_id % 19 = 0 then 'VOLUME_SPLIT_BASIS_UNKNOWN' when bad > 0 then 'VOLUME_MISSING_OR_NEGATIVE' when m <= 0 then 'VOLUME_BASE_NONPOSITIVE' end) as reason from r)
+    select security_id, session, reason, case when reason is null then cast(close as double) / m end as relative_volume from s""",
 )
 def w3(t: Tables) -> DataFrame:
-    return R.relative_volume(grid(t), 5, "close").select("security_id", "session", "relative_volume")
+    place = F.col("security_id") + F.col("session")
+    volume = F.when(place % 11 == 0, F.col("close")).when(place % 13 == 0, None).when(F.col("security_id") % 17 == 0, 0).otherwise(F.col("close"))
+    rows = R.relative_volume(quoted(t).withColumn("close", volume.cast("decimal(18,2)")), 5, "close", F.col("security_id") % 19 != 0)
+    return rows.select("security_id", "session", "reason", "relative_volume")
 
 
 @query(
@@ -107,12 +125,12 @@ def p18(t: Tables) -> DataFrame:
 
 @query(
     "j6_bind_inputs",
-    """with i as (select accession, cik, filed_date + 400 as known_on, amount from filings where form = '10-K'), d as (select distinct cik, date '1999-01-01' + cast(cik % 900 as integer) as day from filings),
+    """with i as (select accession, cik, filed_date + 400 as known_on, amount from filings), d as (select distinct cik, date '1999-01-01' + cast(cik % 900 as integer) as day from filings),
     g as (select d.cik as cik, d.day as day, count(i.accession) as n, count(*) filter (where i.known_on <= d.day) as r, max(case when i.known_on <= d.day then i.accession end) as a from d left join i on d.cik = i.cik group by 1, 2)
     select cik, cast(day as varchar) as day, case when n = 0 then 'INPUT_MISSING' when r = 0 then 'INPUT_NOT_KNOWN' when r > 1 then 'INPUT_AMBIGUOUS' end as reason, cast(case when r = 1 then a end as varchar) as accession from g""",
 )
 def j6(t: Tables) -> DataFrame:
-    inputs = t.filings.where("form = '10-K'").select("accession", "cik", F.date_add("filed_date", 400).alias("known_on"), "amount")
+    inputs = t.filings.select("accession", "cik", F.date_add("filed_date", 400).alias("known_on"), "amount")
     days = t.filings.select("cik").distinct().withColumn("day", F.date_add(F.lit("1999-01-01").cast("date"), (F.col("cik") % 900).cast("int")))
     rows = R.bind_inputs(days, inputs, "accession", ["cik"], "known_on", "day")
     return rows.select("cik", F.col("day").cast("string"), "reason", F.col("input_accession").cast("string").alias("accession"))

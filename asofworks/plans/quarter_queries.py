@@ -78,26 +78,25 @@ for number, (later, earlier) in enumerate((("YTD_6M", "QTD_3M"), ("YTD_9M", "YTD
         return rows.select("cik", "concept", "later_fact_id", "reason", F.col("value").cast("double"))
 
 
-TTM_SQL = """t as (select cik, coordinate, value, n_sources, count(*) over w as n, min(coordinate) over w as f, sum(value) over w as s from cells window w as (partition by cik order by coordinate rows between 3 preceding and current row))"""
+TTM_SQL = """q as (select cik, coordinate, n_sources, case when source_id % 7 > 0 then value end as value from cells),
+    t as (select cik, coordinate, value, n_sources, count(*) over w as n, count(value) over w as k, min(coordinate) over w as f, sum(value) over w as s, sum(n_sources) over w as m from q window w as (partition by cik order by coordinate rows between 3 preceding and current row)),
+    u as (select *, case when n < 4 or coordinate - f <> 3 then 'INPUTS_NOT_CONTIGUOUS' when k < 4 then 'INPUT_UNAVAILABLE' end as reason from t)"""
 
 
-@query(
-    "a8_ttm",
-    f"with {TTM_SQL} select cik, coordinate, case when n < 4 or coordinate - f <> 3 then 'INPUTS_NOT_CONTIGUOUS' end as reason, case when n = 4 and coordinate - f = 3 then cast(s as double) end as ttm from t",
-)
+def reported(t: Tables) -> DataFrame:
+    """Cells of which some have no value."""
+    return t.cells.withColumn("value", F.when(F.col("source_id") % 7 > 0, F.col("value")))
+
+
+@query("a8_ttm", f"with {TTM_SQL} select cik, coordinate, reason, case when reason is null then cast(s as double) end as ttm from u")
 def a8(t: Tables) -> DataFrame:
-    return Q.ttm(t.cells, ["cik"], "coordinate").select("cik", "coordinate", "reason", F.col("ttm").cast("double"))
+    return Q.ttm(reported(t), ["cik"], "coordinate").select("cik", "coordinate", "reason", F.col("ttm").cast("double"))
 
 
-@query(
-    "a9_ttm_margin",
-    f"""with {TTM_SQL}, u as (select cik, coordinate, cast(n_sources as decimal(18,2)) as value from cells),
-    v as (select cik, coordinate, count(*) over w as n, min(coordinate) over w as f, sum(value) over w as s from u window w as (partition by cik order by coordinate rows between 3 preceding and current row))
-    select t.cik as cik, t.coordinate as coordinate, case when t.n < 4 or t.coordinate - t.f <> 3 then 'INPUTS_NOT_CONTIGUOUS' end as reason, case when t.n = 4 and t.coordinate - t.f = 3 then cast(v.s as double) / cast(t.s as double) * 100 end as margin from t join v on t.cik = v.cik and t.coordinate = v.coordinate""",
-)
+@query("a9_ttm_margin", f"with {TTM_SQL} select cik, coordinate, reason, case when reason is null then cast(m as double) / cast(s as double) * 100 end as margin from u")
 def a9(t: Tables) -> DataFrame:
     counts = t.cells.select("cik", "coordinate", F.col("n_sources").cast("decimal(18,2)").alias("value"))
-    return Q.ttm_margin(counts, t.cells.select("cik", "coordinate", "value"), ["cik"], "coordinate").select("cik", "coordinate", "reason", "margin")
+    return Q.ttm_margin(counts, reported(t).select("cik", "coordinate", "value"), ["cik"], "coordinate").select("cik", "coordinate", "reason", "margin")
 
 
 @query(

@@ -15,15 +15,16 @@ def text(*names: str) -> list:
 
 @query(
     "a1_unique_or_reason",
-    """with k as (select distinct cik, concept from (select cik from filings) x cross join (values ('A'), ('N'), ('R')) v(concept)),
-    g as (select cik, concept, count(*) as n, min(value) as value from facts where line = 3 and member = 'O' group by 1, 2)
-    select k.cik as cik, k.concept as concept, coalesce(n, 0) as n_candidates, case when n = 1 then cast(value as double) end as value, case when n is null then 'MISSING' when n > 1 then 'MULTIPLE_CANDIDATES' end as reason
-    from k left join g on k.cik = g.cik and k.concept = g.concept""",
+    """with k as (select distinct cik, concept, member, line from (select cik from filings) x cross join (values ('A'), ('N'), ('R')) v(concept) cross join (values ('F'), ('O')) m(member) cross join (values (1), (2), (3), (4), (5), (6), (7)) l(line)),
+    g as (select cik, concept, member, line, count(*) as n, min(value) as value from facts group by 1, 2, 3, 4)
+    select k.cik as cik, k.concept as concept, k.member as member, cast(k.line as bigint) as line, coalesce(n, 0) as n_candidates, case when n = 1 then cast(value as double) end as value, case when n is null then 'MISSING' when n > 1 then 'MULTIPLE_CANDIDATES' end as reason
+    from k left join g on k.cik = g.cik and k.concept = g.concept and k.member = g.member and k.line = g.line""",
 )
 def a1(t: Tables) -> DataFrame:
     spine = t.filings.select("cik").distinct().withColumn("concept", F.explode(F.array(*[F.lit(c) for c in "ANR"])))
-    rows = S.unique_or_reason(t.facts.where("line = 3 and member = 'O'"), ["cik", "concept"], "value", "fact_id", spine)
-    return rows.select("cik", "concept", F.col("n_candidates").cast("long"), F.col("value").cast("double"), "reason")
+    spine = spine.withColumn("member", F.explode(F.array(F.lit("F"), F.lit("O")))).withColumn("line", F.explode(F.sequence(F.lit(1), F.lit(7))))
+    rows = S.unique_or_reason(t.facts, ["cik", "concept", "member", "line"], "value", "fact_id", spine)
+    return rows.select("cik", "concept", "member", F.col("line").cast("long"), F.col("n_candidates").cast("long"), F.col("value").cast("double"), "reason")
 
 
 for view, name, rank in (("AS_FILED", "a3_as_filed", "asc"), ("LATEST_REPORTED", "a3_latest_reported", "desc")):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,16 @@ RAW = {
 FORMS = ("10-K", "10-K/A", "10-Q", "10-Q/A")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; in local mode without one, in a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def raw_schema(table: str) -> str:
     """The schema of a raw table as DDL."""
     fields = [f.split() for f in RAW[table].split(", ")]
@@ -77,7 +90,7 @@ def company_metadata(observations: DataFrame, inventory: DataFrame, industries:
     known = observations.where(F.col("observed_on") <= F.lit(cutoff).cast("date"))
     others = [c for c in observations.columns if c != "cik"]
     newest = known.groupBy("cik").agg(F.max_by(F.struct(*others), "observed_on").alias("_o")).select("cik", *[F.col(f"_o.{c}").alias(c) for c in others])
-    rows = inventory.join(newest, "cik", "full_outer").join(F.broadcast(industries), "sic", "left")
+    rows = inventory.join(newest, "cik", "full_outer").join(industries, "sic", "left")
     shared = rows.where(F.col("ticker").isNotNull()).groupBy("ticker", "exchange").agg(F.count("*").alias("_n"))
     rows = rows.join(shared, ["ticker", "exchange"], "left")
     return rows.withColumn("metadata_status", F.when(F.col("observed_on").isNull(), "CANDIDATE_ONLY").when(F.col("_n") > 1, "TICKER_COLLISION").otherwise("CURRENT")).drop("_n")

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 from asofworks.functions import scalars as S
-from asofworks.operators import composed, graph, metrics, periods, prices, quarters, screening, selection, setops
+from asofworks.operators import composed, graph, metrics, panels, periods, prices, quarters, screening, selection, setops
 from asofworks.sources import tables
 from pyspark.sql import functions as F
 
@@ -62,8 +62,11 @@ def test_measures_labels_and_namespaces(spark):
     assert one(spark, S.is_currency(S.parse_measures("t")), t="iso4217:USD") is True
     assert one(spark, S.split_label("t"), t="us-gaap:NetIncomeLoss") == "Net Income Loss"
     assert one(spark, S.gaap_namespace_year("t"), t="http://fasb.org/us-gaap/2023") == 2023
-    assert one(spark, S.gaap_namespace_year("t"), t="http://example.com/us-gaap/2023") is None
+    for uri in ("http://example.com/us-gaap/2023", "http://xbrl.us/us-gaap/2009-01-31", "http://fasb.org/us-gaap/2023-02-30", "http://fasb.org/us-gaap/2023x", "http://fasb.org/us-gaap/2023\n"):
+        assert one(spark, S.gaap_namespace_year("t"), t=uri) is None
+    assert one(spark, S.gaap_namespace_year("t"), t="HTTPS://FASB.org/us-gaap/2019-01-31") == 2019
     assert one(spark, S.statement_type("t"), t="CONSOLIDATED STATEMENTS OF CASH FLOWS AND INCOME") == "CF"
+    assert [one(spark, S.statement_type("t"), t=t) for t in ("Statement of Shareholders' Investment", "Stockholder accounts", "Notes")] == ["EQ", "EQ", None]
     a, b = (one(spark, S.stable_id("p-", *c), x="1", y="2") for c in (("x", "y"), ("y", "x")))
     assert a == b and len(a) == 26
 
@@ -120,6 +123,50 @@ def test_ttm_needs_four_contiguous_compatible_quarters(spark):
     assert got[("a", 4)] == (40, None) and got[("a", 7)][1] == got[("a", 3)][1] == "INPUTS_NOT_CONTIGUOUS" and got[("b", 4)] == (None, "INPUTS_NOT_COMPATIBLE")
 
 
+def test_a_missing_quarter_is_never_summed_away(spark):
+    rows = spark.createDataFrame([("a", k, None if k == 2 else 10, 1) for k in range(1, 7)], "k string, c long, value long, scope long")
+    got = {r.c: (r.ttm, r.reason) for r in quarters.ttm(rows, ["k"], "c").collect()}
+    assert got[4] == got[5] == (None, "INPUT_UNAVAILABLE") and got[6] == (40, None)
+    margin = {r.c: (r.margin, r.reason) for r in quarters.ttm_margin(rows, rows, ["k"], "c").collect()}
+    assert margin[5] == (None, "INPUT_UNAVAILABLE") and margin[6] == (100.0, None)
+    four = {a: metrics.four_quarters(rows, ["k"], "c", a).first() for a in (3, 5, 6)}
+    assert [(four[a].total, four[a].reason) for a in (3, 5, 6)] == [(None, "MISSING"), (None, "INPUT_UNAVAILABLE"), (40, None)]
+    mapping = spark.createDataFrame([(1, "x")], "scope long, canonical_scope string")
+    assert [panels.eps_ttm_reviewed(rows, mapping, ["k"], "c", a).select("total", "reason").first() for a in (5, 6)] == [(None, "INPUT_UNAVAILABLE"), (40, None)]
+
+
+def test_a_child_without_a_value_is_a_missing_input(spark):
+    arcs = spark.createDataFrame([("p", "x", 1), ("p", "y", -1), ("q", "x", 1)], "parent string, child string, weight int")
+    facts = spark.createDataFrame([(1, "p", 5), (1, "x", 8), (1, "y", 3), (2, "p", 8), (2, "x", 8), (2, "y", None), (3, "p", 5), (3, "x", 8), (3, "x", 8), (3, "y", 3), (4, "p", None), (4, "x", 1), (4, "y", 1), (5, "p", 5), (5, "x", 8), (5, "y", 2)], "s long, node string, value long")
+    got = {(r.s, r.parent): r.status for r in graph.calculation_checks(facts, arcs, ["s"], "node", "value").collect()}
+    assert {k: got[k, "p"] for k in range(1, 6)} == {1: "MATCH", 2: "MISSING_INPUT", 3: "AMBIGUOUS_INPUT", 4: "MISSING_INPUT", 5: "MISMATCH"} and got[1, "q"] == "MISSING_PARENT"
+
+
+def test_annual_metrics_by_the_rules(spark):
+    def case(**values):
+        rows = [(1, y, r, v, f) for (r, y), (v, f) in {(k.rsplit("_", 1)[0], int(k.rsplit("_", 1)[1])): v if isinstance(v, tuple) else (v, 1) for k, v in values.items()}.items()]
+        df = spark.createDataFrame(rows, "cik long, y long, role string, value long, f long")
+        return {(r.metric, r.y): (r.value, r.reason) for r in metrics.annual_metrics(df, "cik", "y", "role", filing="f").collect()}
+
+    got = case(revenue_1=80, revenue_2=100, operating_income_2=-20, net_income_2=5, cfo_2=10, capex_2=30, equity_2=0, liabilities_2=50, debt_2=5, cash_2=9, assets_2=-1, current_assets_2=-1, current_liabilities_2=4, gross_profit_2=(50, 2))
+    want = {"operating_margin": (-20.0, None), "net_margin": (5.0, None), "standardized_fcf": (-20.0, None), "fcf_margin": (-20.0, None), "liabilities_to_equity": (None, "NON_POSITIVE_DENOMINATOR"), "net_debt": (-4.0, None), "revenue_yoy": (25.0, None),
+            "liabilities_to_assets": (None, "NON_POSITIVE_DENOMINATOR"), "current_ratio": (None, "NEGATIVE_NUMERATOR"), "gross_margin": (None, "SOURCE_FILING_MISMATCH"), "research": (None, "MISSING_INPUT"), "revenue": (100.0, None)}
+    assert {k: got[k, 2] for k in want} == want
+    assert got["revenue_yoy", 1] == (None, "MISSING_INPUT") and len(got) == 62
+    got = case(liabilities_1=5, equity_1=-1, cfo_1=1, capex_1=-1, debt_1=-1, cash_1=1, revenue_1=(None, 1), net_income_1=3, revenue_3=5)
+    assert (got["liabilities_to_equity", 1][1], got["standardized_fcf", 1][1], got["fcf_margin", 1][1], got["net_debt", 1][1], got["net_margin", 1][1], got["revenue_yoy", 3][1]) == ("NEGATIVE_EQUITY", "CAPEX_SIGN_UNCERTAIN", "CAPEX_SIGN_UNCERTAIN", "NEGATIVE_BALANCE_COMPONENT", "MISSING_INPUT", "MISSING_INPUT")
+    twice = spark.createDataFrame([(1, 1, "cash", 1, 1), (1, 1, "cash", 1, 1)], "cik long, y long, role string, value long, f long")
+    assert {r.metric: r.reason for r in metrics.annual_metrics(twice, "cik", "y", "role", filing="f").collect()}["cash"] == "MULTIPLE_CANDIDATES"
+
+
+def test_amendments_link_by_report_date_and_need_review(spark):
+    rows = [(1, 10, "10-K", D(2020, 2, 1), D(2019, 12, 31), None), (1, 11, "10-K", D(2021, 2, 1), D(2020, 12, 31), None), (1, 12, "10-K/A", D(2021, 3, 1), D(2019, 12, 31), None), (1, 13, "10-K/A", D(2021, 3, 2), D(2018, 12, 31), None), (1, 14, "10-K/A", D(2021, 3, 3), D(2018, 12, 31), 11),
+            (1, 15, "10-K", D(2021, 3, 1), D(2019, 12, 31), None), (1, 16, "10-K/A", D(2021, 4, 1), D(2019, 12, 31), None)]
+    df = spark.createDataFrame(rows, "cik long, accession long, form string, filed_date date, report_date date, named long")
+    got = {r.accession: (r.link_state, r.amends, r.review_status) for r in periods.filing_ledger(df, "named").collect()}
+    assert got == {10: ("NOT_APPLICABLE", None, "NOT_REQUIRED"), 11: ("NOT_APPLICABLE", None, "NOT_REQUIRED"), 15: ("NOT_APPLICABLE", None, "NOT_REQUIRED"), 12: ("CANDIDATE", 10, "REVIEW_REQUIRED"), 13: ("UNKNOWN", None, "UNKNOWN"), 14: ("LINKED", 11, "NOT_REQUIRED"), 16: ("UNKNOWN", None, "UNKNOWN")}
+
+
 def test_prices_on_260_sessions(spark):
     days = [(1, D(2025, 1, 1) + dt.timedelta(days=2 * k), Decimal(100 + k), 200 if k == 259 else 100) for k in range(260) if k != 100]
     df = spark.createDataFrame(days, "security_id long, trade_date date, close decimal(18,2), volume long")
@@ -127,9 +174,15 @@ def test_prices_on_260_sessions(spark):
     grid = prices.price_grid(df, calendar)
     assert grid.count() == 260
     r = {x.session: x for x in prices.price_returns(grid, 21).collect()}
-    assert r[260]["return"] == pytest.approx((359 / 338 - 1) * 100) and r[105].reason == "INSUFFICIENT_HISTORY" and r[21].reason == "INSUFFICIENT_HISTORY" and r[22].reason is None
-    v = {x.session: x.relative_volume for x in prices.relative_volume(grid, 20, "volume").collect()}
-    assert v[260] == 2.0 and v[110] is None
+    assert r[260]["return"] == pytest.approx((359 / 338 - 1) * 100) and r[105].reason == "PRICE_SESSION_GAP" and r[21].reason == "INSUFFICIENT_VERIFIED_SESSION_HISTORY" and r[22].reason is None
+    v = {x.session: (x.relative_volume, x.reason) for x in prices.relative_volume(grid, 20, "volume").collect()}
+    assert v[260] == (2.0, None) and v[110] == (None, "PRICE_SESSION_GAP")
+    unknown = prices.relative_volume(grid, 20, "volume", F.lit(False)).where("session = 260").first()
+    assert unknown.reason == "VOLUME_SPLIT_BASIS_UNKNOWN" and unknown.relative_volume is None
+    bad = grid.withColumn("close", F.when(F.col("session") != 200, F.col("close"))).withColumn("volume", F.when(F.col("session") == 200, -1).otherwise(0))
+    assert prices.price_returns(bad, 5).where("session = 203").first().reason == "CLOSE_MISSING_OR_NONPOSITIVE" == prices.volatility(bad, 5).where("session = 205").first().reason
+    w = {x.session: x.reason for x in prices.relative_volume(bad, 20, "volume").collect()}
+    assert w[210] == "VOLUME_MISSING_OR_NEGATIVE" and w[250] == "VOLUME_BASE_NONPOSITIVE"
     assert prices.missing_ranges(grid.withColumn("reason", F.when(F.col("close").isNull(), "GAP"))).first().first_session == 101
 
 
