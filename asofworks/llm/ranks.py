@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parts that the interval from 0 to 1 is cut into.
-PARTS = 4096
+#: Rows of a part, about, and parts that the interval from 0 to 1 is cut into at least.
+PART_ROWS, LEAST_PARTS = 50_000, 64
 
 
-def running(df: DataFrame, groups: list[str], place: str, order: list[Column], value: Column, before: str, total: str | None = None) -> DataFrame:
+def parts_for(table: DataFrame) -> int:
+    """Into how many parts the groups of a written table are cut."""
+    return max(LEAST_PARTS, -(-table.count() // PART_ROWS))
+
+
+def running(df: DataFrame, parts: int, groups: list[str], place: str, order: list[Column], value: Column, before: str, total: str | None = None) -> DataFrame:
     """df with the sum of value over all rows of the row's group that stand before it.
 
     place is a number from 0 to 1 that grows along the order; order breaks its
-    ties.  Each group is cut by place into PARTS parts.  One row for each group
-    and part carries the sums of all earlier parts, so a task sorts one part of
-    a group at a time, never a whole group.  total names a column for the
-    group's whole sum, if wanted.
+    ties.  Each group is cut by place into parts.  One row for each group and
+    part carries the sums of all earlier parts, so a task sorts one part of a
+    group at a time, never a whole group.  total names a column for the group's
+    whole sum, if wanted.
     """
-    part = F.least(F.floor(F.col(place) * PARTS).cast("int"), F.lit(PARTS - 1))
+    part = F.least(F.floor(F.col(place) * parts).cast("int"), F.lit(parts - 1))
     df = df.withColumn("_part", part).withColumn("_value", value)
     sums = df.groupBy(*groups, "_part").agg(F.sum("_value").alias("_sum"))
     along = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))

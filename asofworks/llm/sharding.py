@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofworks.llm.ranks import running, uniform
+from asofworks.llm.ranks import parts_for, running, uniform
 from asofworks.llm.store import kept, read_table
 
 SHARDS, SEED = 24, 20240607
@@ -31,9 +31,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     rows = docs.select("doc_id", "source", (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
     rows = kept(rows.withColumn("draw", uniform(seed, "doc_id", "text_crc32")), "rows")
     order = [F.col("doc_id"), F.col("text_crc32")]
-    ranked = running(rows, ["source"], "draw", order, F.lit(1).cast("long"), "rank", "of")
+    parts = parts_for(rows)
+    ranked = running(rows, parts, ["source"], "draw", order, F.lit(1).cast("long"), "rank", "of")
     ranked = kept(ranked.withColumn("place", (F.col("rank") + 0.5) / F.col("of")).drop("rank", "of"), "places")
-    sorted_rows = running(ranked, [], "place", [F.col("source"), *order], F.lit(1).cast("long"), "at", "n")
+    sorted_rows = running(ranked, parts, [], "place", [F.col("source"), *order], F.lit(1).cast("long"), "at", "n")
     # the first n % shards shards take one row more
     small, more = F.floor(F.col("n") / shards), F.col("n") % shards
     wide = F.col("at") < more * (small + 1)

@@ -6,10 +6,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from asofworks.llm import mixing, pieces, sharding, simple8b, token_files
 from asofworks.llm.store import shared_folder
+from asofworks.llm.textbytes import mix
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -54,11 +56,95 @@ def test_token_files_of_nothing(spark, no_docs):
     assert token_files.read_digests(spark, path).count() == 0
 
 
-def test_pieces_without_dropout_are_the_models(docs):
-    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    for r in pieces.encode(docs.where("doc_id is null or doc_id <> 81").select("doc_id", "text"), dropout=0.0).join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
-        if docs.where(docs.doc_id == r.doc_id).count() == 1:
-            assert list(r.ids) == model.encode(r.text or "")
+def agenda(model, text, dropout, skipped):
+    """Ids of a text by one agenda over the whole of it: the best candidate first, from the left, unless it is skipped."""
+    symbols = [[c, k, k + 1] for k, c in enumerate("\u2581" + text.replace(" ", "\u2581"))] if text else []
+    known = {model.id_to_piece(k): (-model.get_score(k), k) for k in range(model.vocab_size()) if not (model.is_byte(k) or model.is_control(k) or model.is_unknown(k))}
+    dead = set()
+    while True:
+        best = None
+        for k in range(len(symbols) - 1):
+            (a, left, _), (b, right, end) = symbols[k], symbols[k + 1]
+            if a + b in known and (left, right, end) not in dead and "\u2581" not in text and (best is None or known[a + b][0] < best[0]):
+                best = (known[a + b][0], k)
+        if best is None:
+            break
+        k = best[1]
+        left, right, end = symbols[k][1], symbols[k + 1][1], symbols[k + 1][2]
+        if dropout and skipped(left, right, end):
+            dead.add((left, right, end))
+            continue
+        symbols[k : k + 2] = [[symbols[k][0] + symbols[k + 1][0], left, end]]
+    out = []
+    for piece, _, _ in symbols:
+        out += [known[piece][1]] if piece in known else [model.piece_to_id(f"<0x{x:02X}>") for x in piece.encode()]
+    return out
+
+
+@pytest.fixture(scope="module")
+def processor():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_pieces_without_dropout_are_the_models(docs, processor):
+    want = Counter((r[0], tuple(processor.encode(r[1] or "", out_type=int))) for r in rows() if r[0] != 81)
+    # the model's own normalisation changes this text, which is encoded as it stands
+    odd = next(r[1] for r in rows() if r[0] == 81)
+    want[(81, tuple(agenda(processor, odd.replace("\u2581", "\u2582"), 0, None)))] += 1
+    got = Counter((r.doc_id, tuple(r.ids)) for r in pieces.encode(docs, dropout=0.0).collect())
+    odd_ids = next(ids for i, ids in got if i == 81)
+    assert {k: v for k, v in got.items() if k[0] != 81} == {k: v for k, v in want.items() if k[0] != 81}
+    assert pieces.decode_flat(np.array(odd_ids), np.array([len(odd_ids)]), pieces.MODEL)[0].decode() == odd
+
+
+@pytest.mark.parametrize("side_by_side", [32, 0])
+def test_dropout_equals_a_plain_agenda(spark, processor, monkeypatch, side_by_side):
+    """Each occurrence's own skips, by the keyed hash, in an agenda over its unit."""
+    monkeypatch.setattr(pieces, "SIDE_BY_SIDE", side_by_side)
+    texts = ["the the the the antidisestablishment international", "naive words again and again and again", "na\u00efve caf\u00e9 \u2014 and", ""]
+    doc_ids = pa.array([5, None, 7, 8], pa.int64())
+    flat, count = next(pieces.encode_batch(doc_ids, pa.array(texts), pieces.MODEL, 0.3, 11))
+    got = [x.tolist() for x in np.split(flat, np.cumsum(count)[:-1])]
+    salt = mix(np.array([11], np.uint64))[0]
+    for doc_id, text, ids in zip([5, -1, 7, 8], texts, got, strict=True):
+        doc = mix(np.array([doc_id], np.int64).view(np.uint64) ^ salt)[0]
+        want, bounds = [], pieces_units(" " + text) if text else []
+        for number, unit in enumerate(bounds):
+            with np.errstate(over="ignore"):
+                key = mix(np.array([doc + np.uint64(number)]))
+            skipped = lambda left, right, end, key=key: bool(pieces._skipped(key, pieces._merge_hash(np.array([left]), np.array([right]), np.array([end])), 0.3)[0])
+            want += agenda(processor, unit, 0.3, skipped)
+        assert ids == want
+
+
+def pieces_units(spaced):
+    """The units of a text with its leading space, each less the space that agenda() puts before it."""
+    model = pieces._model(pieces.MODEL)
+    raw = spaced.encode()
+    cuts = [k for k in range(1, len(raw)) if not model.together[raw[k - 1], raw[k]] or (raw[k] == 0x20 and raw[k - 1] != 0x20)]
+    units = [raw[a:b].decode() for a, b in zip([0, *cuts], [*cuts, len(raw)], strict=True)]
+    assert all(u.startswith(" ") for u in units), units
+    return [u[1:] for u in units]
+
+
+def test_each_occurrence_of_a_word_is_drawn_for_itself(spark):
+    data = spark.createDataFrame([(k, " ".join(["international"] * 200)) for k in range(4)], "doc_id long, text string")
+    got = pieces.encode(data, dropout=0.3).collect()
+    assert len({tuple(r.ids) for r in got}) == 4
+    words = [tuple(processor_words(r.ids)) for r in got]
+    forms = Counter(w for x in words for w in x)
+    assert len(forms) > 8 and forms.most_common(1)[0][1] < 780
+
+
+def processor_words(ids):
+    """The ids of each word: the texts of these tests have pieces that begin with a space at words only."""
+    model = pieces._model(pieces.MODEL)
+    words = []
+    for i in ids:
+        if model.surface[model.surface_start[i]] == 0x20:
+            words.append([])
+        words[-1].append(i)
+    return [tuple(w) for w in words]
 
 
 def test_dropout_varies_and_decodes_losslessly(docs):
@@ -74,16 +160,6 @@ def test_dropout_varies_and_decodes_losslessly(docs):
     assert {r.n_tokens for r in digest if r.doc_id in (70, 71)} == {0}
 
 
-def test_long_and_short_units_merge_alike(monkeypatch):
-    model = pieces._model(pieces.MODEL)
-    units = [b" antidisestablishment", b" tion", b"....", b"    x", "naïve😀".encode()]
-    keys = np.arange(5, dtype=np.uint64) * np.uint64(77)
-    a = pieces.segment(model, units, keys, 0.3)
-    monkeypatch.setattr(pieces, "SIDE_BY_SIDE", 0)
-    b = pieces.segment(model, units, keys, 0.3)
-    assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
-
-
 def test_pieces_of_nothing(no_docs):
     assert pieces.round_trip(no_docs).count() == 0
 
@@ -160,6 +236,27 @@ def test_a_source_at_its_cap_is_spread(spark, monkeypatch):
     assert places[0].where("source = 'capped' and p = 0").select("place").distinct().count() == 400
 
 
+def test_frequencies_follow_the_inclusion_odds(spark):
+    """Documents of unlike length have unlike odds within a source, and are taken as often as these say; how many are taken doesn't depend on the draw."""
+    docs = spark.createDataFrame([(k, " ".join(["w"] * (1 + (k * k) % 197)), f"s{k % 3}") for k in range(6000)], "doc_id long, text string, source string").cache()
+    totals = []
+    for seed in (1, 2):
+        got = mixing.mix(docs, seed=seed).collect()
+        totals.append(Counter({s: sum(r.copies for r in got if r.source == s) for s in ("s0", "s1", "s2")}))
+        by = defaultdict(list)
+        for r in got:
+            if r.p > 0:
+                # expected copies are whole + p, so what was drawn is copies - whole: 0 or 1
+                by[r.source, round(r.p, 1)].append((r.copies, r.p))
+        assert len(by) > 6
+        for drawn in by.values():
+            if len(drawn) > 150:
+                low = min(c for c, _ in drawn)
+                share = sum(c - low for c, _ in drawn) / len(drawn)
+                assert share == pytest.approx(sum(p for _, p in drawn) / len(drawn), abs=4 * (0.25 / len(drawn)) ** 0.5 + 0.01)
+    assert totals[0] == totals[1]
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.mix(no_docs).count() == 0
     assert mixing.mixed(no_docs).count() == 0
