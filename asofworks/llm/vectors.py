@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from asofworks.llm.store import kept, read_table
+from asofworks.llm.store import kept, read_table, shared_folder
 
-#: Operator 3: nearest kept; rows that lists are fitted on at most; lists at most; share of the lists that a query looks into.
-NEAREST, SAMPLE, LISTS, PROBED = 5, 20000, 4096, 0.6
+#: Operator 3: nearest kept; rows that lists are fitted on at most; lists at most.
+NEAREST, SAMPLE, LISTS = 5, 20000, 4096
+#: Queries that are also searched by brute force, at most, and the share of their nearest rows whose lists are to be looked into.
+MEASURED, RECALL = 200, 0.96
 #: Dimensions in a column block; how many deviations of a partial distance make a candidate hopeless.
 COLUMNS, DEVIATIONS = 16, 2.1
 #: Rows of a list at least, on average, so that the lists looked into hold more than are asked for.
@@ -46,9 +49,10 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 def centroids(sample: np.ndarray, count: int) -> np.ndarray:
-    """Lloyd's algorithm on unit vectors; the same sample gives the same lists."""
+    """Lloyd's algorithm on unit vectors, from distinct ones; the same sample gives the same lists, none of them empty."""
     rng = np.random.default_rng(SEED)
-    at = sample[rng.permutation(len(sample))[:count]]
+    distinct = np.unique(sample, axis=0)
+    at = distinct[rng.permutation(len(distinct))[:count]]
     for _ in range(8):
         near = (sample @ at.T).argmax(1)
         sums = np.zeros_like(at)
@@ -57,7 +61,7 @@ def centroids(sample: np.ndarray, count: int) -> np.ndarray:
         at = np.where(some[:, None], sums, at)
         length = np.sqrt((at * at).sum(1, keepdims=True))
         at = at / np.where(length > 0, length, 1)
-    return at
+    return at[np.bincount((sample @ at.T).argmax(1), minlength=len(at)) > 0]
 
 
 def _cosines(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -117,14 +121,46 @@ def _meet(rotation: np.ndarray, k: int):  # noqa: ANN202
     return search
 
 
-def _search(rows: DataFrame, dim: int, every: int, k: int, probed: float) -> DataFrame:
+def _probes(held: DataFrame, asked: DataFrame, lists: np.ndarray, k: int) -> int:
+    """How many of its nearest lists a query has to look into, so that RECALL of the k nearest rows of some MEASURED queries are found.
+
+    These rows are found by brute force: each task keeps the best k of its rows.
+    """
+    few = asked.orderBy(F.xxhash64("row", F.lit(SEED)), "row").limit(MEASURED).toArrow()
+    if not few.num_rows:
+        return 1
+    queries, own = unit(matrix(few["x"].combine_chunks(), lists.shape[1])), few["row"].to_numpy()
+    shared = held.sparkSession.sparkContext.broadcast((queries, own))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, own = shared.value
+        score, at = np.full((len(own), k), -np.inf), np.zeros((len(own), k), np.int32)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = queries @ unit(matrix(batch.column(1), queries.shape[1])).T
+            near[own[:, None] == batch.column(0).to_numpy()[None]] = -np.inf
+            near, here = np.concatenate([score, near], axis=1), np.concatenate([at, np.broadcast_to(batch.column(2).to_numpy(), near.shape)], axis=1)
+            order = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            score, at = np.take_along_axis(near, order, 1), np.take_along_axis(here, order, 1)
+        some = score > -np.inf
+        yield pa.record_batch([pa.array(np.nonzero(some)[0]), pa.array(score[some]), pa.array(at[some])], ["query", "score", "list"])
+
+    found = held.select("row", "x", "list").mapInArrow(best, "query long, score double, list int")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "list"))
+    found = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "list").toPandas()
+    order = np.argsort(-(queries @ lists.T), axis=1, kind="stable").argsort(axis=1)
+    needed = np.sort(order[found["query"].to_numpy(np.int64), found["list"].to_numpy(np.int64)])
+    return 1 + int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))) - 1)]) if len(needed) else 1
+
+
+def _search(rows: DataFrame, dim: int, every: int, k: int, probed: float | None) -> DataFrame:
     spark = rows.sparkSession
     total = rows.count()
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "row").limit(SAMPLE).select("x").toArrow()["x"].combine_chunks()
     count = int(min(LISTS, max(1, round(total**0.5)), max(1, total // LIST_ROWS)))
     lists = centroids(unit(matrix(sample, dim)), count)
     count = len(lists)
-    probes = max(1, int(np.ceil(probed * count)))
     shared = spark.sparkContext.broadcast(lists)
 
     def assign(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
@@ -139,8 +175,9 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, probed: float) -> Dat
     listed = "row long, vec_id long, x array<double>, lists array<int>"
     plain = rows.select("row", "vec_id", "x")
     held = kept(plain.mapInArrow(lambda b: assign(b, 1), listed).withColumn("list", F.col("lists")[0]).drop("lists"), "listed")
-    asked = plain.where(F.col("vec_id") % every == 0).mapInArrow(lambda b: assign(b, probes), listed)
-    asked = kept(asked, "asked")
+    asked = plain.where(F.col("vec_id") % every == 0)
+    probes = _probes(held, asked, lists, k) if probed is None else max(1, int(np.ceil(probed * count)))
+    asked = kept(asked.mapInArrow(lambda b: assign(b, probes), listed), "asked")
     probing = asked.withColumn("list", F.explode("lists")).drop("lists")
     # one row for each list, so of a bounded number: into how many parts its candidates and its queries are cut
     sizes = held.groupBy("list").agg(F.count("*").alias("n"))
@@ -157,13 +194,15 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, probed: float) -> Dat
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(table: DataFrame, every: int = 50, k: int = NEAREST, probed: float = PROBED) -> DataFrame:
+def nearest(table: DataFrame, every: int = 50, k: int = NEAREST, probed: float | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest cosine found for each row whose vec_id every divides.
 
     Lists are fitted on a bounded sample; every row is put into the list of the
-    nearest centre.  A query looks into the nearest share of lists, where an
-    adaptive dimension scan gives candidates up early; the rest get their exact
-    cosine on the original vectors.  Long lists and many queries of one list are
+    nearest centre.  A query looks into its nearest lists, as many as it takes
+    to find RECALL of the nearest rows of a few queries that are also searched
+    by brute force, or the share probed of all lists.  There an adaptive
+    dimension scan gives candidates up early; the rest get their exact cosine on
+    the original vectors.  Long lists and many queries of one list are
     cut into groups.  Ties go to the smaller vec_id.
 
     Vectors that are null, empty, zero or have null or non-finite components,
@@ -247,12 +286,16 @@ def _best(batches: Iterator[pa.RecordBatch], numbers: np.ndarray, own: np.ndarra
             yield pa.record_batch([pa.array([own[q]] * len(score), pa.int64()), pa.array([number] * len(score), pa.int64()), pa.array(top.ids[q], pa.int64()), pa.array(score, pa.int64())], ["query_row", "query_id", "vec_id", "score"])
 
 
+FOUND = "query_row long, query_id long, vec_id long, score long"
+
+
 def top_products(table: DataFrame, every: int = 100, k: int = BEST) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest integer inner product for each row whose vec_id every divides.
 
-    Components become floor(1024 * x).  Queries go to the workers in blocks of
-    bounded size; each task runs over its candidates and keeps the best k of
-    each query.  Segment means and deviations bound the distance from below, so
+    Components become floor(1024 * x).  Queries go to the workers one block of
+    some QUERIES_AT_ONCE after another: each task runs over its candidates and
+    keeps the best k of each query, and a block's results are written before the
+    next one is read, so neither the driver nor a worker holds more than one.  Segment means and deviations bound the distance from below, so
     the product from above, at ever finer resolutions; what is left is computed
     exactly.  Ties go to the smaller vec_id.
 
@@ -264,20 +307,22 @@ def top_products(table: DataFrame, every: int = 100, k: int = BEST) -> DataFrame
     """
     rows = kept(usable(table, zero=True), "vectors")
     spark = rows.sparkSession
-    found = None
+    path = f"{shared_folder(spark)}/found-{uuid.uuid4().hex}"
+    spark.createDataFrame([], FOUND).write.parquet(path)
     for at in rows.where(F.col("vec_id") % every == 0).groupBy("dim").count().orderBy("dim").collect():
         dim, blocks = at["dim"], -(-at["count"] // QUERIES_AT_ONCE)
         mine = rows.where(F.col("dim") == dim).select("row", "vec_id", "x")
+        numbered = mine.where(F.col("vec_id") % every == 0).withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+        numbered = kept(numbered, "queries") if blocks > 1 else numbered
         for block in range(blocks):
-            asked = mine.where((F.col("vec_id") % every == 0) & (F.pmod(F.xxhash64("row"), F.lit(blocks)) == block)).orderBy("row").toArrow()
+            asked = numbered.where(F.col("block") == block).orderBy("row").toArrow()
             if not asked.num_rows:
                 continue
             queries = np.floor(1024.0 * matrix(asked["x"].combine_chunks(), dim))
             shared = spark.sparkContext.broadcast((asked["vec_id"].to_numpy(), asked["row"].to_numpy(), queries))
-            each = mine.mapInArrow(lambda b, shared=shared, dim=dim: _best(b, *shared.value, dim, k), "query_row long, query_id long, vec_id long, score long")
-            found = each if found is None else found.unionByName(each)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+            mine.mapInArrow(lambda b, shared=shared, dim=dim: _best(b, *shared.value, dim, k), FOUND).write.mode("append").parquet(path)
+            shared.unpersist()
+    found = spark.read.schema(FOUND).parquet(path)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
