@@ -30,7 +30,7 @@ OFTEN = 1 << 16
 #: Counters by which the search for frequent bigrams is narrowed down; every bigram is counted.
 COUNTERS = 1 << 18
 #: Training tokens for each part; tokens that a task gathers before it deals them out.
-PART, BATCH = 1 << 21, 1 << 21
+PART, BATCH = 1 << 20, 1 << 20
 #: A count is kept as the power of BASE (times the least count) that it reaches.
 BASE = 1.3
 #: Bits for each (key, level) and hashes of it: 0.4 % of the keys that were never put in are found.
