@@ -1,22 +1,17 @@
 """Operator 1: line dedup by an exact set-similarity join with prefix, positional and length filters.
 
-Joins, groupings and the verification are DataFrame operations.  Counting tokens
-and ordering each line's by rarity has two forms with the same result: in
-DataFrame functions (native), and on arrays inside the tasks, which takes far
-less CPU time.  README says which is used where, and why.
+DataFrame functions only.  A line's tokens are hashes of its 5-word shingles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofworks.llm.store import kept, read_table
-from asofworks.llm.textbytes import blocks, shingles, words
+from asofworks.llm.store import kept, packed_rows, read_table, unpacked, unused
 
 #: Words in a token (a shingle), and the share (in hundredths) of common tokens at which two lines match.
 WIDTH, SIMILAR = 5, 75
@@ -32,97 +27,60 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, line, key, other_key): every line that isn't empty; the two keys name its text."""
+    """(doc_id, text_hash, at, line, key, other_key): every line that has words; the two keys name its text."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    return rows.where(F.length("line") > 0).withColumn("key", F.xxhash64("line")).withColumn("other_key", F.xxhash64(F.lit(1), "line"))
+    return rows.where(F.col("line").rlike(r"[^ \t\x0b\f\r]")).withColumn("key", F.xxhash64("line")).withColumn("other_key", F.xxhash64(F.lit(1), "line"))
 
 
-def _place() -> Column:
-    """Where a line stands in the corpus: by doc_id (null last), then by line."""
-    document = F.coalesce("doc_id", F.lit(1 << 62)).cast("decimal(20,0)")
-    return (document * F.lit(1 << 31).cast("decimal(11,0)") + F.col("at")).cast("decimal(38,0)")
+def _place(docs: DataFrame) -> Column:
+    """Where a line stands in the corpus, as one number: by doc_id (null last), then by line.  A long where ids and lengths let it."""
+    least, most, length = docs.agg(F.min("doc_id"), F.max("doc_id"), F.max(F.octet_length("text"))).first()
+    least, most, bits = least or 0, most or 0, (1 + (length or 0)).bit_length()
+    if (most - least + 2) << bits < 1 << 62:
+        return F.shiftleft(F.coalesce("doc_id", F.lit(most + 1)) - F.lit(least), bits) + F.col("at")
+    number = lambda x, digits: F.lit(str(x)).cast(f"decimal({digits},0)")
+    document = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), number(most + 1, 20)) - number(least, 20)
+    return (document.cast("decimal(21,0)") * number(1 << bits, 11) + F.col("at")).cast("decimal(38,0)")
 
 
-def _words(line: str) -> Column:
-    """The lower-cased (A-Z) words of a line."""
-    upper = "".join(chr(c) for c in range(65, 91))
-    return F.array_remove(F.split(F.translate(line, upper, upper.lower()), "[ \t\x0b\f\r]+"), "")
+def _hashed(lines: DataFrame, *keep: str) -> DataFrame:
+    """The columns keep, and h, a hash of each lower-cased word of a line."""
+    # each step is a projection of its own, so that nothing is computed twice; most lines have single spaces only and need no pattern
+    rows = lines.select(*keep, F.lower("line").alias("low"))
+    odd = F.col("low").startswith(" ") | F.col("low").endswith(" ")
+    for c in ("  ", "\t", "\x0b", "\f", "\r"):
+        odd = odd | F.contains("low", F.lit(c))
+    words = F.when(odd, F.array_remove(F.split("low", "[ \t\x0b\f\r]+"), "")).otherwise(F.split("low", " "))
+    return rows.select(*keep, words.alias("w")).select(*keep, F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
 
 
 # words beyond the end are null and leave the hash as it is: a line of fewer words is one token
-_RUN = "xxhash64(" + ", ".join(f"get(w, i + {k})" for k in range(WIDTH)) + ")"
-_PLACES = f"if(size(w) = 0, array(), sequence(0, greatest(size(w) - {WIDTH}, 0)))"
+_RUN = "xxhash64(" + ", ".join(["get(h, i)", *[f"get(h, i + {k})" for k in range(1, WIDTH)]]) + ")"
+_PLACES = f"sequence(0, greatest(size(h) - {WIDTH}, 0))"
 _TOKENS = f"transform({_PLACES}, i -> {_RUN})"
 
 
-def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first line, tokens, line of each) for blocks of lines; all words of a line of fewer than WIDTH are one token."""
-    for at, end, data, offsets in blocks(column):
-        hashes, begin = words(data, offsets)
-        tokens, to = shingles(hashes, begin, WIDTH)
-        yield at, tokens, np.repeat(np.arange(end - at), np.diff(to))
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines to the tokens of this task on each counter."""
-    total = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        for _, tokens, _ in _tokens(batch.column(0)):
-            total += np.bincount((tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-    some = np.flatnonzero(total)
-    yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], ["counter", "n"])
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], rarity: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(key, line) to (key, token, n, i): the tokens that come first by rarity, then by hash, of n distinct ones, each at place i."""
-    for batch in batches:
-        keys = batch.column(0).to_numpy()
-        for at, tokens, line in _tokens(batch.column(1)):
-            order = np.lexsort((tokens, rarity[(tokens % np.uint64(COUNTERS)).astype(np.int64)], line))
-            tokens, line = tokens[order], line[order]
-            new = np.ones(len(tokens), bool)
-            new[1:] = (tokens[1:] != tokens[:-1]) | (line[1:] != line[:-1])
-            tokens, line = tokens[new], line[new]
-            n = np.bincount(line)[line] if len(line) else line
-            i = np.arange(len(line)) - np.searchsorted(line, line)
-            first = i < n + (-n * SIMILAR // 100) + 1
-            yield pa.record_batch(
-                [pa.array(keys[at + line[first]]), pa.array(tokens[first].view(np.int64)), pa.array(n[first].astype(np.int32)), pa.array(i[first].astype(np.int32))],
-                ["key", "token", "n", "i"],
-            )
-
-
-def _table(counted: DataFrame) -> np.ndarray:
-    """How many tokens of all lines fall on each of COUNTERS counters: a table of fixed size."""
-    rows = counted.toPandas()
-    out = np.zeros(COUNTERS, np.int64)
-    out[rows["counter"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
-
-
-def _entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(key, token, n, i) for the first tokens of each line of firsts, by arrays inside the tasks."""
-    rarity = _table(lines.select("line").mapInArrow(_count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")))
-    shared = lines.sparkSession.sparkContext.broadcast(rarity)
-    return firsts.select("key", "line").mapInArrow(lambda b: _prefixes(b, shared.value), "key long, token long, n int, i int")
-
-
-def _native_entries(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The same in DataFrame functions: a token as one number, its counter's level (4 log2 of 1 + n) above and its hash below."""
-    # no filters on the words: one would be moved below and split every line twice
-    runs = lines.select(_words("line").alias("w")).select("w", F.explode(F.expr(_PLACES)).alias("i"))
-    counted = runs.groupBy(F.expr(f"pmod({_RUN}, {COUNTERS})").cast("int").alias("counter")).agg(F.count("*").alias("n"))
-    levels = np.minimum(np.floor(4 * np.log2(_table(counted) + 1.0)), 127).astype(np.uint8).tobytes()
-    ranked = firsts.select("key", _words("line").alias("w")).select("key", F.expr(_TOKENS).alias("t"))
-    level = lambda t: F.ascii(F.substring(F.lit(levels), F.pmod(t, F.lit(COUNTERS)).cast("int") + 1, F.lit(1)).cast("string")).cast("long")
-    weigh = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    ranked = ranked.select("key", F.array_sort(F.array_distinct(F.transform("t", weigh))).alias("t")).withColumn("n", F.size("t"))
-    prefix = F.slice("t", F.lit(1), (F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1).cast("int"))
-    return ranked.select("key", "n", F.posexplode(prefix).alias("i", "token")).select("key", "token", "n", "i")
-
-
-def matched_lines(docs: DataFrame, native: bool = True) -> DataFrame:
+def _rarity(lines: DataFrame) -> Callable[[Column], Column]:
+    """A function of a token: its hash below the level, 4 log2 of 1 + n, of its counter's n."""
+    runs = _hashed(lines).select("h", F.explode(F.expr(_PLACES)).alias("i"))
+    counted = runs.groupBy(F.expr(f"pmod({_RUN}, {COUNTERS})").cast("int").alias("counter")).agg(F.count("*").alias("n")).toPandas()
+    n = np.zeros(COUNTERS)
+    n[counted["counter"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    levels = np.minimum(np.floor(4 * np.log2(n + 1.0)), 127).astype(int)
+    table = F.split(F.lit(",".join(map(str, levels.tolist()))), ",").cast("array<bigint>")
+    return lambda t: F.shiftleft(F.get(table, F.pmod(t, F.lit(COUNTERS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+
+
+def _ranked(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(key, place, n, t) for each line of firsts: the first ones, by rarity, of its n distinct tokens."""
+    weigh = _rarity(lines)
+    rows = _hashed(firsts, "key", "place").select("key", "place", F.expr(_TOKENS).alias("t"))
+    rows = rows.select("key", "place", F.sort_array(F.array_distinct(F.transform("t", weigh))).alias("t")).withColumn("n", F.size("t"))
+    return rows.select("key", "place", "n", F.slice("t", F.lit(1), (F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1).cast("int")).alias("t"))
+
+
+def matched_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, at): the lines that match an earlier line.
 
     Lines stand in the order of doc_id (null last) and place.  Equal lines are
@@ -132,91 +90,96 @@ def matched_lines(docs: DataFrame, native: bool = True) -> DataFrame:
     both, and if their numbers of tokens are not too far apart.  What is left is
     verified on the full sets: first each class against the earliest that shares
     a token, then those still without a match against all earlier ones.
+    Rarity only orders tokens, so the result is exact.
     """
-    lines = _lines(docs).withColumn("place", _place())
-    repeats = lines.groupBy("key", "other_key").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    lines = _lines(docs).withColumn("place", _place(docs))
+    places = kept(lines.drop("line"), "places")
+    repeats = places.groupBy("key", "other_key").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
     repeats = kept(repeats.select("key", "other_key", "first"), "repeats")
     firsts = lines.join(_small(repeats), ["key", "other_key"], "left").where("first is null or place = first")
-    entries = (_native_entries if native else _entries)(lines, firsts)
-    entries = entries.withColumn("shared", F.count("*").over(Window.partitionBy("token"))).where("shared > 1").drop("shared")
-    entries = kept(entries, "entries")
-
-    keys = kept(entries.select("key").distinct(), "keys")
-    # no filter on the words here: it would move below the join and look at every line
-    whole = firsts.join(_small(keys), "key", "left_semi").select("key", "place", _words("line").alias("w"))
-    sets = kept(whole.select("key", "place", F.array_distinct(F.expr(_TOKENS)).alias("t")), "sets")
-    entries = kept(entries.join(sets.select("key", "place"), "key"), "placed")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """(key, place) of the later lines of pairs (a, b) that do match."""
-        one, two = (sets.select(F.col("key").alias(c), F.col("place").alias(f"{c}_place"), F.col("t").alias(f"{c}_t")) for c in "ab")
-        both = pairs.join(one, "a").join(two, "b").where("a_place < b_place").withColumn("common", F.size(F.array_intersect("a_t", "b_t")))
-        match = both.where(F.col("common") * 100 >= SIMILAR * (F.size("a_t") + F.size("b_t") - F.col("common")))
-        return kept(match.select(F.col("b").alias("key"), F.col("b_place").alias("place")).distinct(), "matched")
-
-    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    ranked = kept(_ranked(lines, firsts), "ranked")
+    entries = ranked.select("key", "place", "n", F.posexplode("t").alias("i", "token"))
+    # a pair meets within the first n - ceil(6/7 n) + 1 tokens of the smaller of the two
+    near = F.col("i") <= F.col("n") - F.ceil(F.col("n") * (2 * SIMILAR) / (100 + SIMILAR))
+    shared = entries.groupBy("token").agg(F.min("place").alias("head"), F.max("place").alias("last"), F.max(near).alias("near")).where("head < last and near").select("token", "head")
+    shared = kept(shared, "shared")
+    entries = kept(entries.join(_small(shared), "token"), "entries")
+
+    def pairs(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
         """(a, b) by a common token of left and right, through the length and positional filters."""
         a = left.select("token", F.col("key").alias("a"), F.col("place").alias("a_place"), F.col("n").alias("a_n"), F.col("i").alias("a_i"))
-        b = right.select("token", F.col("key").alias("b"), F.col("place").alias("b_place"), F.col("n").alias("b_n"), F.col("i").alias("b_i"))
+        b = right.select(F.col("token").alias("its"), "head", F.col("key").alias("b"), F.col("place").alias("b_place"), F.col("n").alias("b_n"), F.col("i").alias("b_i"))
         near = (F.col("a_n") * 100 >= F.col("b_n") * SIMILAR) & (F.col("b_n") * 100 >= F.col("a_n") * SIMILAR)
         # of the first token that two lines share, only what stands behind it can be common too
-        most = 1 + F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i")) - 1
+        most = F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i"))
         enough = most * (100 + SIMILAR) >= SIMILAR * (F.col("a_n") + F.col("b_n"))
-        return a.join(b, (a["token"] == b["token"]) & (F.col("a_place") < F.col("b_place")) & near & enough).select("a", "b").distinct()
+        return kept(a.join(b, (F.col("token") == F.col("its")) & (F.col("a_place") < F.col("b_place")) & more & near & enough).select("a", "b").distinct(), "pairs")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """(key, other_key, place) of the later lines of pairs (a, b) that do match."""
+        keys = kept(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+        # no filter on the words here: it would move below the join and look at every line
+        whole = _hashed(firsts.join(_small(keys), "key", "left_semi"), "key", "other_key", "place")
+        sets = kept(whole.select("key", "other_key", "place", F.array_distinct(F.expr(_TOKENS)).alias("t")), "sets")
+        one = sets.select(F.col("key").alias("a"), F.col("place").alias("a_place"), F.col("t").alias("a_t"))
+        two = sets.select(F.col("key").alias("b"), "other_key", F.col("place").alias("b_place"), F.col("t").alias("b_t"))
+        both = pairs.join(one, "a").join(two, "b").where("a_place < b_place").withColumn("common", F.size(F.array_intersect("a_t", "b_t")))
+        match = both.where(F.col("common") * 100 >= SIMILAR * (F.size("a_t") + F.size("b_t") - F.col("common")))
+        return kept(match.select(F.col("b").alias("key"), "other_key", F.col("b_place").alias("place")).distinct(), "matched")
 
-    earliest = entries.groupBy("token").agg(F.min("place").alias("place"))
-    heads = entries.join(earliest, ["token", "place"])
-    matched = verified(pairs(heads, entries))
-    rest = entries.join(matched.select("key", "place"), ["key", "place"], "left_anti")
-    matched = matched.unionAll(verified(pairs(entries, rest)))
+    matched = verified(pairs(_small(entries.where("place = head")), entries, F.lit(True)))
+    rest = entries.join(_small(matched.select("key", "place")), ["key", "place"], "left_anti")
+    matched = matched.unionAll(verified(pairs(entries, rest, F.col("a_place") > F.col("head"))))
 
     # a class that matches is removed whole, of another all but the first
-    whole = matched.select("key", "place", F.lit(True).alias("all"))
-    first_gone = firsts.join(_small(whole), ["key", "place"], "left_semi").select("key", "other_key", F.lit(None).cast("decimal(38,0)").alias("spare"))
-    long_repeats = repeats.join(first_gone.select("key", "other_key"), ["key", "other_key"], "left_anti").select("key", "other_key", F.col("first").alias("spare"))
-    gone = kept(first_gone.unionAll(long_repeats), "gone")
-    found = lines.join(_small(gone), ["key", "other_key"])
-    # one condition on both sides, so that the words of joined lines only are counted
-    spared = F.coalesce(F.col("place") == F.col("spare"), F.lit(False))
-    return found.where(F.when(spared, False).otherwise(F.size(_words("line")) > 0)).select("doc_id", "text_hash", "at")
+    first_gone = matched.select("key", "other_key", F.lit(None).cast(dict(repeats.dtypes)["first"]).alias("spare")).distinct()
+    others = repeats.join(_small(first_gone.select("key", "other_key")), ["key", "other_key"], "left_anti").select("key", "other_key", F.col("first").alias("spare"))
+    gone = kept(first_gone.unionAll(others), "gone")
+    found = places.join(_small(gone), ["key", "other_key"])
+    return found.where("spare is null or place <> spare").select("doc_id", "text_hash", "at")
 
 
-def dedup_lines(docs: DataFrame, native: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with lines removed, and (lines, removed): how many lines each text had and lost.
 
     A line is removed if an earlier line of the corpus has 75 % of their united
     distinct 5-word shingles (lower-cased words between white space) in common;
     earlier means a smaller doc_id (null last), then a smaller place in the
-    text.  Every earlier line counts, whether it is itself removed or not.  native
-    chooses the form of the token work, not the result.
-    All words of a line of fewer than five are its one shingle; a line without
+    text.  Every earlier line counts, whether it is itself removed or not.  All
+    words of a line of fewer than five are its one shingle; a line without
     words stays.
 
     A null text has 0 lines and stays null; an empty one has one line.  Rows
     that repeat a doc_id have lines at equal places, which don't precede each
-    other.  All columns of docs are kept; n_chars, if there, counts the new
-    text.  An empty table gives an empty result.
+    other.  All columns of docs are kept, whatever their names; if one is named
+    lines or removed, the new column gets underscores behind its name.
+    n_chars, if there, counts the new text.  An empty table gives an empty
+    result.
     """
-    removed = matched_lines(docs, native).distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("at")).alias("_gone"))
-    removed = kept(removed, "removed").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "_gone")
-    rows = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = rows.join(_small(removed), rows["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash")), "left")
-    parts = F.split("text", "\n")
-    left = F.array_join(F.filter(F.transform(parts, lambda line, at: F.when(~F.array_contains("_gone", at), line)), lambda line: line.isNotNull()), "\n")
-    rows = rows.withColumn("lines", F.coalesce(F.size(parts), F.lit(0))).withColumn("removed", F.coalesce(F.size("_gone"), F.lit(0)))
-    rows = rows.withColumn("lines", F.when(F.col("text").isNull(), 0).otherwise(F.col("lines"))).withColumn("removed", F.greatest("removed", F.lit(0)))
-    rows = rows.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
+    gone = matched_lines(docs).distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("at")).alias("gone"))
+    gone = kept(gone, "removed").select(F.col("doc_id").alias("its_doc"), F.col("text_hash").alias("its_hash"), "gone")
+    rows = packed_rows(docs).select("row", F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("text_hash"))
+    rows = rows.join(_small(gone), F.col("row.doc_id").cast("long").eqNullSafe(F.col("its_doc")) & (F.col("text_hash") == F.col("its_hash")), "left")
+    parts = F.split("row.text", "\n")
+    left = F.array_join(F.filter(F.transform(parts, lambda line, at: F.when(~F.array_contains("gone", at), line)), lambda line: line.isNotNull()), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left)
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*docs.columns, "lines", "removed")
+        new["n_chars"] = F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(F.length(left)).cast(docs.schema["n_chars"].dataType)
+    had = F.when(F.col("row.text").isNull(), 0).otherwise(F.size(parts))
+    lost = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
+    names = unused(docs, "lines", "removed")
+    return rows.select(*unpacked(docs, new), had.alias(names[0]), lost.alias(names[1]))
 
 
-def drop_repeated_lines(docs: DataFrame, native: bool = True) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """docs less their repeated lines; a document that loses all its lines goes."""
-    return dedup_lines(docs, native).where("removed = 0 or removed < lines").drop("lines", "removed")
+    lines, removed = unused(docs, "lines", "removed")
+    return dedup_lines(docs).where(F.col(removed).isin(0) | (F.col(removed) < F.col(lines))).drop(lines, removed)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup_lines(read_table(spark, sf_dir, "documents"), native=False)
+    rows = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return rows.select("doc_id", F.col("lines").cast("long").alias("n_lines"), F.col("removed").cast("long").alias("n_removed"), F.octet_length(text).cast("long").alias("bytes_left"), F.crc32(text).alias("text_crc32"))

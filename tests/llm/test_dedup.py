@@ -4,9 +4,9 @@ import zlib
 from collections import Counter
 
 import pytest
-from asofworks.llm import lines, minhash
+from asofworks.llm import graph, lines, minhash
 
-from tests.llm.conftest import edited, prose, rows
+from tests.llm.conftest import CLASHING, edited, prose, rows
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -53,12 +53,13 @@ def test_near_duplicates_of_a_large_group(spark):
     items = [(k, edited(base, k, k % 6)) for k in range(300)]
     want, _ = expected_components(items)
     got = dict(minhash.near_duplicates(spark.createDataFrame(items, "doc_id long, text string")).select("doc_id", "component_id").collect())
-    assert sum(got[k] != want[k] for k in want) <= 2
+    assert got == want
 
 
 @pytest.mark.parametrize("block", [1024, 16])
 def test_crowded_regions_lose_no_link(spark, monkeypatch, block):
-    monkeypatch.setattr(minhash, "BLOCK", block, raising=False)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(graph, "HUB", 3 if block == 16 else 10_000)
     base = prose(6, 300)
     family = [edited(base, k, 6) for k in range(250)]
     items = [(2 * k, t) for k, t in enumerate(family)] + [(2 * k + 1, edited(t, 1000 + k, 7)) for k, t in enumerate(family)]
@@ -84,8 +85,7 @@ def removed_lines(items):
     placed = []
     for i, text in items:
         for at, line in enumerate((text or "").split("\n")):
-            words = [w for w in line.lower().replace("\t", " ").split(" ") if w]
-            placed.append(((i is None, i or 0, at), i, text, at, frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))))
+            placed.append(((i is None, i or 0, at), i, text, at, shingle_set(line.lower())))
     gone = set()
     for place, i, text, at, a in placed:
         for other, _, _, _, b in placed:
@@ -95,32 +95,60 @@ def removed_lines(items):
     return gone
 
 
-@pytest.mark.parametrize("native", [True, False])
-def test_line_dedup_equals_brute_force(docs, native):
+def test_line_dedup_equals_brute_force(docs):
     items = [(r[0], r[1]) for r in rows() if r[0] != 80]
     gone = removed_lines(items)
-    got = lines.dedup_lines(docs.where("doc_id is null or doc_id <> 80"), native)
-    assert got.columns == [*docs.columns, "lines", "removed"]
+    got = lines.dedup_lines(docs.where("doc_id is null or doc_id <> 80"))
+    assert got.columns == [*docs.columns, "lines_", "removed_"]
     want = Counter()
     for i, text in items:
         left = None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if (i, text, k) not in gone)
         want[(i, left, 0 if text is None else len(text.split("\n")))] += 1
-    assert Counter((r.doc_id, r.text, r.lines) for r in got.collect()) == want
+    got = got.collect()
+    assert Counter((r.doc_id, r.text, r.lines_) for r in got) == want
     assert len(gone) > 20
+    # columns of any name keep their values
+    first = Counter((r[0], *r[12:]) for r in rows() if r[0] != 80)
+    assert Counter((r.doc_id, *[r[c] for c in CLASHING]) for r in got) == first
+
+
+@pytest.mark.parametrize("counters", [1 << 16, 8])
+def test_line_dedup_of_many_near_lines(spark, monkeypatch, counters):
+    """Thousands of pairs below and above the limit, lines of 1 to 60 words, few counters or many."""
+    monkeypatch.setattr(lines, "COUNTERS", counters)
+    bases = [prose(k, 2 + 5 * (k % 12)).replace("\n", " ") for k in range(24)]
+    texts = [edited(bases[k % 24], k, k % 5) for k in range(240)] + [b[: len(b) // 2] for b in bases]
+    items = [(k, "\n".join(texts[k::60])) for k in range(60)]
+    gone = removed_lines(items)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()}
+    assert got == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, t, k) not in gone) for i, t in items}
+    assert 40 < len(gone) < 250
 
 
-@pytest.mark.parametrize("native", [True, False])
-def test_short_lines_that_repeat_are_removed(spark, native):
+def test_short_lines_that_repeat_are_removed(spark):
     items = [(1, "Share this\none two three four five\n \nshare that"), (2, "Share this\nx\n "), (3, "SHARE  this\none two three four"), (4, "x\nshare")]
-    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string"), native).collect()}
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()}
     assert got == {1: items[0][1], 2: "x\n ", 3: "one two three four", 4: "share"}
 
 
+def test_huge_and_negative_ids_keep_their_order(spark):
+    items = [(-(1 << 63), "a b c d e f\nshare this"), ((1 << 63) - 1, "a b c d e f\nz"), (None, "share this\nz\ny"), (0, "share this")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()}
+    assert got == {-(1 << 63): items[0][1], (1 << 63) - 1: "z", None: "y", 0: ""}
+
+
 def test_line_dedup_drops_emptied_documents_only(docs):
     kept = lines.drop_repeated_lines(docs)
     assert kept.columns == docs.columns
     ids = {r.doc_id for r in kept.collect()}
-    assert {1, 70, 71, 72, 73, 74} <= ids
+    # 74 has the words of 73 and no others
+    assert {1, 70, 71, 72, 73} <= ids and 74 not in ids
+
+
+def test_line_dedup_runs_no_python(docs, capsys):
+    lines.dedup_lines(docs).explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
 def test_line_dedup_of_nothing(no_docs):
