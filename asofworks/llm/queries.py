@@ -13,6 +13,7 @@ from asofworks.llm.mixing import op8_pareto_mix
 from asofworks.llm.pieces import op6_merge_dropout
 from asofworks.llm.quality import op5_byte_cnn
 from asofworks.llm.sharding import op7_stratified_shards
+from asofworks.llm.spelling import OP13_SQL, op13_spelling_variants
 from asofworks.llm.token_files import op10_simple8b_tokens
 from asofworks.llm.vectors import op3_adaptive_scan, op4_segment_topk
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pareto_mix": op8_pareto_mix,
     "op9_minhash_forest": op9_minhash_forest,
     "op10_simple8b_tokens": op10_simple8b_tokens,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op13_spelling_variants": OP13_SQL}
