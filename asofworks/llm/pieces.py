@@ -20,8 +20,8 @@ MODEL = "piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 20240607
 #: Symbols of a unit up to which units are worked on side by side; a longer unit has an agenda of its own.
 SIDE_BY_SIDE = 32
-#: Units that a worker keeps with their merges, at most (some 20 MB).
-UNITS = 1 << 18
+#: Bytes of units and their merges that a worker keeps, about.
+UNITS = 1 << 24
 
 _NONE = np.int32(1 << 30)
 _SPACE = 0x2581

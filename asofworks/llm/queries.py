@@ -16,6 +16,8 @@ from asofworks.llm.sharding import op7_stratified_shards
 from asofworks.llm.spelling import OP13_SQL, op13_spelling_variants
 from asofworks.llm.token_files import op10_simple8b_tokens
 from asofworks.llm.vectors import op3_adaptive_scan, op4_segment_topk
+from asofworks.llm.whitening import op11_embedding_whitening
+from asofworks.llm.word_bpe import op12_tree_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pareto_mix": op8_pareto_mix,
     "op9_minhash_forest": op9_minhash_forest,
     "op10_simple8b_tokens": op10_simple8b_tokens,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_tree_bpe": op12_tree_bpe,
     "op13_spelling_variants": op13_spelling_variants,
 }
 

@@ -14,15 +14,21 @@ import pandas as pd
 
 
 class UnitCache:
-    """Ids by unit hash.  It is emptied when it holds over limit units; ids never depend on what it holds.
+    """Ids by unit hash.  It is emptied when it holds over limit bytes (of ids, and of 24 for each unit's entry).
 
-    ids[0] is set aside for the caller, say for an end id.
+    What a call adds, one block of texts, comes on top of that.  Ids never
+    depend on what it holds.  ids[0] is set aside for the caller, say for an
+    end id.
     """
 
-    def __init__(self, limit: int = 1 << 20, aside: int = 0) -> None:
+    def __init__(self, limit: int = 1 << 25, aside: int = 0) -> None:
         self.limit, self.aside = limit, aside
         self._clear()
 
+    def size(self) -> int:
+        """Bytes held: ids, and for each unit its key, place and length."""
+        return self.ids.nbytes + 24 * len(self.keys)
+
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
@@ -51,7 +57,7 @@ class UnitCache:
         codes, unique = pd.factorize(keys)
         first = np.empty(len(unique), np.int64)
         first[codes[::-1]] = np.arange(len(keys))[::-1]
-        if len(self.keys) + len(unique) > self.limit:
+        if self.size() > self.limit:
             self._clear()
         order = np.argsort(unique)
         at = np.searchsorted(self.keys, unique[order])
