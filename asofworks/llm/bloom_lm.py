@@ -6,6 +6,13 @@ is read back by probing level after level until one misses.  The model is
     P(w | h) = (c(h, w) + MU * U(w)) / (c(h) + MU),   U(w) = (c(w) + 1) / (N + V + 1)
 
 so a history seen once gives its one follower 1 / (1 + MU), not all it has.
+
+A filter that held every n-gram would grow with the corpus past any worker's
+memory.  So only that of the frequent bigrams is broadcast, beside exact counts
+of the frequent words; the rest is cut by hash into filters that are each built
+and probed where their bigrams meet.  What a filter finds by mistake is no
+count: a frequent bigram is one of a broadcast list of keys, and no bigram
+counts more than its words.
 """
 
 from __future__ import annotations
@@ -25,13 +32,13 @@ from asofworks.llm.textbytes import blocks, mix, words
 
 #: Words as frequent as one in HEAD tokens are in a broadcast table, of HEAD rows (32 MB) at most; rarer ones meet in the parts.
 HEAD = 1 << 21
-#: Bigrams as frequent as one in OFTEN tokens are in a broadcast filter, OFTEN of them (1 MB) at most; all others are in the filters of the parts.
+#: Bigrams as frequent as one in OFTEN tokens are in a broadcast filter, OFTEN of them at most (some 60 levels each: 6 MB); all others are in the filters of the parts.
 OFTEN = 1 << 16
 #: Counters by which the search for frequent bigrams is narrowed down; every bigram is counted.
 COUNTERS = 1 << 18
 #: Training tokens for each part; tokens that a task gathers before it deals them out.
 PART, BATCH = 1 << 20, 1 << 20
-#: A count is kept as the power of BASE (times the least count) that it reaches.
+#: A count is kept as the power of BASE that it reaches.
 BASE = 1.3
 #: Bits for each (key, level) and hashes of it: 0.4 % of the keys that were never put in are found.
 EACH, HASHES = 12, 6
@@ -86,21 +93,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(np.full(len(some), 2, np.int32)), pa.array(some), pa.array(total[some])], ["of", "key", "n"])
 
 
-def levels(counts: np.ndarray, least: float) -> np.ndarray:
-    """The level that each count reaches: 1 at least, then at BASE times least, at its square, and so on."""
-    return np.floor(np.log(np.maximum(counts / least, 1.0)) / np.log(BASE) + 1e-9).astype(np.int64) + 1
+def levels(counts: np.ndarray) -> np.ndarray:
+    """The level that each count reaches: 1 at 1, then at BASE, at its square, and so on."""
+    return np.floor(np.log(np.maximum(counts, 1.0)) / np.log(BASE) + 1e-9).astype(np.int64) + 1
 
 
 class LogFrequencyBloom:
-    """A Bloom filter of (key, level) for every level that a key's count reaches, sized by what goes in."""
+    """A Bloom filter of (key, level) for every level that a key's count reaches, sized by what goes in.
+
+    Where all counts are known to be least or more, the levels below least's are left out.
+    """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float) -> None:
-        self.least = least
-        level = levels(counts, least)
-        self.size = np.uint64(max(64, EACH * int(level.sum())))
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float = 1.0) -> None:
+        self.first = int(levels(np.array([least]))[0])
+        level = np.maximum(levels(counts), self.first)
+        self.size = np.uint64(max(64, EACH * int((level - self.first + 1).sum())))
         marks = np.zeros(int(self.size), bool)
-        for j in range(1, int(level.max(initial=0)) + 1):
-            some = keys[level >= j] if j > 1 else keys
+        for j in range(self.first, int(level.max(initial=0)) + 1):
+            some = keys[level >= j] if j > self.first else keys
             for place in self._places(some, j):
                 marks[place] = True
         self.bits = np.packbits(marks, bitorder="little")
@@ -114,10 +124,10 @@ class LogFrequencyBloom:
                 a = a + step
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """What the filter has as each key's count (0: not in it), by probes for level 1, 2, ... until one misses."""
+        """What the filter has as each key's count (0: not in it), by probes level after level until one misses."""
         level = np.zeros(len(keys), np.int64)
         left = np.arange(len(keys))
-        at = 0
+        at = self.first - 1
         while len(left):
             at += 1
             ok = np.ones(len(left), bool)
@@ -125,7 +135,7 @@ class LogFrequencyBloom:
                 ok &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
             left = left[ok]
             level[left] = at
-        return np.where(level > 0, self.least * BASE ** (level - 1.0), 0.0)
+        return np.where(level > 0, BASE ** (level - 1.0), 0.0)
 
 
 @dataclass
@@ -140,6 +150,7 @@ class Model:
     parts: int
     mu: float
     batch: int
+    often_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     heavy: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
     @property
@@ -153,6 +164,16 @@ class Model:
         found = np.where(self.head[at] == unique, at, -1) if len(self.head) else np.full(len(unique), -1)
         return found[codes]
 
+    def often_counts(self, pairs: np.ndarray) -> np.ndarray:
+        """The counts of pairs of head words that are frequent bigrams, as the filter has them; 0 for all others."""
+        out = np.zeros(len(pairs))
+        if len(self.often_keys):
+            listed = self.often_keys[np.minimum(np.searchsorted(self.often_keys, pairs), len(self.often_keys) - 1)] == pairs
+            some = pairs[listed]
+            words = np.minimum(self.count[(some >> np.uint64(32)).astype(np.int64)], self.count[(some & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+            out[listed] = np.minimum(self.often.counts(some), words)
+        return out
+
 
 def _pair(previous: np.ndarray, token: np.ndarray) -> np.ndarray:
     return (previous.astype(np.uint64) << np.uint64(32)) | token.astype(np.uint64)
@@ -195,6 +216,7 @@ def fit(train: DataFrame, mu: float = MU) -> Model:
     model.heavy[heavy["key"].to_numpy(np.int64)] = True
     shared = texts.sparkSession.sparkContext.broadcast(model)
     often = texts.mapInArrow(lambda b: _count_heavy(b, shared.value), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    model.often_keys = np.sort(often["key"].to_numpy(np.int64).view(np.uint64))
     model.often = LogFrequencyBloom(often["key"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64), least)
     model.heavy = np.zeros(0, bool)
     return model
@@ -265,7 +287,7 @@ def _deal_batch(ids: list[pa.Array], held: list[np.ndarray], texts: list[tuple[n
     rest = np.ones(len(inside), bool)
     asked = np.flatnonzero(prior[inside] >= 0)
     codes, unique = pd.factorize(_pair(prior[inside][asked], own[asked]))
-    seen = model.often.counts(unique)[codes]
+    seen = model.often_counts(unique)[codes]
     got = asked[seen > 0]
     rest[got] = False
     gain += np.bincount(doc[inside[got]], np.log10(1.0 + seen[seen > 0] / (model.mu * one[own[got]])), n)
@@ -331,12 +353,13 @@ def _part(table: pa.Table, model: Model) -> pa.Table:
     rare_row, word, second, rare_marked = got[OF_RARE]
     rare_key = mix(word ^ mix(second.astype(np.uint64) + np.uint64(1))) | np.uint64(1 << 63)
     learnt = [k[m & np.uint32(1) == 0] for k, m in ((key, marked), (rare_key, rare_marked))]
-    filter_ = LogFrequencyBloom(*np.unique(np.concatenate(learnt), return_counts=True), 1.0)
+    filter_ = LogFrequencyBloom(*np.unique(np.concatenate(learnt), return_counts=True))
     del learnt
     out: list[tuple[int, bytes]] = []
     if len(key):
         one = (model.count + 1.0) / model.size
-        gain = np.log10(1.0 + filter_.counts(key) / (model.mu * one[(key >> _OWN).astype(np.int64)]))
+        own = (key >> _OWN).astype(np.int64)
+        gain = np.log10(1.0 + np.minimum(filter_.counts(key), model.count[own]) / (model.mu * one[own]))
         some = gain > 0
         out += _found(row[some], marked[some], batch[rows[OF_HEAD]].tolist(), None, None, gain[some])
     if len(word):
@@ -344,7 +367,7 @@ def _part(table: pa.Table, model: Model) -> pa.Table:
         codes, unique = pd.factorize(word)
         count = np.bincount(codes, rare_marked & np.uint32(1) == 0, len(unique))[codes]
         one = (count + 1.0) / model.size
-        gain = np.log10(1.0 + filter_.counts(rare_key) / (model.mu * one)) - np.log10(1.0 + count / model.mu)
+        gain = np.log10(1.0 + np.minimum(filter_.counts(rare_key), count) / (model.mu * one)) - np.log10(1.0 + count / model.mu)
         out += _found(rare_row, rare_marked, batch[rows[OF_RARE]].tolist(), count > 0, np.log10(one), gain)
     return pa.table([pa.array([b for b, _ in out], pa.int64()), pa.array(np.full(len(out), FOUND, np.int32)), pa.array([x for _, x in out], pa.binary())], ["batch", "kind", "bits"])
 
