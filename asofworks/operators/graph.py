@@ -79,43 +79,6 @@ def anchors(arcs: DataFrame, keys: list[str], order: str, node: str) -> DataFram
     return arcs.groupBy(*keys).agg(F.min(order).alias("best_order"), F.min_by(node, F.struct(order, node)).alias("anchor"))
 
 
-def calculation_checks(facts: DataFrame, arcs: DataFrame, scope: list[str], node: str, value: str, tolerance: float = 0.0) -> DataFrame:
-    """Signed sums of children against the parent in each scope.
-
-    In order: MISSING_PARENT, AMBIGUOUS_PARENT, AMBIGUOUS_INPUT (a child has
-    several facts), MISSING_INPUT (a child has no fact, or no value), then MATCH
-    or MISMATCH.
-    """
-    cells = facts.groupBy(*scope, node).agg(F.count("*").alias("_n"), F.when(F.count(value) == F.count("*"), F.sum(value)).alias("_v"))
-    needed = arcs.groupBy("parent").agg(F.count("*").alias("_arcs"))
-    child = cells.select(*scope, F.col(node).alias("child"), F.col("_n").alias("_cn"), F.col("_v").alias("_c"))
-    sums = child.join(arcs.select("parent", "child", "weight"), "child").groupBy(*scope, "parent").agg(F.sum(F.col("weight") * F.col("_c")).alias("calculated"), F.count("_c").alias("_inputs"), F.max("_cn").alias("_most"))
-    parent = cells.select(*scope, F.col(node).alias("parent"), F.col("_n").alias("_pn"), F.col("_v").alias("reported"))
-    rows = sums.join(parent, [*scope, "parent"], "left").join(needed, "parent")
-    status = (
-        F.when(F.col("_pn").isNull(), "MISSING_PARENT")
-        .when(F.col("_pn") > 1, "AMBIGUOUS_PARENT")
-        .when(F.col("_most") > 1, "AMBIGUOUS_INPUT")
-        .when((F.col("_inputs") < F.col("_arcs")) | F.col("reported").isNull(), "MISSING_INPUT")
-        .when(F.abs(F.col("calculated") - F.col("reported")) <= tolerance, "MATCH")
-        .otherwise("MISMATCH")
-    )
-    out = rows.withColumn("status", status).drop("_pn", "_arcs", "_inputs", "_most")
-    return out.withColumn("calculated", F.when(F.col("status").isin("MATCH", "MISMATCH"), F.col("calculated")))
-
-
-def interval_checks(facts: DataFrame, arcs: DataFrame, scope: list[str], node: str) -> DataFrame:
-    """As calculation_checks() on rounding intervals lo, hi: overlap is VERIFIED, else CALCULATION_ROUNDING_MISMATCH."""
-    child = facts.select(*scope, F.col(node).alias("child"), F.col("lo").alias("_l"), F.col("hi").alias("_h")).join(arcs.select("parent", "child", "weight"), "child")
-    low = F.when(F.col("weight") >= 0, F.col("weight") * F.col("_l")).otherwise(F.col("weight") * F.col("_h"))
-    high = F.when(F.col("weight") >= 0, F.col("weight") * F.col("_h")).otherwise(F.col("weight") * F.col("_l"))
-    sums = child.groupBy(*scope, "parent").agg(F.sum(low).alias("sum_lo"), F.sum(high).alias("sum_hi"))
-    parent = facts.select(*scope, F.col(node).alias("parent"), "lo", "hi")
-    rows = sums.join(parent, [*scope, "parent"])
-    fits = (F.col("sum_lo") <= F.col("hi")) & (F.col("lo") <= F.col("sum_hi"))
-    return rows.withColumn("status", F.when(fits, "VERIFIED").otherwise("CALCULATION_ROUNDING_MISMATCH"))
-
-
 def importance(cells: DataFrame, parents: list[str], node: str, coordinate: str, value: str = "value", top: int = 5, back: int = 4) -> DataFrame:
     """Per parent and period: ranks by amount and by change over back periods, ties by id, with tags and sign transitions."""
     prior = cells.select(*parents, node, (F.col(coordinate) + back).alias(coordinate), F.col(value).alias("prior"))

@@ -110,28 +110,49 @@ def has_match(rows: DataFrame, others: DataFrame, keys: list[str], name: str) ->
     return rows.join(others.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left").fillna({name: False})
 
 
-def filing_ledger(filings: DataFrame, amends: str | None = None) -> DataFrame:
+#: An accession within a description, and the ordinal that an amendment gives itself.
+ACCESSION = r"\b\d{10}-\d{2}-\d{6}\b"
+ORDINAL = r"(?i)\bamendment\s+(?:number|no\.?|#)\s*(\d+)\b"
+
+
+def filing_ledger(filings: DataFrame, amends: str | None = None, description: str | None = None, flag: str | None = None) -> DataFrame:
     """One version row per filing: base form, ordinal within it, and the filing that it amends.
 
-    An amendment that names the filing it amends (column amends) is LINKED.  Of
-    all others the original filings of the same company, base form and report
-    date, filed on an earlier day, are compatible: exactly one is a CANDIDATE
+    A filing is an amendment if its form or its column is_amendment says so.
+    One that names the filing it amends (column amends, not blank) is LINKED, as
+    is one whose description names exactly one accession.  Of all others the
+    original filings of the same company, base form and report date (none equals
+    none), filed on an earlier day, are compatible: exactly one is a CANDIDATE
     that needs review, none or several leave the link UNKNOWN.  No chain is
-    inferred.
+    inferred.  reported_ordinal is what the description calls the amendment,
+    flag_state what the reported flag says.
     """
-    named = F.col(amends) if amends else F.lit(None)
+    text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
+    named = F.when(F.trim(text(amends)) != "", F.col(amends)) if amends else F.lit(None)
+    kind = dict(filings.dtypes)["accession"]
+    said = F.array_distinct(F.regexp_extract_all(text(description), F.lit(ACCESSION), F.lit(0)))
+    described = F.when(F.size(said) == 1, F.get(said, F.lit(0)))
     base = F.regexp_replace("form", "/A$", "")
-    rows = filings.withColumn("base_form", base).withColumn("is_amendment", F.col("form").endswith("/A"))
+    marked = F.coalesce(F.col("is_amendment"), F.lit(False)) if "is_amendment" in filings.columns else F.lit(False)
+    rows = filings.withColumn("base_form", base).withColumn("is_amendment", F.coalesce(F.col("form").endswith("/A"), F.lit(False)) | marked)
     rows = rows.withColumn("ordinal", F.row_number().over(Window.partitionBy("cik", "base_form").orderBy("filed_date", "accession")))
     earlier = Window.partitionBy("cik", "base_form", "report_date").orderBy(F.unix_date("filed_date")).rangeBetween(Window.unboundedPreceding, -1)
-    original = F.when(~F.col("is_amendment") & F.col("report_date").isNotNull(), F.col("accession"))
-    rows = rows.withColumn("_n", F.count(original).over(earlier)).withColumn("_one", F.min(original).over(earlier))
-    rows = rows.withColumn("link_state", F.when(~F.col("is_amendment"), "NOT_APPLICABLE").when(named.isNotNull(), "LINKED").when(F.col("_n") == 1, "CANDIDATE").otherwise("UNKNOWN"))
-    state = F.col("link_state")
-    method = F.when(state == "NOT_APPLICABLE", "NOT_AN_AMENDMENT").when(state == "LINKED", "RAW_FILING_AMENDS_ACCESSION").when(state == "CANDIDATE", "FORM_REPORT_DATE_COMPATIBLE_CANDIDATE").otherwise("UNKNOWN")
-    review = F.when(state == "CANDIDATE", "REVIEW_REQUIRED").when(state == "UNKNOWN", "UNKNOWN").otherwise("NOT_REQUIRED")
-    rows = rows.withColumn("amends", F.when(state == "LINKED", named).when(state == "CANDIDATE", F.col("_one")))
-    return rows.withColumn("link_method", method).withColumn("review_status", review).drop("_n", "_one")
+    original = F.when(F.col("form") == F.col("base_form"), F.col("accession"))
+    rows = rows.withColumn("_n", F.count(original).over(earlier)).withColumn("_one", F.min(original).over(earlier)).withColumn("_described", described)
+    method = (
+        F.when(~F.col("is_amendment"), "NOT_AN_AMENDMENT").when(named.isNotNull(), "RAW_FILING_AMENDS_ACCESSION").when(F.col("_described").isNotNull(), "DEI_DESCRIPTION_ACCESSION")
+        .when(F.col("_n") == 1, "FORM_REPORT_DATE_COMPATIBLE_CANDIDATE").otherwise("UNKNOWN")
+    )
+    rows = rows.withColumn("link_method", method)
+    how = F.col("link_method")
+    state = F.when(how == "NOT_AN_AMENDMENT", "NOT_APPLICABLE").when(how.isin("RAW_FILING_AMENDS_ACCESSION", "DEI_DESCRIPTION_ACCESSION"), "LINKED").when(how == "UNKNOWN", "UNKNOWN").otherwise("CANDIDATE")
+    target = F.when(how == "RAW_FILING_AMENDS_ACCESSION", named.cast("string")).when(how == "DEI_DESCRIPTION_ACCESSION", F.col("_described")).when(how == "FORM_REPORT_DATE_COMPATIBLE_CANDIDATE", F.col("_one").cast("string"))
+    rows = rows.withColumn("link_state", state).withColumn("amends", target if description or kind == "string" else target.cast(kind))
+    review = F.when(F.col("link_state") == "CANDIDATE", "REVIEW_REQUIRED").when(F.col("link_state") == "UNKNOWN", "UNKNOWN").otherwise("NOT_REQUIRED")
+    reported = F.nullif(F.regexp_extract(text(description), ORDINAL, 1), F.lit(""))
+    raised = F.lower(F.trim(text(flag))).isin("true", "1")
+    told = F.when(text(flag).isNull(), "NOT_REPORTED").when(raised, "REPORTED_TRUE").otherwise("REPORTED_FALSE")
+    return rows.withColumn("review_status", review).withColumn("reported_ordinal", reported).withColumn("flag_state", told).drop("_n", "_one", "_described")
 
 
 def trailing_filings(filings: DataFrame, years: int, annual: str = "10-K") -> DataFrame:

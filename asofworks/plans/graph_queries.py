@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from asofworks.operators import calculation as K
 from asofworks.operators import graph as G
 from asofworks.plans.registry import Tables, query
 
@@ -18,9 +19,17 @@ def g3(t: Tables) -> DataFrame:
     return rows.select("root", "node", F.col("depth").cast("long"), F.array_join("path", "/").alias("path"))
 
 
-@query("g2_statement_hierarchy", f"{WALK_SQL} select root, cast(depth as bigint) as depth, count(*) as nodes from walk group by 1, 2")
+@query(
+    "g2_statement_hierarchy",
+    """with d as (select parent, child, case when parent like 'R%' then 1 else 2 end as depth, case when parent like 'R%' then cast(substr(parent, 2) as bigint) else n_regionkey end as region from edges left join nation on parent = concat('N', n_nationkey))
+    select 'tree' as network, parent, child, cast(depth as bigint) as depth, 'ROOT' as entry_kind from d
+    union all select 'ring', parent, child, cast(depth + region as bigint), 'CYCLE' from d
+    union all select 'ring', concat('R', r_regionkey), concat('R', (r_regionkey + 1) % 5), cast(r_regionkey + 1 as bigint), 'CYCLE' from region""",
+)
 def g2(t: Tables) -> DataFrame:
-    return G.simple_paths(t.edges, ["R0", "R1"], 2).groupBy("root", F.col("depth").cast("long").alias("depth")).agg(F.count("*").alias("nodes"))
+    ring = t.region.select(F.lit("ring").alias("network"), F.concat(F.lit("R"), "r_regionkey").alias("parent"), F.concat(F.lit("R"), (F.col("r_regionkey") + 1) % 5).alias("child"))
+    arcs = t.edges.select(F.explode(F.array(F.lit("tree"), F.lit("ring"))).alias("network"), "parent", "child").unionByName(ring)
+    return K.statement_hierarchy(arcs, ["network"]).select("network", "parent", "child", F.col("depth").cast("long"), "entry_kind")
 
 
 @query(
@@ -60,13 +69,18 @@ def g4(t: Tables) -> DataFrame:
     "a16_calculation_checks",
     """with o as (select o_custkey, year(o_orderdate) as y, case when o_custkey % 4 = 1 then 1 else min(o_orderkey) end as fact, case when o_custkey % 17 = 0 then null else sum(cast(o_totalprice as decimal(18,2))) end as value from orders group by o_custkey, year(o_orderdate), case when o_custkey % 4 = 1 then 1 else o_orderkey end),
     f as (select 'C' || o_custkey as node, y, value from o union all
-      select 'N' || c_nationkey, year(o_orderdate), sum(cast(o_totalprice as decimal(18,2))) + case when c_nationkey % 4 = 0 then 1 else 0 end from orders join customer on o_custkey = c_custkey where c_nationkey % 5 > 0 group by c_nationkey, year(o_orderdate)),
-    e2 as (select parent, child, weight from edges where not (parent like 'N%') or cast(substr(child, 2) as bigint) % 4 = 1),
-    c as (select node, y, count(*) as n, case when count(value) = count(*) then sum(value) end as v from f group by 1, 2),
-    s as (select e.parent as parent, c.y as y, sum(e.weight * c.v) as calculated, count(c.v) as k, max(c.n) as most from c join e2 e on e.child = c.node group by 1, 2), a as (select parent, count(*) as arcs from e2 group by parent),
-    r as (select s.parent as parent, cast(s.y as bigint) as fiscal_year, calculated, case when c.n is null then 'MISSING_PARENT' when c.n > 1 then 'AMBIGUOUS_PARENT' when most > 1 then 'AMBIGUOUS_INPUT' when k < arcs or c.v is null then 'MISSING_INPUT' when abs(calculated - c.v) <= 0 then 'MATCH' else 'MISMATCH' end as status
-    from s left join c on s.parent = c.node and s.y = c.y join a on s.parent = a.parent)
-    select parent, fiscal_year, status, case when status in ('MATCH', 'MISMATCH') then cast(calculated as double) end as calculated from r""",
+      select 'N' || c_nationkey, year(o_orderdate), case when c_nationkey % 11 = 2 then null else sum(cast(o_totalprice as decimal(18,2))) + case when c_nationkey % 4 = 0 then 1 else 0 end end from orders join customer on o_custkey = c_custkey where c_nationkey % 5 > 0 group by c_nationkey, year(o_orderdate)
+      union all select 'N1', 1996, 5),
+    e2 as (select 'all' as network, parent, child, case when ordinal % 1000 = 3 then null else weight end as weight from edges
+      union all select 'some', parent, child, weight from edges where parent like 'N%' and ordinal % 4 = 1
+      union all select 'some', parent, child, weight from edges where parent = 'N6' and ordinal % 4 = 1),
+    heads as (select network, parent, count(*) <> count(distinct child) as twice from e2 group by 1, 2),
+    c as (select node, y, count(*) as n, max(value) as v from f group by 1, 2),
+    p as (select heads.*, c.y as y, c.n as n, c.v as v from heads left join c on c.node = heads.parent),
+    i as (select p.network as network, p.parent as parent, p.y as y, p.n as n, p.v as v, p.twice as twice, e2.child as child, e2.weight * x.v as part, case when weight is null then 'INVALID_WEIGHT' when x.node is null and e2.child in (select node from f) then 'INCOMPATIBLE_SCOPE' when x.node is null then 'MISSING_INPUT' when x.n > 1 then 'AMBIGUOUS_INPUT' when x.v is null then 'NONFINITE_OR_NIL_INPUT' end as problem
+      from p join e2 on e2.network = p.network and e2.parent = p.parent left join c x on x.node = e2.child and x.y = p.y),
+    r as (select network, parent, y, n, v, sum(part) as total, coalesce(case when n > 1 then 'AMBIGUOUS_PARENT' when n is null then 'MISSING_PARENT' when v is null then 'NONFINITE_OR_NIL_PARENT' when twice then 'DUPLICATE_RELATIONSHIP_INPUT' end, arg_min(problem, child) filter (where problem is not null)) as why from i group by network, parent, y, n, v, twice)
+    select network, parent, cast(y as varchar) as fiscal_year, coalesce(why, case when total = v then 'MATCH' else 'MISMATCH' end) as status, cast(case when why is null then total end as double) as calculated, cast(case when why is null then total - v end as double) as difference from r""",
 )
 def a16(t: Tables) -> DataFrame:
     price = F.col("o_totalprice").cast("decimal(18,2)")
@@ -75,24 +89,37 @@ def a16(t: Tables) -> DataFrame:
     own = t.orders.groupBy("o_custkey", year, one.alias("fact")).agg(F.sum(price).alias("value"))
     own = own.select(F.concat(F.lit("C"), "o_custkey").alias("node"), "fiscal_year", F.when(F.col("o_custkey") % 17 != 0, F.col("value")).alias("value"))
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).where("c_nationkey % 5 > 0")
-    nation = joined.groupBy("c_nationkey", year).agg(F.sum(price).alias("_s")).select(F.concat(F.lit("N"), "c_nationkey").alias("node"), "fiscal_year", (F.col("_s") + F.when(F.col("c_nationkey") % 4 == 0, 1).otherwise(0)).alias("value"))
-    arcs = t.edges.where(~F.col("parent").startswith("N") | (F.substring("child", 2, 20).cast("long") % 4 == 1))
-    rows = G.calculation_checks(own.unionByName(nation), arcs, ["fiscal_year"], "node", "value")
-    return rows.select("parent", "fiscal_year", "status", F.col("calculated").cast("double"))
+    total = F.when(F.col("c_nationkey") % 11 != 2, F.col("_s") + F.when(F.col("c_nationkey") % 4 == 0, 1).otherwise(0))
+    nation = joined.groupBy("c_nationkey", year).agg(F.sum(price).alias("_s")).select(F.concat(F.lit("N"), "c_nationkey").alias("node"), "fiscal_year", total.alias("value"))
+    second = t.spark.sql("select 'N1' as node, 1996L as fiscal_year, cast(5 as decimal(18,2)) as value")
+    some = t.edges.where(F.col("parent").startswith("N") & (F.col("ordinal") % 4 == 1)).select("parent", "child", "weight")
+    some = some.unionByName(some.where("parent = 'N6'")).withColumn("network", F.lit("some"))
+    arcs = t.edges.select(F.lit("all").alias("network"), "parent", "child", F.when(F.col("ordinal") % 1000 != 3, F.col("weight")).alias("weight")).unionByName(some)
+    rows = K.calculation_checks(own.unionByName(nation).unionByName(second), arcs, ["fiscal_year"], "node", "value", ["network"])
+    return rows.select("network", "parent", F.col("fiscal_year").cast("string"), "status", F.col("calculated").cast("double"), F.col("difference").cast("double"))
 
 
 @query(
     "a18_interval_checks",
-    """with f as (select 'N' || c_nationkey as node, sum(round(c_acctbal)) as v, 0.5 * count(*) as h, n_regionkey as r from customer join nation on c_nationkey = n_nationkey group by 1, 4),
-    p as (select 'R' || n_regionkey as node, sum(round(c_acctbal)) + case when n_regionkey % 2 = 0 then 5000 else 0 end as v, 0.5 as h from customer join nation on c_nationkey = n_nationkey group by n_regionkey)
-    select p.node as parent, sum(f.v - f.h) as sum_lo, sum(f.v + f.h) as sum_hi, case when sum(f.v - f.h) <= p.v + p.h and p.v - p.h <= sum(f.v + f.h) then 'VERIFIED' else 'CALCULATION_ROUNDING_MISMATCH' end as status from p join f on p.node = 'R' || f.r group by p.node, p.v, p.h""",
+    """with f as (select 'N' || c_nationkey as node, sum(round(c_acctbal)) as v, 0.5 * count(*) as h, n_regionkey as r from customer join nation on c_nationkey = n_nationkey where c_nationkey <> 8 group by 1, 4),
+    p as (select 'R' || n_regionkey as node, n_regionkey as r, sum(round(c_acctbal)) + case when n_regionkey % 2 = 0 then 5000 else 0 end as v, 0.5 as h from customer join nation on c_nationkey = n_nationkey group by n_regionkey),
+    s as (select r, sum(v - h) as lo, sum(v + h) as hi from f group by r),
+    k as (select p.node as parent, p.r as r, p.v - p.h as lo, p.v + p.h as hi, s.lo as sum_lo, s.hi as sum_hi from p join s on p.r = s.r),
+    w as (select 'plain' as network, *, case when r = 2 then 'CALCULATION_CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT' end as why from k
+      union all select 'odd', *, case when r = 1 then 'CALCULATION_NETWORK_CYCLE' when r = 2 then 'CALCULATION_CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT' when r in (3, 4) then 'CALCULATION_CHILD_IDENTITY_OR_WEIGHT_UNSUPPORTED' end from k
+      union all select 'odd', f.node, r, v - h, v + h, null, null, 'CALCULATION_NETWORK_CYCLE' from f where r = 1)
+    select network, parent, case when why is null then sum_lo end as sum_lo, case when why is null then sum_hi end as sum_hi, coalesce(why, case when sum_lo <= hi and lo <= sum_hi then 'VERIFIED' else 'CALCULATION_ROUNDING_MISMATCH' end) as status from w""",
 )
 def a18(t: Tables) -> DataFrame:
     base = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).withColumn("b", F.round("c_acctbal"))
-    n = base.groupBy("c_nationkey").agg(F.sum("b").alias("v"), (F.count("*") * F.lit(0.5)).alias("h")).select(F.lit(1).alias("scope"), F.concat(F.lit("N"), "c_nationkey").alias("node"), (F.col("v") - F.col("h")).alias("lo"), (F.col("v") + F.col("h")).alias("hi"))
+    n = base.where("c_nationkey <> 8").groupBy("c_nationkey").agg(F.sum("b").alias("v"), (F.count("*") * F.lit(0.5)).alias("h")).select(F.lit(1).alias("scope"), F.concat(F.lit("N"), "c_nationkey").alias("node"), (F.col("v") - F.col("h")).alias("lo"), (F.col("v") + F.col("h")).alias("hi"))
     r = base.groupBy("n_regionkey").agg(F.sum("b").alias("v")).withColumn("v", F.col("v") + F.when(F.col("n_regionkey") % 2 == 0, 5000).otherwise(0))
     r = r.select(F.lit(1).alias("scope"), F.concat(F.lit("R"), "n_regionkey").alias("node"), (F.col("v") - 0.5).alias("lo"), (F.col("v") + 0.5).alias("hi"))
-    return G.interval_checks(n.unionByName(r), t.edges, ["scope"], "node").select("parent", "sum_lo", "sum_hi", "status")
+    plain = t.edges.where(F.col("parent").startswith("R")).select("parent", "child", "weight")
+    odd = plain.withColumn("weight", F.when(F.col("parent") == "R4", 0).otherwise(F.col("weight"))).unionByName(plain.where("parent = 'R3'"))
+    back = plain.where("parent = 'R1'").select(F.col("child").alias("parent"), F.col("parent").alias("child"), "weight")
+    arcs = plain.withColumn("network", F.lit("plain")).unionByName(odd.unionByName(back).withColumn("network", F.lit("odd")))
+    return K.interval_checks(n.unionByName(r), arcs, ["scope"], "node", ["network"]).select("network", "parent", "sum_lo", "sum_hi", "status")
 
 
 @query(

@@ -116,18 +116,22 @@ def j12(t: Tables) -> DataFrame:
 
 @query(
     "w15_filing_ledger",
-    """with r as (select cik, accession, form, filed_date, cast(date_trunc('quarter', report_date) as date) as report_date, regexp_replace(form, '/A$', '') as base_form, form like '%/A' as is_amendment, case when accession % 9 = 0 then accession - 1 end as named from filings),
+    """with r as (select cik, accession, form, filed_date, case when accession % 10 <> 0 then cast(date_trunc('quarter', report_date) as date) end as report_date, regexp_replace(form, '/A$', '') as base_form, form like '%/A' as is_amendment, case when accession % 9 = 0 then cast(accession - 1 as varchar) when accession % 9 = 1 then ' ' end as named,
+        case accession % 7 when 1 then concat('Amendment No. ', accession % 5, ' to ', lpad(cast(cik as varchar), 10, '0'), '-20-000007') when 2 then '0000000001-20-000001 and 0000000002-20-000002' when 3 then 'amendment 3' end as said from filings),
     l as (select r.*, row_number() over (partition by cik, base_form order by filed_date, accession) as ordinal from r),
-    c as (select a.accession as accession, count(*) as n, min(o.accession) as one from l a join l o on a.cik = o.cik and a.base_form = o.form and a.report_date = o.report_date and o.filed_date < a.filed_date where a.is_amendment group by 1),
-    s as (select l.*, c.one as one, case when not is_amendment then 'NOT_APPLICABLE' when named is not null then 'LINKED' when n = 1 then 'CANDIDATE' else 'UNKNOWN' end as link_state from l left join c on l.accession = c.accession)
-    select cik, accession, base_form, is_amendment, cast(ordinal as bigint) as ordinal, link_state, cast(case link_state when 'LINKED' then named when 'CANDIDATE' then one end as varchar) as amends,
-      case link_state when 'NOT_APPLICABLE' then 'NOT_AN_AMENDMENT' when 'LINKED' then 'RAW_FILING_AMENDS_ACCESSION' when 'CANDIDATE' then 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' else 'UNKNOWN' end as link_method,
-      case link_state when 'CANDIDATE' then 'REVIEW_REQUIRED' when 'UNKNOWN' then 'UNKNOWN' else 'NOT_REQUIRED' end as review_status from s""",
+    c as (select a.accession as accession, count(*) as n, min(o.accession) as one from l a join l o on a.cik = o.cik and a.base_form = o.form and coalesce(cast(a.report_date as varchar), '') = coalesce(cast(o.report_date as varchar), '') and o.filed_date < a.filed_date where a.is_amendment group by 1),
+    s as (select l.*, c.one as one, case when not is_amendment then 'NOT_AN_AMENDMENT' when trim(named) <> '' then 'RAW_FILING_AMENDS_ACCESSION' when accession % 7 = 1 then 'DEI_DESCRIPTION_ACCESSION' when n = 1 then 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' else 'UNKNOWN' end as link_method from l left join c on l.accession = c.accession)
+    select cik, accession, base_form, is_amendment, cast(ordinal as bigint) as ordinal, link_method, case link_method when 'RAW_FILING_AMENDS_ACCESSION' then named when 'DEI_DESCRIPTION_ACCESSION' then substr(said, 19, 20) when 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then cast(one as varchar) end as amends,
+      case when link_method = 'NOT_AN_AMENDMENT' then 'NOT_APPLICABLE' when link_method = 'UNKNOWN' then 'UNKNOWN' when link_method = 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then 'CANDIDATE' else 'LINKED' end as link_state,
+      case link_method when 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then 'REVIEW_REQUIRED' when 'UNKNOWN' then 'UNKNOWN' else 'NOT_REQUIRED' end as review_status, case when accession % 7 = 1 then cast(accession % 5 as varchar) end as reported_ordinal from s""",
 )
 def w15(t: Tables) -> DataFrame:
-    filings = t.filings.withColumn("report_date", F.trunc("report_date", "quarter")).withColumn("named", F.when(F.col("accession") % 9 == 0, F.col("accession") - 1))
-    rows = P.filing_ledger(filings, "named")
-    return rows.select("cik", "accession", "base_form", "is_amendment", F.col("ordinal").cast("long"), "link_state", F.col("amends").cast("string"), "link_method", "review_status")
+    at = lambda k: F.col("accession") % k
+    named = F.when(at(9) == 0, (F.col("accession") - 1).cast("string")).when(at(9) == 1, " ")
+    said = F.when(at(7) == 1, F.concat(F.lit("Amendment No. "), at(5), F.lit(" to "), F.lpad(F.col("cik").cast("string"), 10, "0"), F.lit("-20-000007"))).when(at(7) == 2, "0000000001-20-000001 and 0000000002-20-000002").when(at(7) == 3, "amendment 3")
+    filings = t.filings.withColumn("report_date", F.when(at(10) != 0, F.trunc("report_date", "quarter"))).withColumn("named", named).withColumn("said", said)
+    rows = P.filing_ledger(filings, "named", "said")
+    return rows.select("cik", "accession", "base_form", "is_amendment", F.col("ordinal").cast("long"), "link_state", "amends", "link_method", "review_status", "reported_ordinal")
 
 
 @query(

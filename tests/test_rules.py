@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 from asofworks.functions import scalars as S
-from asofworks.operators import composed, graph, metrics, panels, periods, prices, quarters, screening, selection, setops
+from asofworks.operators import calculation, composed, graph, metrics, panels, periods, prices, quarters, screening, selection, setops
 from asofworks.sources import tables
 from pyspark.sql import functions as F
 
@@ -135,11 +135,48 @@ def test_a_missing_quarter_is_never_summed_away(spark):
     assert [panels.eps_ttm_reviewed(rows, mapping, ["k"], "c", a).select("total", "reason").first() for a in (5, 6)] == [(None, "INPUT_UNAVAILABLE"), (40, None)]
 
 
-def test_a_child_without_a_value_is_a_missing_input(spark):
-    arcs = spark.createDataFrame([("p", "x", 1), ("p", "y", -1), ("q", "x", 1)], "parent string, child string, weight int")
-    facts = spark.createDataFrame([(1, "p", 5), (1, "x", 8), (1, "y", 3), (2, "p", 8), (2, "x", 8), (2, "y", None), (3, "p", 5), (3, "x", 8), (3, "x", 8), (3, "y", 3), (4, "p", None), (4, "x", 1), (4, "y", 1), (5, "p", 5), (5, "x", 8), (5, "y", 2)], "s long, node string, value long")
-    got = {(r.s, r.parent): r.status for r in graph.calculation_checks(facts, arcs, ["s"], "node", "value").collect()}
-    assert {k: got[k, "p"] for k in range(1, 6)} == {1: "MATCH", 2: "MISSING_INPUT", 3: "AMBIGUOUS_INPUT", 4: "MISSING_INPUT", 5: "MISMATCH"} and got[1, "q"] == "MISSING_PARENT"
+def test_calculation_checks_by_the_rules(spark):
+    arcs = spark.createDataFrame([("f", "p", "x", 1, 1), ("f", "p", "y", -1, 2), ("f", "q", "x", 1, 1), ("f", "d", "x", 1, 1), ("f", "d", "x", 1, 2), ("f", "w", "x", None, 1), ("f", "o", "z", 1, 1), ("g", "p", "x", 1, 1)], "filing string, parent string, child string, weight int, place int")
+    values = {1: (5, 8, 3), 2: (8, 8, "none"), 4: (None, 1, 1), 5: (5, 8, 2), 6: (5, "none", "none"), 7: (1, 8, None)}
+    facts = [("f", s, n, v) for s, row in values.items() for n, v in zip("pxy", row, strict=True) if v != "none"]
+    facts += [("f", 3, "p", 5), ("f", 3, "x", 8), ("f", 3, "x", 8), ("f", 3, "y", 3), ("f", 8, "p", 1), ("f", 8, "p", 1), ("f", 1, "d", 16), ("f", 1, "w", 8), ("f", 1, "o", 8)]
+    facts = spark.createDataFrame(facts, "filing string, s long, node string, value long")
+    rows = calculation.calculation_checks(facts, arcs, ["s"], "node", "value", filing=["filing"], order=["place"]).collect()
+    got = {(r.filing, r.s, r.parent): r.status for r in rows}
+    assert len(rows) == len(got) == 13
+    assert {k: got["f", k, "p"] for k in range(1, 9)} == {1: "MATCH", 2: "INCOMPATIBLE_SCOPE", 3: "AMBIGUOUS_INPUT", 4: "NONFINITE_OR_NIL_PARENT", 5: "MISMATCH", 6: "INCOMPATIBLE_SCOPE", 7: "NONFINITE_OR_NIL_INPUT", 8: "AMBIGUOUS_PARENT"}
+    assert (got["f", None, "q"], got["g", None, "p"], got["f", 1, "d"], got["f", 1, "w"], got["f", 1, "o"]) == ("MISSING_PARENT", "MISSING_PARENT", "DUPLICATE_RELATIONSHIP_INPUT", "INVALID_WEIGHT", "MISSING_INPUT")
+    by = {(r.s, r.parent): r for r in rows if r.filing == "f"}
+    assert (by[5, "p"].calculated, by[5, "p"].difference, by[8, "p"].calculated) == (6, 1, None) and by[8, "p"].issues == ["AMBIGUOUS_PARENT", "INCOMPATIBLE_SCOPE"]
+
+
+def test_interval_checks_reject_cycles_and_unsupported_arcs(spark):
+    arcs = [("n", "p", "x", 1), ("n", "p", "y", -1), ("n", "a", "b", 1), ("n", "b", "c", 1), ("n", "c", "b", 1), ("n", "z", "x", 0), ("n", "t", "x", 1), ("n", "t", "x", 1), ("n", "m", "x", 1), ("n", "m", "gone", 1), ("m", "a", "b", 1)]
+    arcs = spark.createDataFrame(arcs, "net string, parent string, child string, weight int")
+    facts = spark.createDataFrame([(1, n, lo, hi) for n, lo, hi in [("p", 1, 2), ("x", 5, 6), ("y", 3, 4), ("a", 7, 7), ("b", 7, 7), ("c", 7, 7), ("z", 0, 0), ("t", 10, 12), ("m", 5, 6)]] + [(2, "p", 9, 9), (2, "x", 5, 6), (2, "x", 6, 7), (2, "y", -4, -4)], "s long, node string, lo long, hi long")
+    rows = calculation.interval_checks(facts, arcs, ["s"], "node", ["net"]).collect()
+    got = {(r.net, r.s, r.parent): r.status.removeprefix("CALCULATION_") for r in rows}
+    assert got == {("n", 1, "p"): "VERIFIED", ("n", 2, "p"): "ROUNDING_MISMATCH", ("n", 1, "a"): "NETWORK_CYCLE", ("n", 1, "b"): "NETWORK_CYCLE", ("n", 1, "c"): "NETWORK_CYCLE", ("n", 1, "z"): "CHILD_IDENTITY_OR_WEIGHT_UNSUPPORTED",
+                   ("n", 1, "t"): "CHILD_IDENTITY_OR_WEIGHT_UNSUPPORTED", ("n", 1, "m"): "CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT", ("m", 1, "a"): "VERIFIED"}
+
+
+def test_a_hierarchy_loses_no_arc(spark):
+    arcs = [("t", "r", "a"), ("t", "r", "b"), ("t", "a", "c"), ("t", "b", "c"), ("t", "c", "d"), ("c", "y", "x"), ("c", "x", "y"), ("c", "x", "leaf"), ("s", "o", "o"), ("m", "r", "a"), ("m", "q", "p"), ("m", "p", "q"), ("m", "v", "u"), ("m", "u", "v")]
+    rows = calculation.statement_hierarchy(spark.createDataFrame(arcs, "net string, parent string, child string"), ["net"]).collect()
+    got = {(r.net, r.parent, r.child): (r.depth, r.entry_kind) for r in rows}
+    assert len(rows) == len(arcs) == len(got)
+    assert got == {("t", "r", "a"): (1, "ROOT"), ("t", "r", "b"): (1, "ROOT"), ("t", "a", "c"): (2, "ROOT"), ("t", "b", "c"): (2, "ROOT"), ("t", "c", "d"): (3, "ROOT"), ("c", "x", "y"): (1, "CYCLE"), ("c", "x", "leaf"): (1, "CYCLE"), ("c", "y", "x"): (2, "CYCLE"), ("s", "o", "o"): (1, "CYCLE"),
+                   ("m", "r", "a"): (1, "ROOT"), ("m", "p", "q"): (1, "CYCLE"), ("m", "q", "p"): (2, "CYCLE"), ("m", "u", "v"): (1, "CYCLE"), ("m", "v", "u"): (2, "CYCLE")}
+    assert calculation.statement_hierarchy(spark.createDataFrame([], "net string, parent string, child string"), ["net"]).count() == 0
+
+
+def test_amendments_by_name_blank_name_and_description(spark):
+    rows = [("a", "10-K", D(2020, 2, 1), None, None, None, None), ("b", "10-K/A", D(2020, 3, 1), None, "  ", None, "TRUE"), ("c", "10-K/A", D(2020, 3, 2), None, "z", "0000000001-20-000001", "false"), ("d", "10-K/A", D(2020, 3, 3), D(2019, 1, 1), "", "Amendment No. 2 of 0000000001-20-000001, see 0000000001-20-000001", None),
+            ("e", "10-K/A", D(2020, 3, 4), D(2019, 1, 1), None, "0000000001-20-000001 0000000001-20-000002", "1")]
+    df = spark.createDataFrame([(1, *r) for r in rows], "cik long, accession string, form string, filed_date date, report_date date, named string, said string, flag string")
+    got = {r.accession: (r.link_method, r.amends, r.reported_ordinal, r.flag_state) for r in periods.filing_ledger(df, "named", "said", "flag").collect()}
+    assert got == {"a": ("NOT_AN_AMENDMENT", None, None, "NOT_REPORTED"), "b": ("FORM_REPORT_DATE_COMPATIBLE_CANDIDATE", "a", None, "REPORTED_TRUE"), "c": ("RAW_FILING_AMENDS_ACCESSION", "z", None, "REPORTED_FALSE"),
+                   "d": ("DEI_DESCRIPTION_ACCESSION", "0000000001-20-000001", "2", "NOT_REPORTED"), "e": ("UNKNOWN", None, None, "REPORTED_TRUE")}
 
 
 def test_annual_metrics_by_the_rules(spark):
