@@ -123,8 +123,8 @@ def statement_hierarchy(arcs: DataFrame, network: list[str]) -> DataFrame:
     """Every arc of each network once, with depth, the least number of steps from an entry, and entry_kind.
 
     Entries are the nodes that no arc leads to (ROOT).  Arcs that no root reaches
-    stand on or behind cycles: the smallest parent among them is a network's
-    next entry (CYCLE), until no arc is left, so none is lost.  One written table
+    stand on or behind cycles: the smallest parent among them that leads to a
+    cycle is a network's next entry (CYCLE), until no arc is left, so none is lost.  One written table
     for each level; arcs leave the rest when they are reached, so it ends on any
     graph and no path is kept.
     """
@@ -151,7 +151,7 @@ def statement_hierarchy(arcs: DataFrame, network: list[str]) -> DataFrame:
             if rest.isEmpty():
                 break
             # nothing left is reached: the next entry of each network
-            level = rest.groupBy(*network).agg(F.min("parent").alias("parent"))
+            level = cyclic_parents(rest, network).groupBy(*network).agg(F.min("parent").alias("parent"))
             kind, depth = "CYCLE", 1
             continue
         found.append(reached)

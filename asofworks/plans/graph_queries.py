@@ -105,8 +105,8 @@ def a16(t: Tables) -> DataFrame:
     p as (select 'R' || n_regionkey as node, n_regionkey as r, sum(round(c_acctbal)) + case when n_regionkey % 2 = 0 then 5000 else 0 end as v, 0.5 as h from customer join nation on c_nationkey = n_nationkey group by n_regionkey),
     s as (select r, sum(v - h) as lo, sum(v + h) as hi from f group by r),
     k as (select p.node as parent, p.r as r, p.v - p.h as lo, p.v + p.h as hi, s.lo as sum_lo, s.hi as sum_hi from p join s on p.r = s.r),
-    w as (select 'plain' as network, *, case when r = 2 then 'CALCULATION_CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT' end as why from k
-      union all select 'odd', *, case when r = 1 then 'CALCULATION_NETWORK_CYCLE' when r = 2 then 'CALCULATION_CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT' when r in (3, 4) then 'CALCULATION_CHILD_IDENTITY_OR_WEIGHT_UNSUPPORTED' end from k
+    w as (select 'plain' as network, *, case when r = (select n_regionkey from nation where n_nationkey = 8) then 'CALCULATION_CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT' end as why from k
+      union all select 'odd', *, case when r = 1 then 'CALCULATION_NETWORK_CYCLE' when r in (3, 4) then 'CALCULATION_CHILD_IDENTITY_OR_WEIGHT_UNSUPPORTED' when r = (select n_regionkey from nation where n_nationkey = 8) then 'CALCULATION_CHILD_FACT_MISSING_IN_EQUIVALENT_CONTEXT' end from k
       union all select 'odd', f.node, r, v - h, v + h, null, null, 'CALCULATION_NETWORK_CYCLE' from f where r = 1)
     select network, parent, case when why is null then sum_lo end as sum_lo, case when why is null then sum_hi end as sum_hi, coalesce(why, case when sum_lo <= hi and lo <= sum_hi then 'VERIFIED' else 'CALCULATION_ROUNDING_MISMATCH' end) as status from w""",
 )
