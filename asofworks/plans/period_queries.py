@@ -121,7 +121,7 @@ def j12(t: Tables) -> DataFrame:
     l as (select r.*, row_number() over (partition by cik, base_form order by filed_date, accession) as ordinal from r),
     c as (select a.accession as accession, count(*) as n, min(o.accession) as one from l a join l o on a.cik = o.cik and a.base_form = o.form and coalesce(cast(a.report_date as varchar), '') = coalesce(cast(o.report_date as varchar), '') and o.filed_date < a.filed_date where a.is_amendment group by 1),
     s as (select l.*, c.one as one, case when not is_amendment then 'NOT_AN_AMENDMENT' when trim(named) <> '' then 'RAW_FILING_AMENDS_ACCESSION' when l.accession % 7 = 1 then 'DEI_DESCRIPTION_ACCESSION' when n = 1 then 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' else 'UNKNOWN' end as link_method from l left join c on l.accession = c.accession)
-    select cik, accession, base_form, is_amendment, cast(ordinal as bigint) as ordinal, link_method, case link_method when 'RAW_FILING_AMENDS_ACCESSION' then named when 'DEI_DESCRIPTION_ACCESSION' then substr(said, 19, 20) when 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then cast(one as varchar) end as amends,
+    select cik, accession, base_form, is_amendment, cast(ordinal as bigint) as ordinal, link_method, case link_method when 'RAW_FILING_AMENDS_ACCESSION' then named when 'DEI_DESCRIPTION_ACCESSION' then substr(said, 20, 20) when 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then cast(one as varchar) end as amends,
       case when link_method = 'NOT_AN_AMENDMENT' then 'NOT_APPLICABLE' when link_method = 'UNKNOWN' then 'UNKNOWN' when link_method = 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then 'CANDIDATE' else 'LINKED' end as link_state,
       case link_method when 'FORM_REPORT_DATE_COMPATIBLE_CANDIDATE' then 'REVIEW_REQUIRED' when 'UNKNOWN' then 'UNKNOWN' else 'NOT_REQUIRED' end as review_status, case when accession % 7 = 1 then cast(accession % 5 as varchar) end as reported_ordinal from s""",
 )

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 from asofworks.functions import scalars as S
-from asofworks.operators import calculation, composed, graph, metrics, panels, periods, prices, quarters, screening, selection, setops
+from asofworks.operators import calculation, composed, graph, metrics, panels, periods, prices, quarters, registry, screening, selection, setops
 from asofworks.sources import tables
 from pyspark.sql import functions as F
 
@@ -282,3 +282,76 @@ def test_sources(spark, tmp_path):
         raw.write.partitionBy("cik").parquet(str(tmp_path / "raw" / name)) if name == "unit" else raw.write.parquet(str(tmp_path / "raw" / name))
     got = tables.read_raw(spark, str(tmp_path / "raw"), ("filing", "unit"), ["9"])
     assert got["filing"].count() == 1 and got["unit"].count() == 1
+
+
+CATALOG = "metric string, version string, status string, reviewed_at date, kind string, inputs array<string>, basis string, unit string"
+
+
+def test_definitions_are_chosen_by_date_and_sorted_by_inputs(spark):
+    day = lambda y: D(y, 1, 1)
+    rows = [("a", "1", "ACTIVE", day(2020), "REPORTED", [], "DECLARED", "USD"), ("c", "1", "ACTIVE", day(2020), "PERCENT", ["b", "a"], "DECLARED", "PERCENT"), ("b", "1", "ACTIVE", day(2020), "DIFFERENCE", ["a", "a"], "DECLARED", "USD"), ("b", "2", "ACTIVE", day(2021), "PERCENT", ["a", "a"], "DECLARED", "PERCENT"),
+            ("b", "3", "DRAFT", day(2021), "PERCENT", ["x", "a"], "DECLARED", "PERCENT"), ("d", "1", "ACTIVE", day(2022), "PERCENT", ["gone", "a"], "DECLARED", "PERCENT")]
+    table = spark.createDataFrame(rows, CATALOG)
+    assert [(d.metric, d.version) for d in registry.active(table, "2020-06-01")] == [("a", "1"), ("b", "1"), ("c", "1")]
+    assert [(d.metric, d.kind) for d in registry.active(table, "2021-06-01")] == [("a", "REPORTED"), ("b", "PERCENT"), ("c", "PERCENT")]
+    assert registry.active(table, "2019-06-01") == [] and [[d.metric for d in p] for p in registry.passes(registry.active(table, "2021-06-01"))] == [["b"], ["c"]]
+    with pytest.raises(ValueError, match="gone"):
+        registry.active(table, "2022-06-01")
+    circle = spark.createDataFrame([("a", "1", "ACTIVE", day(2020), "PERCENT", ["b", "b"], "DECLARED", "PERCENT"), ("b", "1", "ACTIVE", day(2020), "PERCENT", ["a", "a"], "DECLARED", "PERCENT")], CATALOG)
+    with pytest.raises(ValueError, match="depend on each other"):
+        registry.active(circle, "2020-06-01")
+    with pytest.raises(ValueError, match="several versions"):
+        registry.active(table.unionByName(table.withColumn("version", F.lit("9"))), "2020-06-01")
+
+
+def quarter_cells(spark, **rows):
+    """Cells of the rows' metrics; each quarter is a value, or a value and what else it has."""
+    out = []
+    for metric, values in rows.items():
+        for bucket, v in values.items():
+            for one in v if isinstance(v, list) else [v]:
+                value, more = one if isinstance(one, tuple) else (one, {})
+                y, q = divmod(bucket - 1, 4)
+                cell = {"company": 1, "metric": f"quarter_{metric}", "bucket": bucket, "coordinate": bucket, "start": D(y, q * 3 + 1, 1), "end": D(y + q // 3, (q + 1) % 4 * 3 + 1, 1), "filed": D(y + 1, 1, 1), "filing": f"f{bucket}", "value": None if value is None else Decimal(value), "unit": "USD", "dims": "", "basis": "b", "versions": "s", "mapping": "m", "concept": metric, "combined_debt": True, "reasons": []} | more
+                out.append(tuple(cell.values()))
+    return spark.createDataFrame(out, "company long, metric string, bucket long, coordinate long, start date, end date, filed date, filing string, value decimal(20,4), unit string, dims string, basis string, versions string, mapping string, concept string, combined_debt boolean, reasons array<string>")
+
+
+def evaluated(spark, spine, as_of="2020-06-01", **rows):
+    catalog = registry.quarter_catalog(spark, D(2020, 1, 1), D(2021, 1, 1))
+    return {(r.metric.removeprefix("quarter_"), r.bucket): (r.value, r.reason) for r in registry.evaluate(quarter_cells(spark, **rows), spine, registry.active(catalog, as_of)).collect()}
+
+
+def test_quarter_metrics_of_one_quarter(spark):
+    b = 8001
+    other = {"filing": "other"}
+    got = evaluated(spark, [b, b + 1], revenue={b: 200, b + 2: 1}, gross_profit={b: 50}, operating_income={b: (10, other)}, net_income={b: (5, {"basis": None})}, cfo={b: 30}, capex={b: 10}, assets={b: [1, 2]}, liabilities={b: 9}, equity={b: -3}, debt={b: (9, {"combined_debt": False})}, cash={b: 1}, current_assets={b: -1}, current_liabilities={b: 3}, inventory={b: (4, {"reasons": ["QUALITY_BLOCKED", "UNIT_NOT_USD"]})}, receivables={b: None})
+    want = {"revenue": (200.0, None), "gross_margin": (25.0, None), "operating_margin": (None, "SOURCE_FILING_MISMATCH"), "net_margin": (None, "BASIS_INCOMPATIBLE"), "standardized_fcf": (20.0, None), "fcf_margin": (10.0, None), "assets": (None, "MULTIPLE_CANDIDATES"), "liabilities_to_assets": (None, "MULTIPLE_CANDIDATES"), "liabilities_to_equity": (None, "NEGATIVE_EQUITY"),
+            "net_debt": (None, "DIRECT_COMBINED_DEBT_UNAVAILABLE"), "current_ratio": (None, "NEGATIVE_NUMERATOR"), "inventory": (None, "QUALITY_BLOCKED"), "receivables": (None, "INPUT_NOT_REPORTED"), "research": (None, "INPUT_NOT_REPORTED"), "revenue_qoq": (None, "MISSING_INPUT"), "ttm_revenue": (None, "INPUTS_NOT_COMPATIBLE")}
+    assert {k: got[k, b] for k in want} == want and len(got) == 82
+    assert got["revenue", b + 1] == got["gross_margin", b + 1] == (None, "NO_FILING_AS_OF_CUTOFF")
+
+
+def test_quarter_metrics_across_quarters(spark):
+    q = 8005
+    year = {k: 100 + k - q for k in range(q - 4, q + 1)}
+    fine = {"revenue": year, "gross_profit": {k: 40 for k in year}, "cfo": {k: 30 for k in year}, "capex": {k: 10 for k in year}}
+    got = evaluated(spark, [q], **fine)
+    total = 97 + 98 + 99 + 100
+    assert (got["ttm_revenue", q], got["ttm_gross_margin", q], got["ttm_standardized_fcf", q]) == ((float(total), None), (160 / total * 100, None), (80.0, None))
+    assert got["revenue_qoq", q] == (1 / 99 * 100, None) and got["revenue_yoy", q] == (4 / 96 * 100, None)
+    change = lambda at, more, value=99: evaluated(spark, [q], **(fine | {"revenue": year | {at: (value, more)}}))
+    undeclared = {k: (v, {"basis": None}) for k, v in year.items()}
+    assert evaluated(spark, [q], revenue=undeclared)["ttm_revenue", q] == (None, "INPUTS_NOT_COMPATIBLE")
+    assert evaluated(spark, [q], "2021-06-01", revenue=undeclared)["ttm_revenue", q] == (float(total), None)
+    short = {k: (v, {"basis": None, "start": D(2000, 1, 1), "end": D(2000, 1, 1)}) for k, v in year.items()}
+    assert evaluated(spark, [q], "2021-06-01", revenue=short)["ttm_revenue", q] == (None, "INPUTS_NOT_COMPATIBLE")
+    moved = change(q - 1, {"end": D(2000, 11, 30)})
+    assert (moved["ttm_revenue", q][1], moved["revenue_qoq", q][1], moved["ttm_gross_margin", q][1]) == ("INPUTS_NOT_CONTIGUOUS", "PERIOD_NOT_CONTIGUOUS", "INPUTS_NOT_CONTIGUOUS")
+    renamed = change(q - 1, {"concept": "other"})
+    assert (renamed["ttm_revenue", q][1], renamed["revenue_qoq", q][1], renamed["revenue_yoy", q][1]) == ("INPUTS_NOT_COMPATIBLE", "SEMANTIC_IDENTITY_MISMATCH", None)
+    claimed = evaluated(spark, [q], **(fine | {"revenue": year | {q - 5: (7, {"coordinate": q - 1})}}))
+    assert (claimed["revenue_qoq", q][1], claimed["ttm_revenue", q][1], claimed["revenue_yoy", q][1]) == ("MISSING_INPUT", "INPUTS_NOT_COMPATIBLE", None)
+    filed = change(q - 2, {"filing": "other"}, 98)
+    assert filed["ttm_revenue", q] == (float(total), None) and filed["ttm_gross_margin", q] == (None, "SOURCE_FILING_MISMATCH")
+    assert change(q - 4, {}, 0)["revenue_yoy", q][1] == "NON_POSITIVE_DENOMINATOR" and change(q, {}, -1)["revenue_yoy", q][1] == "NEGATIVE_CURRENT_VALUE"
