@@ -24,7 +24,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,15 +61,14 @@ class WordTokenizer:
     def __init__(self, name: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
         path = name if os.path.isabs(name) else public_tokenizers.path(name)
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        self.suffix = model["end_of_word_suffix"]
+        self.path = path
+        self.suffix = self.whole.model.end_of_word_suffix or ""
         vocab = self.whole.get_vocab(with_added_tokens=True)
         size = 1 + max(vocab.values())
         tokens = [""] * size
@@ -84,9 +83,17 @@ class WordTokenizer:
         self.spelt = np.frombuffer(b"".join(spelt), np.uint8)
         self.spelt_length = np.array([len(t) for t in spelt], np.int64)
         self.spelt_start = np.concatenate([[0], np.cumsum(self.spelt_length)[:-1]])
-        self.inner = models.BPE(model["vocab"], [tuple(m) for m in model["merges"]])
         self.units = UnitCache()
 
+    @cached_property
+    def inner(self):  # noqa: ANN201
+        """The merges without the end of a word; only long words need them."""
+        from tokenizers import models
+
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        return models.BPE(model["vocab"], [tuple(m) for m in model["merges"]])
+
     def _leaf(self, symbols: str, last: bool) -> list[int]:
         """The merges of one run of symbols, the last of which ends the word if last says so."""
         return [t.id for t in (self.whole.model if last else self.inner).tokenize(symbols)]
