@@ -21,7 +21,7 @@ DROPOUT, SEED = 0.1, 20240607
 #: Symbols of a unit up to which units are worked on side by side; a longer unit has an agenda of its own.
 SIDE_BY_SIDE = 32
 #: Bytes of units and their merges that a worker keeps, about.
-UNITS = 1 << 24
+UNITS = 1 << 25
 
 _NONE = np.int32(1 << 30)
 _SPACE = 0x2581

@@ -26,8 +26,8 @@ class UnitCache:
         self._clear()
 
     def size(self) -> int:
-        """Bytes held: ids, and for each unit its key, place and length."""
-        return self.ids.nbytes + 24 * len(self.keys)
+        """Bytes in use: ids (their array may be up to twice as long), and for each unit its key, place and length."""
+        return 4 * self.used + 24 * len(self.keys)
 
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
