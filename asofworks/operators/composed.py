@@ -46,7 +46,7 @@ def review_inventory(candidates: list[tuple[str, DataFrame]], columns: list[str]
 
 
 def reviewed_quarters(candidates: DataFrame, approvals: DataFrame, keys: list[str], as_of: str) -> DataFrame:
-    """Only exactly approved candidates become values; others are REVIEW_REQUIRED."""
+    """Only exactly approved candidates become values; others are REVIEW_REQUIRED."""
     known = approvals.where(F.col("known_at") <= F.lit(as_of).cast("date")).select(*keys).distinct().withColumn("_ok", F.lit(True))
     rows = candidates.join(known, keys, "left")
     reason = F.coalesce("reason", F.when(F.col("_ok").isNull(), "REVIEW_REQUIRED"))
@@ -54,7 +54,7 @@ def reviewed_quarters(candidates: DataFrame, approvals: DataFrame, keys: list[st
 
 
 def quarter_metrics(cells: DataFrame, keys: list[str], coordinate: str, spine: list[int]) -> DataFrame:
-    """Value, QOQ and YOY rates and TTM of each cell of the spine; look-ups use all cells."""
+    """Value, QOQ and YOY rates and TTM of each cell of the spine; look-ups use all cells; registry.py has the whole catalog (C14)."""
     q = predecessor(cells, keys, coordinate, 1).withColumnRenamed("prior", "_q")
     y = predecessor(q, keys, coordinate, 4).withColumnRenamed("prior", "_y")
     t = ttm(y, keys, coordinate)

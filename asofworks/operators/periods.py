@@ -80,7 +80,7 @@ def dimension_signature(dims: DataFrame, key: str, *parts: str) -> DataFrame:
 
 
 def attach_mapping(rows: DataFrame, mapping: DataFrame, raw: str) -> DataFrame:
-    """The canonical id of a raw id; unmapped or unreviewed ids get one of their own and REVIEW_REQUIRED."""
+    """The canonical id of a raw id; unmapped or unreviewed ids get one of their own and REVIEW_REQUIRED."""
     m = mapping.select(F.col("raw_id").alias("_raw"), "canonical_id", "reviewed")
     found = rows.join(m, F.col(raw) == F.col("_raw"), "left")
     fine = F.col("canonical_id").isNotNull() & F.col("reviewed")
