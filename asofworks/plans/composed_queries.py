@@ -9,7 +9,7 @@ from asofworks.operators import composed as K
 from asofworks.operators.periods import assign_roles, classify_period
 from asofworks.plans.period_queries import CLASS_SQL
 from asofworks.plans.quarter_queries import CLASSED_SQL, classed
-from asofworks.plans.registry import Tables, query
+from asofworks.plans.registry import Tables, cents, query
 from asofworks.sources import tables as X
 
 
@@ -128,7 +128,7 @@ def c14(t: Tables) -> DataFrame:
 def c17(t: Tables) -> DataFrame:
     from asofworks.plans.price_queries import grid
 
-    d = t.customer.where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("security_id"), (F.col("c_acctbal") / 1000).cast("decimal(18,2)").alias("denominator"))
+    d = t.customer.where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("security_id"), cents(F.col("c_acctbal") / 1000).alias("denominator"))
     return K.price_timeline(grid(t), d, [1, 5, 10]).select("security_id", "session", "ratio", "below", "above", "reason")
 
 
@@ -242,7 +242,7 @@ def j11(t: Tables) -> DataFrame:
     'P' || cast(floor(v) as bigint) || 'Y' || case when floor((v - floor(v)) * 12) > 0 then cast(floor((v - floor(v)) * 12) as bigint) || 'M' else '' end as years from (select o_orderkey, cast(cast(o_totalprice / 1000 as decimal(18,2)) as decimal(20,8)) as v from orders) x""",
 )
 def p17(t: Tables) -> DataFrame:
-    rows = t.orders.withColumn("text", (F.col("o_totalprice") / 1000).cast("decimal(18,2)").cast("string"))
+    rows = t.orders.withColumn("text", cents(F.col("o_totalprice") / 1000).cast("string"))
     return rows.select("o_orderkey", K.normalize_duration("text", "durweek").alias("weeks"), K.normalize_duration("text", "durhour").alias("hours"), K.normalize_duration("text", "duryear").alias("years"))
 
 

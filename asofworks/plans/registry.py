@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cents(c: Column) -> Column:
+    """A double as decimal(18,2), rounded as DuckDB casts it: 100 c to the nearest whole number, where Spark would round c's shortest decimal form."""
+    return (F.round(c * 100) / 100).cast("decimal(18,2)")
+
+
 class Tables:
     """Tables of one directory as attributes."""
 
