@@ -37,17 +37,29 @@ STAND_INS = {
     "edges": """select concat('R', r_regionkey) as parent, concat('N', n_nationkey) as child, 1 as weight, n_nationkey as ordinal from region join nation on n_regionkey = r_regionkey
         union all select concat('N', c_nationkey), concat('C', c_custkey), 1, c_custkey from customer""",
 }
+#: Rows of a task: lines and their orders are dealt by order, and amounts of a year by company, to so many partitions that each has about these.
+ROWS_A_TASK = 250_000
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, or a stand-in by name."""
+    """A driver table, or a stand-in by name.
+
+    Stand-ins of lines are in partitions of bounded size: files of 128 MB, and
+    shuffle partitions joined up to 64 MB, hold millions of such narrow rows, and
+    the groups that a task sums before it sends them would take gigabytes.
+    """
     if name in STAND_INS:
         used = {t: table(spark, sf_dir, t) for t in TABLES if f"from {t}" in STAND_INS[name] or f"join {t}" in STAND_INS[name]}
+        parts = 0
+        if "lineitem" in used:
+            parts = max(spark.sparkContext.defaultParallelism, -(-used["lineitem"].count() // ROWS_A_TASK))
+            used |= {"lineitem": used["lineitem"].repartition(parts, "l_orderkey"), "orders": used["orders"].repartition(parts, "o_orderkey")}
         sql = STAND_INS[name]
         for t in used:
             sql = sql.replace(f"from {t}", f"from {{{t}}}").replace(f"join {t} ", f"join {{{t}}} ")
-        return spark.sql(sql, **used)
+        rows = spark.sql(sql, **used)
+        return rows.repartition(parts, "cik") if name == "annual" else rows
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,8 +1,13 @@
-"""What queries read: casts on which the two engines must agree."""
+"""What queries read: casts on which the two engines must agree, tasks of bounded size, and no table more often than needed."""
+
+import re
 
 import duckdb
 import pytest
+from asofworks.operators import composed, graph
+from asofworks.plans import registry
 from asofworks.plans.all_queries import QUERIES, SQL
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -25,3 +30,47 @@ def test_half_cents_of_doubles_round_as_in_sql(spark, ties, name):
     theirs = con.execute(SQL[name]).df()[ours.columns]
     plain = lambda frame: sorted(map(repr, frame.astype(object).where(frame.notna(), None).itertuples(index=False, name=None)))
     assert plain(ours.toPandas()) == plain(theirs)
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def scans(query):
+    """How often the query's plan reads a file of lines."""
+    return query._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey#")
+
+
+@pytest.mark.parametrize("name", ["facts", "annual"])
+def test_tasks_over_lines_hold_a_bounded_number_of_rows(spark, monkeypatch, name):
+    monkeypatch.setattr(registry, "ROWS_A_TASK", 500)
+    rows = registry.table(spark, SMALL, name)
+    most = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 1000 < rows.count()
+
+
+@pytest.mark.parametrize("name", ["c12_quarterly_metrics", "c14_quarter_catalog", "c7_derive_q2", "c7_derive_q3", "c7_derive_q4"])
+def test_what_many_branches_read_is_computed_once(spark, name):
+    assert scans(QUERIES[name](spark, SMALL)) == 0
+
+
+def test_levels_of_shares_come_from_one_pass(spark):
+    """Two sides of one join: an exchange that they share may still be planned twice."""
+    assert scans(QUERIES["c31_revenue_shares"](spark, SMALL)) <= 2
+
+
+def test_graph_drops_repeats_before_it_names_them(spark):
+    facts = spark.createDataFrame([("A", 1, "F"), ("A", 1, "F"), ("A", 1, None), (None, 2, "F")], "concept string, fact_id long, member string")
+    arcs = spark.createDataFrame([("R1", "N1"), ("R1", "N1")], "parent string, child string")
+    built = graph.build_graph(facts, arcs)
+    assert sorted(map(str, map(tuple, built.collect()))) == sorted(map(str, [("FACT_SCOPE", "concept:A", "fact:1"), ("FACT_SCOPE", None, "fact:2"), ("DIMENSION_LENS", "fact:1", "member:F"), ("DIMENSION_LENS", "fact:1", None), ("DIMENSION_LENS", "fact:2", "member:F"), ("STATEMENT_COMPONENT", "R1", "N1")]))
+    assert not re.search(r"Aggregate \[(kind|parent|child)#", built._jdf.queryExecution().optimizedPlan().toString().replace("Aggregate [parent#", "Aggregate [arcs#"))
+
+
+def test_core_cells_read_candidates_once_and_nulls_match_nothing(spark):
+    rows = spark.createDataFrame([(1, 2000, "A", 5), (1, 2000, "N", 6), (1, 2000, "R", 7), (None, 2000, "A", 8), (2, 2001, "X", 9)], "cik int, fiscal_year int, concept string, value int")
+    profile = spark.createDataFrame([("L", ["A"]), ("M", ["N", "R"])], "line_id string, concepts array<string>")
+    cells = composed.core_cells(rows, profile, ["cik", "fiscal_year"])
+    assert {(r.cik, r.line_id): (r.value, r.reason) for r in cells.collect()} == {
+        (1, "L"): (5, None), (1, "M"): (None, "MULTIPLE_CANDIDATES"), (None, "L"): (None, "MISSING"), (None, "M"): (None, "MISSING"), (2, "L"): (None, "MISSING"), (2, "M"): (None, "MISSING"),
+    }
+    assert cells._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [cik#") == 1
