@@ -123,6 +123,8 @@ def axis_timeseries(rows: DataFrame, keys: list[str], member: str, coordinate: s
 
 def revenue_shares(rows: DataFrame, scope: list[str], dims: str, value: str = "value") -> DataFrame:
     """Share of the parent whose dimensions are strictly fewer and all the row's own, where 0 <= value <= parent."""
+    # both sides of the join read one exchange of the rows
+    rows = rows.repartition(*scope)
     parent = rows.select(*scope, F.col(dims).alias("_pd"), F.col(value).alias("parent_value"))
     pairs = rows.join(parent, scope).where((F.size("_pd") < F.size(dims)) & (F.size(F.array_except("_pd", dims)) == 0))
     fine = (F.col(value) >= 0) & (F.col(value) <= F.col("parent_value")) & (F.col("parent_value") > 0)

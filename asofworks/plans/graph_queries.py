@@ -180,9 +180,8 @@ def c28(t: Tables) -> DataFrame:
 def c31(t: Tables) -> DataFrame:
     f = t.facts
     empty = F.array().cast("array<string>")
-    rows = f.groupBy("accession", F.array(F.concat(F.lit("c:"), "concept"), F.concat(F.lit("m:"), "member")).alias("dims")).agg(F.sum("value").alias("value"))
-    rows = rows.unionByName(f.groupBy("accession", F.array(F.concat(F.lit("c:"), "concept")).alias("dims")).agg(F.sum("value").alias("value")))
-    rows = rows.unionByName(f.groupBy("accession").agg(F.sum("value").alias("value")).withColumn("dims", empty))
+    c, m = F.concat(F.lit("c:"), "concept"), F.concat(F.lit("m:"), "member")
+    rows = f.select("accession", "value", F.explode(F.array(F.array(c, m), F.array(c), empty)).alias("dims")).groupBy("accession", "dims").agg(F.sum("value").alias("value"))
     out = G.revenue_shares(rows, ["accession"], "dims")
     name = lambda c: F.array_join(F.transform(c, lambda d: F.substring(d, 3, 100)), "/")
     return out.select("accession", name("dims").alias("dims"), name("_pd").alias("parent"), "share")
