@@ -12,10 +12,11 @@ from asofworks.sources.tables import scratch_path
 
 def build_graph(facts: DataFrame, arcs: DataFrame) -> DataFrame:
     """(kind, parent, child) edges without repeats: FACT_SCOPE concept to fact, DIMENSION_LENS fact to member, STATEMENT_COMPONENT from arcs (G1)."""
-    scope = facts.select(F.lit("FACT_SCOPE").alias("kind"), F.concat(F.lit("concept:"), "concept").alias("parent"), F.concat(F.lit("fact:"), F.col("fact_id").cast("string")).alias("child"))
-    lens = facts.select(F.lit("DIMENSION_LENS").alias("kind"), F.concat(F.lit("fact:"), F.col("fact_id").cast("string")).alias("parent"), F.concat(F.lit("member:"), "member").alias("child"))
-    statement = arcs.select(F.lit("STATEMENT_COMPONENT").alias("kind"), "parent", "child")
-    return scope.unionAll(lens).unionAll(statement).distinct()
+    # repeats go before names are made of the ids: equal ids make equal names, and names of several kinds never meet
+    scope = facts.select("concept", "fact_id").distinct().select(F.lit("FACT_SCOPE").alias("kind"), F.concat(F.lit("concept:"), "concept").alias("parent"), F.concat(F.lit("fact:"), F.col("fact_id").cast("string")).alias("child"))
+    lens = facts.select("fact_id", "member").distinct().select(F.lit("DIMENSION_LENS").alias("kind"), F.concat(F.lit("fact:"), F.col("fact_id").cast("string")).alias("parent"), F.concat(F.lit("member:"), "member").alias("child"))
+    statement = arcs.select("parent", "child").distinct().select(F.lit("STATEMENT_COMPONENT").alias("kind"), "parent", "child")
+    return scope.unionAll(lens).unionAll(statement)
 
 
 def walk(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_depth: int) -> DataFrame:
