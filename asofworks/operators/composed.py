@@ -132,11 +132,16 @@ def total_liabilities(cells: DataFrame, keys: list[str], role: str) -> DataFrame
 
 def core_cells(candidates: DataFrame, profile: DataFrame, keys: list[str]) -> DataFrame:
     """Each line of the profile for each key: the one eligible candidate of its concepts, or a reason."""
-    lines = profile.select("line_id", F.explode("concepts").alias("concept"))
-    n = candidates.join(lines, "concept").groupBy(*keys, "line_id").agg(F.count("*").alias("_n"), F.min("value").alias("value"))
-    grid = candidates.select(*keys).distinct().crossJoin(F.broadcast(profile.select("line_id")))
-    rows = grid.join(n, [*keys, "line_id"], "left")
-    return rows.withColumn("reason", F.when(F.col("_n").isNull(), "MISSING").when(F.col("_n") > 1, "MULTIPLE_CANDIDATES")).withColumn("value", F.when(F.col("_n") == 1, F.col("value"))).drop("_n")
+    lines = F.broadcast(profile.select(F.col("line_id").alias("_line"), F.explode("concepts").alias("concept")))
+    n = candidates.join(lines, "concept", "left").groupBy(*keys, "_line").agg(F.count("*").alias("_n"), F.min("value").alias("_least"))
+    # one row for each key: candidates are read once; a key with a null has no candidates, as in a join
+    whole = F.col("_line").isNotNull()
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    found = n.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.when(whole, F.struct("_line", F.struct("_n", "_least"))))).alias("_found"))
+    rows = found.crossJoin(F.broadcast(profile.select("line_id"))).withColumn("_x", F.try_element_at("_found", F.col("line_id")))
+    reason = F.when(F.col("_x").isNull(), "MISSING").when(F.col("_x._n") > 1, "MULTIPLE_CANDIDATES")
+    return rows.select(*keys, "line_id", F.when(F.col("_x._n") == 1, F.col("_x._least")).alias("value"), reason.alias("reason"))
 
 
 def reviewed_interpretation(cells: DataFrame, approved: DataFrame, key: str) -> DataFrame:
