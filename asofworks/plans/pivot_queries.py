@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from asofworks.operators import pivot_metrics as M
 from asofworks.plans.registry import Tables, query
+from asofworks.sources.tables import written
 
 #: Companies, rows and quarters from the facts; what is odd about a cell follows from their numbers.
 GROUPS = "select cik % 30 as company, year(filed_date) * 4 + quarter(filed_date) as coordinate, case concept when 'A' then 0 when 'N' then 1 else 2 end + 3 * (line - 1) as k, sum(value) as v from {facts} group by 1, 2, 3"
@@ -32,7 +33,7 @@ _CODE = """case when a.row_id is null or b.row_id is null then 'REQUIRED_INPUT_N
     select company, row_id, coordinate, metric, code, case when code is null then v end as value from growth union all select company, row_id, coordinate, 'COMPONENT_SHARE', code, case when code is null then v end from shares union all select company, null, coordinate, metric, code, case when code is null then v end from margins""",
 )
 def c12(t: Tables) -> DataFrame:
-    groups = t.spark.sql(GROUPS, facts=t.facts)
+    groups = written(t.spark.sql(GROUPS, facts=t.facts), "pivot")
     rows = t.spark.sql(ROWS, groups=groups)
     columns = t.spark.sql(COLUMNS, rows=rows)
     return M.quarterly_metrics(rows, columns).select("company", "row_id", "coordinate", "metric", "code", "value")

@@ -35,6 +35,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written once to the shared folder, where several branches of a plan read it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def raw_schema(table: str) -> str:
     """The schema of a raw table as DDL."""
     fields = [f.split() for f in RAW[table].split(", ")]
