@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asofworks.operators import registry as R
 from asofworks.plans.registry import Tables, query
+from asofworks.sources.tables import written
 
 #: Prepared cells of 40 companies: each line number and flag of a fact is one of the 21 reported rows; what is odd about a cell follows from its company, quarter and row.
 NAMES = [f"quarter_{r}" for r in (*R.FLOWS, *R.BALANCES)]
@@ -25,6 +26,7 @@ def _cells(t: Tables) -> DataFrame:
     k = F.when(F.col("concept") == "A", 0).when(F.col("concept") == "N", 1).otherwise(2) + 3 * (F.col("line") - 1)
     bucket = (F.year("filed_date") * 4 + F.quarter("filed_date")).cast("long")
     g = t.facts.groupBy((F.col("cik") % 40).alias("company"), bucket.alias("bucket"), k.cast("int").alias("k")).agg(F.sum("value").alias("v"))
+    g = written(g, "prepared")
     h = F.col("company") * 7 + F.col("bucket") * 3 + F.col("k") * 5
     at = lambda n: F.col("h") % n == 0
     first = F.make_date(F.floor((F.col("bucket") - 1) / 4).cast("int"), ((F.col("bucket") - 1) % 4 * 3 + 1).cast("int"), F.lit(1))
