@@ -20,8 +20,9 @@ def pair_cumulative(facts: DataFrame, scope: list[str], later: str, earlier: str
     Several pairs for one later fact are all AMBIGUOUS.
     """
     names = ["fact_id", "end_date", "value", "filed_date"]
-    a = facts.where(F.col(kind) == later).select(*scope, "start_date", *[F.col(c).alias(f"later_{c}") for c in names])
-    b = facts.where(F.col(kind) == earlier).select(*scope, "start_date", *[F.col(c).alias(f"earlier_{c}") for c in names])
+    # dealt by scope once: the join, the count and what derive_quarter joins need no other exchange
+    a = facts.where(F.col(kind) == later).select(*scope, "start_date", *[F.col(c).alias(f"later_{c}") for c in names]).repartition(*scope)
+    b = facts.where(F.col(kind) == earlier).select(*scope, "start_date", *[F.col(c).alias(f"earlier_{c}") for c in names]).repartition(*scope)
     pairs = a.join(b, [*scope, "start_date"]).where(F.col("earlier_end_date") < F.col("later_end_date"))
     n = F.count("*").over(Window.partitionBy(*scope, "later_fact_id"))
     return pairs.withColumn("pair_status", F.when(n > 1, "AMBIGUOUS").otherwise("UNIQUE"))
@@ -34,7 +35,7 @@ def derive_quarter(facts: DataFrame, scope: list[str], later: str, earlier: str,
     quarter with the same end.  Values are null where there is a reason.
     """
     pairs = pair_cumulative(facts, scope, later, earlier)
-    direct_rows = facts.where(F.col("period_class") == direct).select(*scope, F.col("end_date").alias("later_end_date")).distinct().withColumn("_direct", F.lit(True))
+    direct_rows = facts.where(F.col("period_class") == direct).select(*scope, F.col("end_date").alias("later_end_date")).repartition(*scope).distinct().withColumn("_direct", F.lit(True))
     rows = pairs.join(direct_rows, [*scope, "later_end_date"], "left")
     cutoff = F.lit(as_of).cast("date")
     days = F.datediff("later_end_date", "earlier_end_date")

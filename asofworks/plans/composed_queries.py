@@ -58,7 +58,7 @@ def a22(t: Tables) -> DataFrame:
     f"with {CLASSED_SQL}, q as (select a.fact_id as fact_id from c a join c b on a.cik = b.cik and a.concept = b.concept and a.start_date = b.start_date and a.period_class = 'FY' and b.period_class = 'YTD_9M' and b.end_date < a.end_date) select fact_id, 'Q4' as kind from q union all select fact_id, 'LARGE' from facts where value > 104000",
 )
 def a24(t: Tables) -> DataFrame:
-    q4 = K.mechanical_q4(classed(t), ["cik", "concept"], "2002-01-01").withColumnRenamed("later_fact_id", "fact_id")
+    q4 = K.mechanical_q4(classed(t, "FY", "YTD_9M", "QTD_3M"), ["cik", "concept"], "2002-01-01").withColumnRenamed("later_fact_id", "fact_id")
     return K.review_inventory([("Q4", q4), ("LARGE", t.facts.where("value > 104000"))], ["fact_id"])
 
 
@@ -100,7 +100,7 @@ def c4(t: Tables) -> DataFrame:
     select cik, concept, later_fact_id, reason, case when reason is null then cast(lv - ev as double) end as value from r""",
 )
 def c9(t: Tables) -> DataFrame:
-    candidates = K.mechanical_q4(classed(t), ["cik", "concept"], "2002-01-01")
+    candidates = K.mechanical_q4(classed(t, "FY", "YTD_9M", "QTD_3M"), ["cik", "concept"], "2002-01-01")
     approvals = t.facts.where("line = 6").select("cik", "concept", F.col("filed_date").alias("known_at"))
     return K.reviewed_quarters(candidates, approvals, ["cik", "concept"], "2000-01-01").select("cik", "concept", "later_fact_id", "reason", *money("value"))
 

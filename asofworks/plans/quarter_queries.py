@@ -9,6 +9,7 @@ from asofworks.operators import quarters as Q
 from asofworks.operators.periods import classify_period
 from asofworks.plans.period_queries import CLASS_SQL
 from asofworks.plans.registry import Tables, query
+from asofworks.sources.tables import written
 
 GROWTH_SQL = """case when p is null then 'PREDECESSOR_MISSING' when p = 0 and v = 0 then 'ZERO_UNCHANGED' when p = 0 then 'ZERO_BASE' when v = 0 then 'ZERO_REACHED' when p > 0 and v > 0 then 'RATE_AVAILABLE'
     when p < 0 and v < 0 and abs(v) < abs(p) then 'NEGATIVE_MAGNITUDE_REDUCED' when p < 0 and v < 0 and abs(v) > abs(p) then 'NEGATIVE_MAGNITUDE_EXPANDED' when p < 0 and v < 0 then 'NEGATIVE_MAGNITUDE_UNCHANGED' when v > 0 then 'POSITIVE_TURN' else 'NEGATIVE_TURN' end"""
@@ -40,11 +41,17 @@ def j5(t: Tables) -> DataFrame:
     return Q.predecessor(t.cells, ["cik"], "coordinate", 1).select("cik", "coordinate", F.col("value").cast("double"), F.col("prior").cast("double"))
 
 
-def classed(t: Tables) -> DataFrame:
-    """Facts of a concept with a common start per company and year, so that cumulative periods pair."""
+def classed(t: Tables, *kinds: str) -> DataFrame:
+    """Facts of a concept with a common start per company and year, so that cumulative periods pair; those of the kinds are written once for all branches that read them.
+
+    A class goes by days, which a common start leaves as they are, so it is told
+    before the shift: a filter by class then need not make the dates of each line.
+    """
     year_start = F.trunc("start_date", "year")
-    shifted = t.facts.withColumn("end_date", F.date_add(year_start, F.datediff("end_date", "start_date"))).withColumn("start_date", year_start)
-    return shifted.withColumn("period_class", classify_period("start_date", "end_date"))
+    rows = t.facts.withColumn("period_class", classify_period("start_date", "end_date"))
+    rows = rows.where(F.col("period_class").isin(*kinds)) if kinds else rows
+    shifted = rows.withColumn("end_date", F.date_add(year_start, F.datediff("end_date", "start_date"))).withColumn("start_date", year_start)
+    return written(shifted.select("cik", "concept", "fact_id", "value", "filed_date", "start_date", "end_date", "period_class"), "classed") if kinds else shifted
 
 
 CLASSED_SQL = f"""c as (select cik, concept, fact_id, value, filed_date, start_date, end_date, {CLASS_SQL} as period_class from
@@ -58,7 +65,7 @@ CLASSED_SQL = f"""c as (select cik, concept, fact_id, value, filed_date, start_d
     select cik, concept, later_fact_id, earlier_fact_id, gap, pair_status from p""",
 )
 def j4(t: Tables) -> DataFrame:
-    rows = Q.pair_cumulative(classed(t), ["cik", "concept"], "FY", "YTD_9M")
+    rows = Q.pair_cumulative(classed(t, "FY", "YTD_9M"), ["cik", "concept"], "FY", "YTD_9M")
     return rows.select("cik", "concept", "later_fact_id", "earlier_fact_id", (F.col("later_value") - F.col("earlier_value")).cast("double").alias("gap"), "pair_status")
 
 
@@ -74,7 +81,7 @@ for number, (later, earlier) in enumerate((("YTD_6M", "QTD_3M"), ("YTD_9M", "YTD
         select cik, concept, later_fact_id, reason, case when reason is null then cast(lv - ev as double) end as value from r""",
     )
     def c7(t: Tables, later: str = later, earlier: str = earlier) -> DataFrame:
-        rows = Q.derive_quarter(classed(t), ["cik", "concept"], later, earlier, "2000-06-30")
+        rows = Q.derive_quarter(classed(t, later, earlier, "QTD_3M"), ["cik", "concept"], later, earlier, "2000-06-30")
         return rows.select("cik", "concept", "later_fact_id", "reason", F.col("value").cast("double"))
 
 
