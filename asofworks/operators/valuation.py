@@ -35,17 +35,36 @@ def _names(columns: str) -> list[str]:
     return columns.split(", ")
 
 
-def grants_as_of(days: DataFrame, grants: DataFrame) -> DataFrame:
-    """days with g, the newest grant of the security that is known by the day, or null.
+def keyed(grants: DataFrame) -> DataFrame:
+    """(security_id, _key, _g): grants with a known day, once each; _key is all their columns as text."""
+    g = F.struct(*_names(GRANTS))
+    return grants.where(F.col("known_on").isNotNull()).select("security_id", F.to_json(g).alias("_key"), g.alias("_g")).dropDuplicates(["security_id", "_key"])
+
+
+def inputs_of(grants: DataFrame, inputs: DataFrame) -> DataFrame:
+    """(security_id, _key, _inputs): of each grant a map from each role to its input id, how many inputs have it (null: none), and one of them.
+
+    Grants are far fewer than days, so inputs meet grants, and days only look them up.
+    """
+    roles = F.array(*[F.lit(r) for r in ROLE_UNITS])
+    asked = keyed(grants).select("security_id", "_key", "_g.input_ids", F.explode(roles).alias("role"))
+    asked = asked.select("security_id", "_key", "role", F.try_element_at("input_ids", F.col("role")).alias("id"))
+    by = inputs.groupBy("observation_id").agg(F.count("*").alias("n"), F.first(F.struct(*_names(INPUTS))).alias("x")).withColumnRenamed("observation_id", "its")
+    rows = asked.join(by, F.col("id") == F.col("its"), "left")
+    return rows.groupBy("security_id", "_key").agg(F.map_from_entries(F.collect_list(F.struct("role", F.struct("id", "n", "x")))).alias("_inputs"))
+
+
+def grants_as_of(days: DataFrame, grants: DataFrame, inputs: DataFrame) -> DataFrame:
+    """days with g, the newest grant of the security that is known by the day, or null, and _inputs, what it binds.
 
     Days and grants of a security stand in one order by date; they are not
     paired.  Of grants known on one day the last by all their columns counts.
     """
-    order = Window.partitionBy("security_id").orderBy("_at", "_kind", F.to_json("_g")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    g = grants.where(F.col("known_on").isNotNull()).select("security_id", F.col("known_on").alias("_at"), F.lit(0).alias("_kind"), F.struct(*_names(GRANTS)).alias("_g"))
+    order = Window.partitionBy("security_id").orderBy("_at", "_kind", "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = keyed(grants).join(inputs_of(grants, inputs), ["security_id", "_key"]).select("security_id", F.col("_g.known_on").alias("_at"), F.lit(0).alias("_kind"), "_key", F.struct("_g", "_inputs").alias("_held"))
     d = days.select("security_id", F.col("trade_date").alias("_at"), F.lit(1).alias("_kind"), F.struct(*_names(DAYS)).alias("_d"))
-    rows = d.unionByName(g, allowMissingColumns=True).withColumn("g", F.last("_g", ignorenulls=True).over(order))
-    return rows.where("_kind = 1").select("_d.*", "g")
+    rows = d.unionByName(g, allowMissingColumns=True).withColumn("_held", F.last("_held", ignorenulls=True).over(order))
+    return rows.where("_kind = 1").select("_d.*", F.col("_held._g").alias("g"), F.col("_held._inputs").alias("_inputs"))
 
 
 def _price_reason(g: Column) -> Column:
@@ -102,16 +121,14 @@ def bind_roles(days: DataFrame, grants: DataFrame, inputs: DataFrame) -> DataFra
     inputs have is AMBIGUOUS_FINANCIAL_INPUT, never the first of them.  What is
     known or ready only after the day doesn't count.
     """
-    held = grants_as_of(days, grants).withColumn("price_reason", _price_reason(F.col("g")))
-    roles = F.array(*[F.lit(r) for r in ROLE_UNITS])
-    asked = held.select("*", F.explode(roles).alias("role")).withColumn("id", F.try_element_at("g.input_ids", F.col("role")))
-    by = inputs.groupBy("observation_id").agg(F.count("*").alias("n"), F.first(F.struct(*_names(INPUTS))).alias("x")).withColumnRenamed("observation_id", "its")
-    rows = asked.join(by, F.col("id") == F.col("its"), "left")
-    why = F.when(F.col("n").isNull(), "FINANCIAL_INPUT_NOT_BOUND").when(F.col("n") > 1, "AMBIGUOUS_FINANCIAL_INPUT").otherwise(_role_reason(F.col("role"), F.col("x"), F.col("g")))
-    one = F.struct(F.col("id").alias("id"), why.alias("reason"), F.when(F.col("n") == 1, F.col("x")).alias("x"))
-    key = ["security_id", "trade_date"]
-    bound = rows.groupBy(*key).agg(F.first(F.struct(*[c for c in held.columns if c not in key])).alias("_d"), F.map_from_entries(F.collect_list(F.struct("role", one.alias("one")))).alias("bound"))
-    return bound.select(*key, "_d.*", "bound")
+    held = grants_as_of(days, grants, inputs).withColumn("price_reason", _price_reason(F.col("g")))
+    def one(role: Column) -> Column:
+        e = F.try_element_at("_inputs", role)
+        why = F.when(e["n"].isNull(), "FINANCIAL_INPUT_NOT_BOUND").when(e["n"] > 1, "AMBIGUOUS_FINANCIAL_INPUT").otherwise(_role_reason(role, e["x"], F.col("g")))
+        return F.struct(e["id"].alias("id"), why.alias("reason"), F.when(e["n"] == 1, e["x"]).alias("x"))
+
+    bound = F.map_from_arrays(F.array(*[F.lit(r) for r in ROLE_UNITS]), F.transform(F.array(*[F.lit(r) for r in ROLE_UNITS]), one))
+    return held.withColumn("bound", bound).drop("_inputs")
 
 
 def valuation(days: DataFrame, grants: DataFrame, inputs: DataFrame, ev_policy: str | None = None) -> DataFrame:
