@@ -19,6 +19,8 @@ WIDTH, SIMILAR = 5, 75
 COUNTERS = 1 << 16
 #: Rows that are broadcast at most; a larger table is joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
+#: Tokens that a line must have in common with others, among its first by hash, before its tokens are counted and ranked.
+COMMON = 4
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -61,10 +63,14 @@ _PLACES = f"sequence(0, greatest(size(h) - {WIDTH}, 0))"
 _TOKENS = f"transform({_PLACES}, i -> {_RUN})"
 
 
-def _rarity(lines: DataFrame) -> Callable[[Column], Column]:
+def _tokens(lines: DataFrame, *keep: str) -> DataFrame:
+    """The columns keep, and t, the distinct tokens of a line."""
+    return _hashed(lines, *keep).select(*keep, F.array_distinct(F.expr(_TOKENS)).alias("t"))
+
+
+def _rarity(sets: DataFrame) -> Callable[[Column], Column]:
     """A function of a token: its hash below the level, 4 log2 of 1 + n, of its counter's n."""
-    runs = _hashed(lines).select("h", F.explode(F.expr(_PLACES)).alias("i"))
-    counted = runs.groupBy(F.expr(f"pmod({_RUN}, {COUNTERS})").cast("int").alias("counter")).agg(F.count("*").alias("n")).toPandas()
+    counted = sets.select(F.explode("t").alias("t")).groupBy(F.pmod("t", F.lit(COUNTERS)).cast("int").alias("counter")).agg(F.count("*").alias("n")).toPandas()
     n = np.zeros(COUNTERS)
     n[counted["counter"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     levels = np.minimum(np.floor(4 * np.log2(n + 1.0)), 127).astype(int)
@@ -72,12 +78,32 @@ def _rarity(lines: DataFrame) -> Callable[[Column], Column]:
     return lambda t: F.shiftleft(F.get(table, F.pmod(t, F.lit(COUNTERS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
 
 
-def _ranked(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(key, place, n, t) for each line of firsts: the first ones, by rarity, of its n distinct tokens."""
-    weigh = _rarity(lines)
-    rows = _hashed(firsts, "key", "place").select("key", "place", F.expr(_TOKENS).alias("t"))
-    rows = rows.select("key", "place", F.sort_array(F.array_distinct(F.transform("t", weigh))).alias("t")).withColumn("n", F.size("t"))
-    return rows.select("key", "place", "n", F.slice("t", F.lit(1), (F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1).cast("int")).alias("t"))
+def _first(common: int) -> Column:
+    """Of the distinct tokens t in their order so many first ones that two lines that match have at least common of them in common, or all that they have in common."""
+    n = F.size("t")
+    return F.slice("t", F.lit(1), (n - F.ceil(n * SIMILAR / 100) + common).cast("int"))
+
+
+def _near(common: int) -> Column:
+    """Whether place i is one at which a pair meets in its smaller line: among the first n - ceil(6/7 n) + common."""
+    return F.col("i") < F.col("n") - F.ceil(F.col("n") * (2 * SIMILAR) / (100 + SIMILAR)) + common
+
+
+def _alive(firsts: DataFrame) -> DataFrame:
+    """(key, other_key, place, t): the lines of firsts of whose first tokens by hash enough stand among those of other lines, with all their tokens.
+
+    Two lines that match have COMMON of them in common under any order of
+    tokens, or three quarters of the tokens of each, so the lines that are left
+    out match nothing.  Hashes need no count.
+    """
+    ordered = _tokens(firsts, "key").select("key", F.sort_array("t").alias("t"))
+    hashes = kept(ordered.select("key", F.size("t").alias("n"), _first(COMMON).alias("t")), "hashes")
+    entries = hashes.select("key", "n", F.posexplode("t").alias("i", "token"))
+    shared = kept(entries.groupBy("token").agg(F.count("*").alias("lines"), F.max(_near(COMMON)).alias("near")).where("lines > 1 and near").select("token"), "common")
+    met = entries.join(_small(shared), "token", "left_semi").groupBy("key", "n").agg(F.count("*").alias("common"))
+    keys = kept(met.where(F.col("common") >= F.least(F.lit(COMMON), F.ceil(F.col("n") * SIMILAR / 100))).select("key").distinct(), "alive")
+    # no filter on the words here: it would move below the join and look at every line
+    return kept(_tokens(firsts.join(_small(keys), "key", "left_semi"), "key", "other_key", "place"), "sets")
 
 
 def matched_lines(docs: DataFrame) -> DataFrame:
@@ -93,16 +119,16 @@ def matched_lines(docs: DataFrame) -> DataFrame:
     Rarity only orders tokens, so the result is exact.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = _lines(docs).withColumn("place", _place(docs))
-    places = kept(lines.drop("line"), "places")
+    at = _place(docs)
+    lines = _lines(docs).withColumn("place", at)
+    places = kept(lines.drop("line", "place"), "places").withColumn("place", at)
     repeats = places.groupBy("key", "other_key").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
     repeats = kept(repeats.select("key", "other_key", "first"), "repeats")
-    firsts = lines.join(_small(repeats), ["key", "other_key"], "left").where("first is null or place = first")
-    ranked = kept(_ranked(lines, firsts), "ranked")
+    sets = _alive(lines.join(_small(repeats), ["key", "other_key"], "left").where("first is null or place = first"))
+    ordered = sets.select("key", "place", F.sort_array(F.transform("t", _rarity(sets))).alias("t"))
+    ranked = kept(ordered.select("key", "place", F.size("t").alias("n"), _first(1).alias("t")), "ranked")
     entries = ranked.select("key", "place", "n", F.posexplode("t").alias("i", "token"))
-    # a pair meets within the first n - ceil(6/7 n) + 1 tokens of the smaller of the two
-    near = F.col("i") <= F.col("n") - F.ceil(F.col("n") * (2 * SIMILAR) / (100 + SIMILAR))
-    shared = entries.groupBy("token").agg(F.min("place").alias("head"), F.max("place").alias("last"), F.max(near).alias("near")).where("head < last and near").select("token", "head")
+    shared = entries.groupBy("token").agg(F.min("place").alias("head"), F.max("place").alias("last"), F.max(_near(1)).alias("near")).where("head < last and near").select("token", "head")
     shared = kept(shared, "shared")
     entries = kept(entries.join(_small(shared), "token"), "entries")
 
@@ -119,11 +145,9 @@ def matched_lines(docs: DataFrame) -> DataFrame:
     def verified(pairs: DataFrame) -> DataFrame:
         """(key, other_key, place) of the later lines of pairs (a, b) that do match."""
         keys = kept(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
-        # no filter on the words here: it would move below the join and look at every line
-        whole = _hashed(firsts.join(_small(keys), "key", "left_semi"), "key", "other_key", "place")
-        sets = kept(whole.select("key", "other_key", "place", F.array_distinct(F.expr(_TOKENS)).alias("t")), "sets")
-        one = sets.select(F.col("key").alias("a"), F.col("place").alias("a_place"), F.col("t").alias("a_t"))
-        two = sets.select(F.col("key").alias("b"), "other_key", F.col("place").alias("b_place"), F.col("t").alias("b_t"))
+        some = sets.join(_small(keys), "key", "left_semi")
+        one = some.select(F.col("key").alias("a"), F.col("place").alias("a_place"), F.col("t").alias("a_t"))
+        two = some.select(F.col("key").alias("b"), "other_key", F.col("place").alias("b_place"), F.col("t").alias("b_t"))
         both = pairs.join(one, "a").join(two, "b").where("a_place < b_place").withColumn("common", F.size(F.array_intersect("a_t", "b_t")))
         match = both.where(F.col("common") * 100 >= SIMILAR * (F.size("a_t") + F.size("b_t") - F.col("common")))
         return kept(match.select(F.col("b").alias("key"), "other_key", F.col("b_place").alias("place")).distinct(), "matched")

@@ -125,6 +125,27 @@ def test_line_dedup_of_many_near_lines(spark, monkeypatch, counters):
     assert 40 < len(gone) < 250
 
 
+@pytest.mark.parametrize("common", [1, 3, 16])
+def test_lines_left_out_by_their_hashes_match_nothing(spark, monkeypatch, common):
+    monkeypatch.setattr(lines, "COMMON", common)
+    bases = [prose(k, 3 + 4 * (k % 10)).replace("\n", " ") for k in range(20)]
+    items = [(k, edited(bases[k % 20], k, k % 4)) for k in range(120)]
+    gone = removed_lines(items)
+    got = {r.doc_id: r.removed for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()}
+    assert got == {i: (i, t, 0) in gone for i, t in items}
+    assert 20 < len(gone) < 100
+
+
+def test_only_lines_that_may_match_are_counted(spark, monkeypatch):
+    counted, rarity = [], lines._rarity
+    monkeypatch.setattr(lines, "_rarity", lambda rows: (counted.append(rows.count()), rarity(rows))[1])
+    texts = [prose(k, 40).replace("\n", " ") for k in range(30)]
+    items = list(enumerate([*texts, texts[0] + " end"]))
+    got = {r.doc_id: r.removed for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()}
+    assert got == {k: k == 30 for k, _ in items}
+    assert counted == [2]
+
+
 def test_short_lines_that_repeat_are_removed(spark):
     items = [(1, "Share this\none two three four five\n \nshare that"), (2, "Share this\nx\n "), (3, "SHARE  this\none two three four"), (4, "x\nshare")]
     got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()}
