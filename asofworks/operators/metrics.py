@@ -122,17 +122,23 @@ def source_equations(inputs: DataFrame, totals: DataFrame, key: str, tolerance:
     return rows.withColumn("status", status)
 
 
-def bind_recast(facts: DataFrame, evidence: DataFrame, scope: list[str]) -> DataFrame:
+def bind_recast(facts: DataFrame, evidence: DataFrame, scope: list[str], parts: int | None = None) -> DataFrame:
     """Facts with the number of earlier filings of equal scope in evidence, and the newest of them; NO_PRIOR_FILING where none is earlier.
 
     Facts and filings of a scope stand in one order by date; they are never
-    paired.
+    paired.  parts, if given, is the number of partitions to which both are dealt
+    by scope, so that a task sorts a bounded number of rows; Spark neither joins
+    such partitions nor deals their rows again for the sums.
     """
+    if parts:
+        facts, evidence = facts.repartition(parts, *scope), evidence.repartition(parts, *scope)
     e = evidence.groupBy(*scope, "accession").agg(F.min("filed_date").alias("_at")).select(*scope, "_at", F.lit(1).alias("_kind"), F.col("accession").alias("_prior"))
     f = facts.select(*scope, F.col("filed_date").alias("_at"), F.lit(0).alias("_kind"), "fact_id", "accession")
     # of one day facts stand before filings, so only earlier days count
     before = Window.partitionBy(*scope).orderBy("_at", "_kind", "_prior").rowsBetween(Window.unboundedPreceding, -1)
-    rows = f.unionByName(e, allowMissingColumns=True).withColumn("priors", F.count("_prior").over(before)).withColumn("prior", F.last("_prior", ignorenulls=True).over(before))
+    rows = f.unionByName(e, allowMissingColumns=True)
+    rows = rows.repartition(parts, *scope) if parts else rows
+    rows = rows.withColumn("priors", F.count("_prior").over(before)).withColumn("prior", F.last("_prior", ignorenulls=True).over(before))
     return rows.where("_kind = 0").select("fact_id", "accession", *scope, "priors", "prior", F.when(F.col("priors") > 0, "RECAST").otherwise("NO_PRIOR_FILING").alias("basis"))
 
 

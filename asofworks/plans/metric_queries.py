@@ -104,7 +104,7 @@ def j16(t: Tables) -> DataFrame:
     select fact_id, accession, n as priors, cast(p as varchar) as prior, case when n > 0 then 'RECAST' else 'NO_PRIOR_FILING' end as basis from r""",
 )
 def j10(t: Tables) -> DataFrame:
-    return M.bind_recast(t.facts, t.facts, ["cik", "concept"]).select("fact_id", "accession", "priors", F.col("prior").cast("string"), "basis")
+    return M.bind_recast(t.facts, t.facts, ["cik", "concept"], t.parts()).select("fact_id", "accession", "priors", F.col("prior").cast("string"), "basis")
 
 
 @query(

@@ -42,6 +42,11 @@ ROWS_A_TASK = 250_000
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
 
+def parts_of_lines(spark: SparkSession, sf_dir: str) -> int:
+    """To how many partitions lines are dealt, by their number."""
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, "lineitem").count() // ROWS_A_TASK))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, or a stand-in by name.
 
@@ -53,7 +58,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         used = {t: table(spark, sf_dir, t) for t in TABLES if f"from {t}" in STAND_INS[name] or f"join {t}" in STAND_INS[name]}
         parts = 0
         if "lineitem" in used:
-            parts = max(spark.sparkContext.defaultParallelism, -(-used["lineitem"].count() // ROWS_A_TASK))
+            parts = parts_of_lines(spark, sf_dir)
             used |= {"lineitem": used["lineitem"].repartition(parts, "l_orderkey"), "orders": used["orders"].repartition(parts, "o_orderkey")}
         sql = STAND_INS[name]
         for t in used:
@@ -74,6 +79,9 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
+    def parts(self) -> int:
+        return parts_of_lines(self.spark, self.sf_dir)
+
     def __getattr__(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 

@@ -48,6 +48,15 @@ def test_tasks_over_lines_hold_a_bounded_number_of_rows(spark, monkeypatch, name
     assert most < 1000 < rows.count()
 
 
+def test_recast_sorts_a_bounded_number_of_rows_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(registry, "ROWS_A_TASK", 500)
+    rows = QUERIES["j10_bind_recast"](spark, SMALL)
+    most = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 1000 < rows.count()
+    # a second exchange by scope would be joined by its bytes again
+    assert "ENSURE_REQUIREMENTS" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", ["c12_quarterly_metrics", "c14_quarter_catalog", "c7_derive_q2", "c7_derive_q3", "c7_derive_q4"])
 def test_what_many_branches_read_is_computed_once(spark, name):
     assert scans(QUERIES[name](spark, SMALL)) == 0
