@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from asofworks.llm.store import read_table
-from asofworks.llm.textbytes import BLOCK, blocks, mix, span_hashes
+from asofworks.llm.textbytes import blocks, mix, span_hashes, tidy
 from asofworks.llm.units import UnitCache, gather
 
 MODEL = "piece_bpe_32k.model"
@@ -22,6 +22,8 @@ DROPOUT, SEED = 0.1, 20240607
 SIDE_BY_SIDE = 32
 #: Bytes of units and their merges that a worker keeps, about.
 UNITS = 1 << 25
+#: Bytes of text that are worked on at once; merging takes some 300 bytes for each.
+BLOCK = 1 << 19
 
 _NONE = np.int32(1 << 30)
 _SPACE = 0x2581
@@ -367,7 +369,7 @@ def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: s
                 yield pa.record_batch([batch.column(0).slice(at, len(count)), pa.ListArray.from_arrays(bounds, pa.array(flat)), pa.array(count)], ["doc_id", "ids", "n_tokens"])
                 at += len(count)
 
-    return docs.select("doc_id", "text").mapInArrow(each, "doc_id long, ids array<int>, n_tokens long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(each), "doc_id long, ids array<int>, n_tokens long")
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -380,7 +382,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             yield pa.record_batch([batch.column(0), pa.array([t.decode() for t in decode_flat(ids, count, model)], pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(each, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(each), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: str = MODEL) -> DataFrame:
@@ -407,7 +409,7 @@ def round_trip(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, mode
                 )
                 at += len(count)
 
-    return docs.select("doc_id", "text").mapInArrow(each, "doc_id long, n_tokens long, ids_crc32 long, text_crc32 long, lossless boolean")
+    return docs.select("doc_id", "text").mapInArrow(tidy(each), "doc_id long, n_tokens long, ids_crc32 long, text_crc32 long, lossless boolean")
 
 
 def op6_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:

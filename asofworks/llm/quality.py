@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofworks.llm.store import read_table
-from asofworks.llm.textbytes import blocks
+from asofworks.llm.textbytes import blocks, tidy
 
 #: Labelled rows that the network learns from at most, and bytes of a text up to which it is among them.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16384
@@ -180,7 +180,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(each, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(tidy(each), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -191,10 +191,11 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.score(data, offsets) >= 0.5 for _, _, data, offsets in blocks(batch.column(place))]
-            yield batch.filter(pa.array(np.concatenate(found) if found else np.zeros(0, bool)))
+            # block by block, so that no second copy of a batch's texts is made
+            for at, end, data, offsets in blocks(batch.column(place)):
+                yield batch.slice(at, end - at).filter(pa.array(shared.value.score(data, offsets) >= 0.5))
 
-    return docs.mapInArrow(each, schema)
+    return docs.mapInArrow(tidy(each), schema)
 
 
 def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

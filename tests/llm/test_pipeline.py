@@ -1,6 +1,12 @@
 """The pipeline on a small corpus, and the registry."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import __spark_entry__
+import pytest
 import corpus_pipeline
 from asofworks.llm.store import kept
 
@@ -55,3 +61,48 @@ def test_null_empty_and_very_long_texts_go_through(spark, tmp_path):
     got = {r.doc_id: r.n_tokens for r in through(spark, docs, tmp_path).collect()}
     # the later copy loses all its lines; null and empty texts have no words, so the mix takes none of them but with their source
     assert got[2] > 75_000 and got[None] > 10 and 4 not in got and got.get(3, 0) == got.get(1, 0) == 0
+
+
+#: Runs a task of the encoder or the classifier as a Python worker does, and prints the MB that stay once it has ended.
+HOLDS = """
+import random, re, sys
+import pyarrow as pa
+from asofworks.llm import pieces, quality
+
+def held():
+    return int(re.search(r"Pss_Anon: +(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+class Docs:
+    def select(self, *names):
+        return self
+    def mapInArrow(self, each, schema):
+        return each
+
+draw = random.Random(3)
+words = ["".join(draw.choices("abcdefghij", k=draw.randint(3, 9))) for _ in range(40000)]
+column = pa.array([" ".join(draw.choices(words, k=20000)) for _ in range(32)])
+rows = pa.record_batch([pa.array(range(32)), column], ["doc_id", "text"])
+if sys.argv[1] == "encoder":
+    each = pieces.encode(Docs())
+else:
+    Docs.schema, Docs.columns = None, ["doc_id", "text"]
+    Docs.sparkSession = sparkContext = type("Context", (), {"broadcast": staticmethod(lambda x: type("Held", (), {"value": x}))})
+    Docs.sparkSession.sparkContext = sparkContext
+    quality.train = lambda docs, labels: quality.Network.start()
+    each = quality.keep_good(Docs(), None)
+del words, column
+before = held()
+most = made = 0
+for batch in each(iter([rows])):
+    most, made = max(most, batch.nbytes), made + 1
+del batch
+print(made, most, held() - before)
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="reads Linux's account of memory")
+@pytest.mark.parametrize("step,limit", [("encoder", 50), ("classifier", 30)])
+def test_a_worker_gives_back_what_a_task_took(step, limit):
+    done = subprocess.run([sys.executable, "-c", HOLDS, step], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2], env={**os.environ, "OMP_NUM_THREADS": "1"})
+    made, most, held = map(float, done.stdout.split())
+    assert made > 1 and held < limit and (step == "encoder" or most < 2 << 20)
