@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofworks.llm.store import read_table
-from asofworks.llm.textbytes import blocks, tidy
+from asofworks.llm.textbytes import blocks, give_back, tidy
 
 #: Labelled rows that the network learns from at most, and bytes of a text up to which it is among them.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16384
@@ -155,7 +155,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     # ids first, so that only the sample's texts move
     chosen = able.select("doc_id").join(known, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     rows = able.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_ROWS).select("text", "y").toArrow()
-    return fit([t.encode() for t in rows["text"].to_pylist()], rows["y"].to_numpy())
+    net = fit([t.encode() for t in rows["text"].to_pylist()], rows["y"].to_numpy())
+    del rows
+    give_back()
+    return net
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

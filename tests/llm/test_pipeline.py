@@ -106,3 +106,32 @@ def test_a_worker_gives_back_what_a_task_took(step, limit):
     done = subprocess.run([sys.executable, "-c", HOLDS, step], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2], env={**os.environ, "OMP_NUM_THREADS": "1"})
     made, most, held = map(float, done.stdout.split())
     assert made > 1 and held < limit and (step == "encoder" or most < 2 << 20)
+
+
+#: Trains on 2,000 texts as the driver does, and prints the MB that stay.
+TRAINED = """
+import random, re
+import pyarrow as pa
+from asofworks.llm import quality
+
+def held():
+    return int(re.search(r"Pss_Anon: +(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+class Any:
+    def __getattr__(self, name):
+        return lambda *a, **b: self
+    __invert__ = __and__ = __le__ = lambda self, *a: self
+
+draw = random.Random(3)
+Any.toArrow = lambda self: pa.table({"text": ["".join(draw.choices("abcdefghij ", k=draw.randint(100, 8000))) for _ in range(2000)], "y": [k % 2 for k in range(2000)]})
+quality.F, quality.held_out, quality.EPOCHS = Any(), Any, 1
+before = held()
+quality.train(Any(), Any())
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="reads Linux's account of memory")
+def test_the_driver_gives_back_what_training_took():
+    done = subprocess.run([sys.executable, "-c", TRAINED], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2], env={**os.environ, "OMP_NUM_THREADS": "1"})
+    assert float(done.stdout) < 45
