@@ -86,6 +86,10 @@ def near_words(table: DataFrame) -> DataFrame:
     the length and one half as well: anagrams and words of common letters then
     don't crowd one key.  What meets is verified by edit distance, so the pairs
     are exact.
+
+    Each word makes two dozen entries, which Spark's estimate from the size of
+    the word table leaves out: without a hint it would send them all to the
+    driver and to every executor, as long as that table alone is small.
     """
     letters = table.select(F.explode(F.split("word", "")).alias("letter")).groupBy("letter").count()
     counts = {r["letter"]: r["count"] for r in letters.collect()}  # of an alphabet of 90
@@ -99,7 +103,7 @@ def near_words(table: DataFrame) -> DataFrame:
     entries = whole.select("word", "n", F.inline(F.array(*made)))
     one, two = (entries.select("key", F.col("role").alias(f"{x}_role"), F.col("word").alias(x), F.col("n").alias(f"{x}_n")) for x in "ab")
     roles = ((F.col("a_role") == 0) & (F.col("b_role") == 0) & (F.col("a") < F.col("b"))) | ((F.col("a_role") == 1) & (F.col("b_role") == 2))
-    met = one.join(two.withColumnRenamed("key", "its_key"), (F.col("key") == F.col("its_key")) & roles & (F.levenshtein("a", "b", 1) == 1))
+    met = one.join(two.withColumnRenamed("key", "its_key").hint("merge"), (F.col("key") == F.col("its_key")) & roles & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 
@@ -110,13 +114,14 @@ def variants(docs: DataFrame) -> DataFrame:
     code points), if that is TIMES as frequent at least; without one form and
     form_n are null and root is the word itself.  n_near counts near words.  See
     words() for what a word is, and for null ids and texts.  Repeated rows count
-    each.  Other columns are ignored.  Without words the result is empty.
+    each.  Other columns are ignored.  Without words the result is empty.  No
+    join broadcasts: files of words are many times larger in memory.
     """
     table = kept(words(docs), "words")
     near = near_words(table)
     both = near.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("b_n").alias("other_n")).unionAll(near.select("b", "a", "a_n"))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best"))
-    rows = table.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.other").alias("other"), (-F.col("best.less")).alias("other_n"))
+    rows = table.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.other").alias("other"), (-F.col("best.less")).alias("other_n"))
     has = F.col("other_n") >= TIMES * F.col("n")
     rows = kept(rows.select("word", "n", "n_near", F.when(has, F.col("other")).alias("form"), F.when(has, F.col("other_n")).alias("form_n")), "forms")
     most = rows.agg(F.max("n")).first()[0] or 1
@@ -124,8 +129,8 @@ def variants(docs: DataFrame) -> DataFrame:
     steps = rows.where("form is not null").select("word", F.col("form").alias("root"))
     for _ in range(math.ceil(math.log2(max(1.0, math.log(most, TIMES))))):
         ahead = steps.select(F.col("word").alias("its"), F.col("root").alias("further"))
-        steps = kept(steps.join(ahead, F.col("root") == F.col("its"), "left").select("word", F.coalesce("further", "root").alias("root")), "roots")
-    out = rows.join(steps, "word", "left")
+        steps = kept(steps.join(ahead.hint("merge"), F.col("root") == F.col("its"), "left").select("word", F.coalesce("further", "root").alias("root")), "roots")
+    out = rows.join(steps.hint("merge"), "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.col("n_near").cast("long").alias("n_near"), "form_n")
 
 

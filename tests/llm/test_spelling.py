@@ -109,3 +109,14 @@ def test_cases(spark, docs, no_docs):
 def test_classes_are_dealt_by_frequency():
     classes = spelling.letter_classes({"a": 9, "b": 5, "c": 4, "d": 1}, 2)
     assert classes == ["ad", "bc"]
+
+
+def test_entries_are_not_broadcast(spark, capsys):
+    """A small file of words makes two dozen entries a word, so its size says nothing of the join's sides."""
+    table = spelling.kept(spelling.words(spark.createDataFrame(VARIED, "doc_id long, text string")), "words")
+    words = sorted(r.word for r in table.collect())
+    assert {tuple(sorted((r.a, r.b))) for r in spelling.near_words(table).collect()} == {(a, b) for a in words for b in words if a < b and one_edit(a, b)}
+    for df in (spelling.near_words(table), spelling.variants(spark.createDataFrame(VARIED, "doc_id long, text string"))):
+        df.explain("simple")
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
