@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asofworks.functions.scalars import gaap_namespace_year, reasons
-from asofworks.sources.tables import scratch_path
 
 #: Columns of a row: one for each filing and raw id; position is the filing's place in the company's order.
 CONCEPTS = "cik, kind, filing_id, position, raw_id, local_name, qname, namespace_uri, is_standard, taxonomy_family, label, period_type, data_type, balance, abstract, signature"
-#: Rounds of doubling at most: chains of 2^40 rows.
-MOST_ROUNDS = 40
 #: Documented relations that break continuity; arc roles that are no structure, and those that are, by network.
 BREAKS = ("RECAST", "SPLIT", "MERGED")
 RESOURCES = ("http://www.xbrl.org/2003/arcrole/concept-label", "http://www.xbrl.org/2003/arcrole/concept-reference", "http://xbrl.org/arcrole/2008/element-label", "http://xbrl.org/arcrole/2008/element-reference")
@@ -65,13 +63,17 @@ def network_signatures(concepts: DataFrame, arcs: DataFrame) -> DataFrame:
     return out.select("filing_id", "raw_id", F.when(F.col("_fine"), F.sha2(F.array_join("_all", "\n"), 256)).alias("signature"))
 
 
-def _documented(rows: DataFrame, changes: DataFrame) -> DataFrame:
-    """(cik, kind, raw_id, d): of rows with a documented change the newest earlier row that it names, and its relation."""
-    asked = changes.select("cik", "raw_id", F.explode("prior_raw_ids").alias("_prior"), F.upper(F.coalesce("relation", F.lit("RECAST"))).alias("_relation"))
-    own = rows.select("cik", "kind", "raw_id", F.col("position").alias("_at")).join(asked, ["cik", "raw_id"])
-    before = rows.select("cik", "kind", F.col("raw_id").alias("_prior"), F.col("position").alias("_then"))
-    found = own.join(before, ["cik", "kind", "_prior"]).where("_then < _at or (_then = _at and _prior < raw_id)")
-    return found.groupBy("cik", "kind", "raw_id").agg(F.max(F.struct("_then", F.col("_prior").alias("prior"), F.col("_relation").alias("relation"))).alias("d"))
+def _named(rows: DataFrame) -> DataFrame:
+    """rows with d: of the earlier rows that documented names the newest, and its relation."""
+    own = F.array(F.struct(*[F.lit(None).cast("string").alias(c) for c in ("prior_raw_id", "relation")]))
+    # a row stands there once as itself, and once for each row that it names
+    rows = rows.select("*", F.posexplode(F.coalesce(F.concat(own, "documented"), own)).alias("_n", "_asked"))
+    rows = rows.withColumn("_key", F.when(F.col("_n") == 0, F.col("raw_id")).otherwise(F.col("_asked.prior_raw_id")))
+    rows = rows.withColumn("_then", F.max(F.when(F.col("_n") == 0, F.col("position"))).over(Window.partitionBy("cik", "kind", "_key")))
+    earlier = F.expr("_n > 0 and cik is not null and kind is not null and _key is not null and (_then < position or (_then = position and _key < raw_id))")
+    found = F.struct("_then", F.col("_key").alias("prior"), F.upper(F.coalesce("_asked.relation", F.lit("RECAST"))).alias("relation"))
+    rows = rows.withColumn("d", F.max(F.when(earlier, found)).over(Window.partitionBy("cik", "kind", "raw_id")))
+    return rows.where("_n = 0").drop("documented", "_n", "_asked", "_key", "_then")
 
 
 def canonical_ids(concepts: DataFrame, changes: DataFrame) -> DataFrame:
@@ -96,21 +98,40 @@ def canonical_ids(concepts: DataFrame, changes: DataFrame) -> DataFrame:
     row that they continue, through any number of filings; all others keep one of
     their own.  raw_id is unique within a company and kind.
 
-    A company's rows of a kind are sorted together, once; chains of ids are
-    followed by doubling, a written table for each round.
+    Rows and changes are dealt by company, once; see dealt_ids().
     """
+    asked = changes.select("cik", "raw_id", "relation", F.explode("prior_raw_ids").alias("prior_raw_id")).repartition("cik")
+    asked = asked.groupBy("cik", "raw_id").agg(F.collect_list(F.struct("prior_raw_id", "relation")).alias("documented"))
+    return _ids(concepts.repartition("cik").join(asked, ["cik", "raw_id"], "left"), _rounds(concepts))
+
+
+def dealt_ids(rows: DataFrame) -> DataFrame:
+    """canonical_ids() of rows that have been dealt by cik, each with its own changes: documented, an array of (prior_raw_id, relation).
+
+    Nothing is dealt again or written: the evidence, the rows that changes name
+    and each round along the chains are windows within a company.
+    """
+    return _ids(rows, _rounds(rows))
+
+
+def _rounds(rows: DataFrame) -> int:
+    """Rounds of doubling that reach the end of any chain: a chain has at most the rows of its company."""
+    most = rows.groupBy("cik").count().agg(F.max("count")).first()[0] or 1
+    return math.ceil(math.log2(most))
+
+
+def _ids(rows: DataFrame, rounds: int) -> DataFrame:
     text = lambda c: F.coalesce(_given(c), F.lit(""))
     label = F.lower(F.trim(F.regexp_replace(F.coalesce(_given("label"), text("local_name")), r"\s+", " ")))
     name = F.when(F.col("is_standard"), F.coalesce(_given("local_name"), F.when(F.contains("qname", F.lit(":")), F.regexp_extract("qname", r"([^:]*)$", 1)), F.lit(""))).otherwise(text("local_name"))
     yearly = gaap_namespace_year("namespace_uri").isNotNull() & (F.lower(text("taxonomy_family")) == "us-gaap")
     meant = F.when(_given("period_type").isNotNull() & _given("data_type").isNotNull(), F.to_json(F.struct("period_type", "data_type", "balance", "abstract"), {"ignoreNullFields": "false"}))
-    rows = concepts.withColumn("is_standard", F.coalesce("is_standard", F.lit(False))).withColumns({"_label": label, "_name": name, "_group": F.when(yearly, "us-gaap").otherwise(text("namespace_uri")), "_meant": meant})
-    rows = rows.repartition("cik", "kind")
+    rows = _named(rows).withColumn("is_standard", F.coalesce("is_standard", F.lit(False))).withColumns({"_label": label, "_name": name, "_group": F.when(yearly, "us-gaap").otherwise(text("namespace_uri")), "_meant": meant})
     by = lambda *keys: Window.partitionBy("cik", "kind", *keys)
-    newest = lambda *keys: F.lag(F.struct("position", "raw_id", "namespace_uri", "filing_id", "label", "_label", "_meant", "signature", "_ambiguous")).over(by(*keys).orderBy("position", "raw_id"))
+    newest = lambda fields, *keys: F.lag(F.struct(*fields)).over(by(*keys).orderBy("position", "raw_id"))
+    place, evidence = ("position", "raw_id", "namespace_uri"), ("raw_id", "namespace_uri", "filing_id", "label", "_label", "_meant", "signature", "_ambiguous")
     rows = rows.withColumn("_ambiguous", ~F.col("is_standard") & (F.count("*").over(by("filing_id", "is_standard", "_name")) > 1))
-    rows = rows.withColumn("_by_group", newest("is_standard", "_name", "_meant", "_group")).withColumn("_by_uri", newest("is_standard", "_name", "_meant", "namespace_uri")).withColumn("_custom", newest("is_standard", "_name")).withColumn("_alike", newest("_label"))
-    rows = rows.join(_documented(concepts, changes), ["cik", "kind", "raw_id"], "left")
+    rows = rows.withColumn("_by_group", newest(place, "is_standard", "_name", "_meant", "_group")).withColumn("_by_uri", newest(place, "is_standard", "_name", "_meant", "namespace_uri")).withColumn("_custom", newest(evidence, "is_standard", "_name")).withColumn("_alike", newest(("raw_id",), "_label"))
     standard = F.col("is_standard") & (F.col("_name") != "") & F.col("_meant").isNotNull()
     later = F.coalesce(F.when(F.col("_by_uri.position").isNull() | (F.struct("_by_group.position", "_by_group.raw_id") >= F.struct("_by_uri.position", "_by_uri.raw_id")), F.col("_by_group")), F.col("_by_uri"))
     rows = rows.withColumn("_std", F.when(standard, later)).withColumn("_own", F.when(~F.col("is_standard"), F.col("_custom"))).withColumn("_text", F.when(F.col("_label") != "", F.col("_alike")))
@@ -145,29 +166,23 @@ def canonical_ids(concepts: DataFrame, changes: DataFrame) -> DataFrame:
     )
     review = F.when(F.col("_x.prior").isNull(), F.col("_ambiguous")).otherwise(~F.col("_x.confirmed"))
     rows = rows.select("cik", "kind", "filing_id", "raw_id", F.col("_x.prior").alias("prior_raw_id"), F.col("_x.relation").alias("relation"), F.col("_x.method").alias("method"), F.col("_x.confidence").alias("confidence"), F.col("_break").alias("continuity_break"), review.alias("review_required"), F.when(F.col("_x.method").isin("STRING_SIMILARITY_ONLY", "CUSTOM_EVIDENCE_CHANGED"), F.col("_against")).alias("rejections"), event.alias("event"), F.col("_id").alias("own_id"))
-    return _followed(rows)
-
-
-def _followed(rows: DataFrame) -> DataFrame:
-    """rows with canonical_id: the own id of the row at the end of the chain of confirmed continuations."""
-    spark = rows.sparkSession
-    folder, n = scratch_path(spark, "identity"), 0
-
-    def kept(df: DataFrame) -> DataFrame:
-        nonlocal n
-        n += 1
-        df.write.parquet(f"{folder}/{n}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{n}")
-
-    rows = kept(rows)
-    goes_on = F.col("prior_raw_id").isNotNull() & ~F.col("continuity_break") & ~F.col("review_required")
-    steps = kept(rows.where(goes_on).select("cik", "kind", "raw_id", F.col("prior_raw_id").alias("to"), F.lit(True).alias("open")))
-    # a chain has at most as many rows as its company; the bound only matters if raw ids repeat and point at each other
-    for _ in range(MOST_ROUNDS):
-        if steps.where("open").isEmpty():
-            break
-        ahead = steps.select("cik", "kind", F.col("raw_id").alias("to"), F.col("to").alias("further"))
-        steps = kept(steps.join(ahead, ["cik", "kind", "to"], "left").select("cik", "kind", "raw_id", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("open")))
-    ends = rows.select("cik", "kind", F.col("raw_id").alias("to"), F.col("own_id").alias("end_id"))
-    out = rows.join(steps.select("cik", "kind", "raw_id", "to").join(ends, ["cik", "kind", "to"]).select("cik", "kind", "raw_id", "end_id"), ["cik", "kind", "raw_id"], "left")
-    return out.withColumn("canonical_id", F.coalesce("end_id", "own_id")).drop("end_id", "own_id")
+    return _followed(rows, rounds)
+
+
+def _followed(rows: DataFrame, rounds: int) -> DataFrame:
+    """rows with canonical_id: the own id of the row at the end of the chain of confirmed continuations.
+
+    Each round doubles the steps taken.  A row that goes on stands there twice,
+    as itself and for the row that it has come to, of which it takes the id and
+    the next step.
+    """
+    goes_on = F.col("prior_raw_id").isNotNull() & ~F.col("continuity_break") & ~F.col("review_required") & F.col("cik").isNotNull() & F.col("kind").isNotNull()
+    rows = rows.withColumnRenamed("own_id", "canonical_id").withColumn("_to", F.when(goes_on, F.col("prior_raw_id")))
+    for _ in range(rounds):
+        rows = rows.withColumn("_asks", F.explode(F.when(F.col("_to").isNull(), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+        rows = rows.withColumn("_key", F.when(F.col("_asks"), F.col("_to")).otherwise(F.col("raw_id")))
+        there = F.max(F.when(~F.col("_asks"), F.struct("canonical_id", "_to"))).over(Window.partitionBy("cik", "kind", "_key"))
+        rows = rows.withColumn("_there", there).where("_asks or _to is null")
+        rows = rows.withColumns({"canonical_id": F.when(F.col("_asks"), F.coalesce("_there.canonical_id", "canonical_id")).otherwise(F.col("canonical_id")), "_to": F.when(F.col("_asks"), F.col("_there._to"))})
+        rows = rows.drop("_asks", "_key", "_there")
+    return rows.drop("_to")

@@ -3,8 +3,14 @@
 import random
 import re
 
+import duckdb
 import pytest
 from asofworks.operators import identity as I
+from asofworks.plans.all_queries import QUERIES, SQL
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
+from tests.test_queries import DATA
 
 SCHEMA = "cik long, kind string, filing_id string, position long, raw_id string, local_name string, qname string, namespace_uri string, is_standard boolean, taxonomy_family string, label string, period_type string, data_type string, balance string, abstract boolean, signature string"
 FIELDS = [f.split()[0] for f in SCHEMA.split(", ")]
@@ -100,3 +106,41 @@ def test_network_signatures(spark):
     other = of(arc("f1", 2015, "a", "b"), arc("f2", 2016, "a2", "b2"), arc("f2", 2016, "a2", "c2"))
     assert other["a"] != other["a2"] and other["b"] == other["b2"]
     assert of(arc("f1", 2015, "a", "gone"))["a"] is None and of(arc("f1", 2015, "a", "b", arcrole="http://unknown"))["a"] is None
+
+
+def test_long_chains_ties_and_rows_without_a_company(spark):
+    """A chain of 70 rows, one of rows that only changes connect, names that come from no row, and rows of no company or kind."""
+    base = {"cik": 1, "kind": "concept", "local_name": "X", "qname": None, "namespace_uri": "http://co.com/2015", "is_standard": False, "taxonomy_family": None, "label": "X", "period_type": "instant", "data_type": "m", "balance": None, "abstract": False, "signature": "s"}
+    rows = [base | {"filing_id": f"f{k}", "position": k, "raw_id": f"r{k:02}"} for k in range(70)]
+    rows += [base | {"cik": 2, "filing_id": f"f{k}", "position": k // 2, "raw_id": f"r{k:02}", "local_name": f"N{k}", "label": None} for k in range(21)]
+    changes = [(2, f"r{k:02}", [None, "gone", f"r{k - 1:02}"] + [f"r{k:02}", f"r{min(k + 1, 20):02}"], "RENAMED" if k % 2 else "SAME") for k in range(1, 21)]
+    expected = plain([r for r in rows if r["cik"] == 1], changes) | {("b", k): v for k, v in plain([r for r in rows if r["cik"] == 2], changes).items()}
+    alone = [base | {"cik": c, "kind": k, "filing_id": f"g{n}", "position": n, "raw_id": f"z{n}"} for c, k in ((None, "concept"), (3, None)) for n in range(2)]
+    made = spark.createDataFrame([tuple(r[f] for f in FIELDS) for r in rows + alone], SCHEMA)
+    found = I.canonical_ids(made, spark.createDataFrame([*changes, (None, "z1", ["z0"], None)], "cik long, raw_id string, prior_raw_ids array<string>, relation string")).collect()
+    assert len(found) == len(rows) + len(alone)
+    assert {("b", r.raw_id) if r.cik == 2 else r.raw_id: (r.method, r.confidence, r.canonical_id, r.prior_raw_id) for r in found if r.cik in (1, 2)} == expected
+    assert {r.canonical_id for r in found if r.cik == 1} == {"1:concept:r00"} and {r.canonical_id for r in found if r.cik == 2} == {"2:concept:r00"}
+    assert sorted(r.canonical_id for r in found if r.cik not in (1, 2)) == ["3:z0", "3:z1", "concept:z0", "concept:z1"]
+
+
+def test_rows_are_dealt_by_company_once_and_not_written(spark, capsys, monkeypatch):
+    """What goes to disk does not grow with the rounds along chains: lines and orders are dealt once, rows once by company."""
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *_: pytest.fail("rows are written"))
+    QUERIES["w16_identity"](spark, DATA).explain("simple")
+    plan = capsys.readouterr().out
+    assert plan.count("Window") > 10 and plan.count("Exchange") - plan.count("BroadcastExchange") <= 3 and len(re.findall(r"Exchange hashpartitioning\(cik", plan)) == 1
+
+
+@pytest.mark.parametrize("more", [0, 10])
+def test_query_equals_sql_where_fact_ids_come_from_two_orders(spark, tmp_path, more):
+    """A line number beyond 9 makes the fact id of a line of the next order; such lines are numbered together."""
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").where("l_orderkey < 400")
+    lines.withColumn("l_linenumber", (F.col("l_linenumber") + F.when(F.col("l_orderkey") % 3 == 1, more).otherwise(0)).cast("int")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{DATA}/orders.parquet").withColumn("o_custkey", F.col("o_custkey") % 20).write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    ours = QUERIES["w16_identity"](spark, str(tmp_path))
+    theirs = con.execute(f"select {', '.join(ours.columns)} from ({SQL['w16_identity']})").fetchall()
+    assert len(theirs) > 1000 and sorted(map(repr, map(tuple, ours.collect()))) == sorted(map(repr, theirs))
